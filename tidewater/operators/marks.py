@@ -41,6 +41,12 @@ def read_mark(marks: DataFrame, table: str) -> str:
     return _fmt(row["m"]) if row and row["m"] is not None else C.EPOCH_MARK
 
 
+def read_marks(marks: DataFrame) -> dict[str, str]:
+    """All marks at once: the control table has one row per source table."""
+    rows = marks.groupBy("table_name").agg(F.max("last_updated").alias("m")).collect()
+    return {r["table_name"]: _fmt(r["m"]) for r in rows if r["m"] is not None}
+
+
 def write_mark(marks: DataFrame, table: str, value, batch_ts: str) -> DataFrame:
     """Update the row of ``table``, inserting it when absent."""
     spark = marks.sparkSession

@@ -514,4 +514,9 @@ GROUP BY date_key HAVING count(*) > 1"""
     q["cascade_delete"] = """
 SELECT id, customer_id, product_id, qty, transaction_date FROM src_s2
 WHERE customer_id IN (SELECT id FROM src_c1) AND product_id IN (SELECT id FROM src_p1)"""
+    q["stream_mirror_sales"] = f"""
+SELECT id, customer_id, product_id, qty, transaction_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_at >= {_ts(C.RUN1_CUT)} DESC,
+         transaction_date DESC, product_id DESC, qty DESC, customer_id DESC) AS rn
+  FROM src_s2) WHERE rn = 1"""
     return {k: _with(v) for k, v in q.items()}

@@ -10,9 +10,10 @@ dimensions, facts, and finally the sales mark.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater import config as C
@@ -21,7 +22,7 @@ from tidewater.operators.calendar import CALENDAR_COLS, calendar, run_window
 from tidewater.operators.cleaning import clean_customers, clean_products, stage_sales
 from tidewater.operators.joins import broadcast_if_small
 from tidewater.operators.keys import assign_keys, next_key
-from tidewater.operators.marks import (batch_max, extract_delta, initial_marks, read_mark,
+from tidewater.operators.marks import (batch_max, extract_delta, initial_marks, read_marks,
                                        write_mark)
 from tidewater.operators.runlog import RunLog
 from tidewater.operators.scd2 import empty_dimension, scd2_merge
@@ -80,23 +81,51 @@ class Warehouse:
     log: RunLog
     runs: dict[int, dict] = field(default_factory=dict)   # per-run versions and marks
     rows: dict[str, int] = field(default_factory=dict)    # row count of the current versions
+    max_keys: dict[str, int] = field(default_factory=dict)  # largest surrogate key written
 
     def table(self, name: str, run: int | None = None) -> DataFrame:
         if run is None:
             return self.store.read(name)
         return self.store.read(name, self.runs[run]["versions"][name])
 
-    def write(self, run: Run, name: str, df: DataFrame) -> DataFrame:
-        out = self.store.write(name, df)
-        self.rows[name] = out.count()  # Parquet footer metadata, no data scan
+    def write(self, run: Run, name: str, df: DataFrame, key_col: str | None = None,
+              touched: Column | None = None) -> dict:
+        """Write a new version; row count, largest key and the number of
+        ``touched`` rows are observed during the write (no extra job)."""
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if key_col:
+            metrics.append(F.max(key_col).alias("max_key"))
+        if touched is not None:
+            metrics.append(F.count(F.when(touched, 1)).alias("touched"))
+        obs = Observation(f"{name}_{run.number}_{self.store.versions.get(name, 0) + 1}")
+        self.store.write(name, df.observe(obs, *metrics))
+        got = obs.get
+        self.rows[name] = int(got["rows"])
+        if key_col:
+            self.max_keys[name] = int(got["max_key"] or 0)
         self.runs.setdefault(run.number, {"versions": {}, "marks": {}})
         self.runs[run.number]["versions"][name] = self.store.versions[name]
-        return out
+        return got
+
+    def discard_last(self, run: Run, name: str, rows: int) -> None:
+        """Drop the version just written (an empty batch changes nothing)."""
+        self.store.versions[name] -= 1
+        self.rows[name] = rows
+        if self.store.versions[name] == 0:
+            del self.store.versions[name]
+            self.runs[run.number]["versions"].pop(name, None)
+        else:
+            self.runs[run.number]["versions"][name] = self.store.versions[name]
+
+    def next_key(self, name: str, key_col: str) -> int:
+        if name in self.max_keys:
+            return self.max_keys[name]
+        return next_key(self.table(name), key_col) if self.store.has(name) else 0
 
     def keep(self, run: Run, name: str) -> None:
         """Record that ``run`` left ``name`` unchanged."""
+        self.runs.setdefault(run.number, {"versions": {}, "marks": {}})
         if self.store.has(name):
-            self.runs.setdefault(run.number, {"versions": {}, "marks": {}})
             self.runs[run.number]["versions"][name] = self.store.versions[name]
 
     def empty(self, schema: str) -> DataFrame:
@@ -114,73 +143,80 @@ def _logged(wh: Warehouse, process: str, fn):
     except Exception as exc:  # log, then re-raise: the failed step publishes nothing
         wh.log.end(log_id, "FAILED", error=str(exc)[:1000])
         raise
-    wh.log.end(log_id, "SUCCESS", processed=n or 0, inserted=n or 0)
+    wh.log.end(log_id, "SUCCESS", processed=int(n or 0), inserted=int(n or 0))
     return n
 
 
 # --------------------------------------------------------------------------- extract
-def extract_to_mirror(wh: Warehouse, run: Run) -> None:
-    marks = wh.store.read_or("high_water_mark", initial_marks(wh.spark))
+def prepare_marks(wh: Warehouse, run: Run) -> dict[str, str]:
+    """Read all marks once per run (seeding the control table on first use)."""
     if not wh.store.has("high_water_mark"):
-        wh.write(run, "high_water_mark", marks)
+        wh.write(run, "high_water_mark", initial_marks(wh.spark))
     wh.keep(run, "high_water_mark")
-    for source_name, mirror, order_col, cols in EXTRACTS:
-        def step(source_name=source_name, mirror=mirror, order_col=order_col, cols=cols):
-            mark = read_mark(wh.table("high_water_mark"), source_name)
-            wh.runs.setdefault(run.number, {"versions": {}, "marks": {}})
-            wh.runs[run.number]["marks"][source_name] = mark
-            delta = extract_delta(run.sources[source_name], order_col, mark)
-            if delta.isEmpty():  # empty delta: success with 0 rows, mark unchanged
-                wh.keep(run, mirror)
-                return 0
-            order = SALES_ORDER if source_name == "sales" else [order_col]
-            batch = (latest_per_key(delta.select(*cols, *[c for c in [order_col] if c not in cols]),
-                                    ["id"], order)
-                     .select(*cols).withColumn("loaded_at", ntz(run.batch_ts)))
-            target = wh.store.read_or(mirror, wh.empty(MRR_SCHEMAS[mirror]))
-            wh.write(run, mirror, upsert(target, batch, ["id"]))
-            return wh.rows[mirror]
-        _logged(wh, f"operational_to_mrr_{source_name}", step)
-
-
-# --------------------------------------------------------------------------- staging
-def mirror_to_staging(wh: Warehouse, run: Run) -> None:
-    def dims():
-        for mirror, stg, clean, attrs in [
-            ("mrr_dim_customers", "stg_dim_customers", clean_customers,
-             ["customer_name", "country", "country_normalized", "loaded_at"]),
-            ("mrr_dim_products", "stg_dim_products", clean_products,
-             ["product_name", "product_group", "product_group_normalized", "loaded_at"]),
-        ]:
-            batch = clean(wh.table(mirror), run.batch_ts)
-            target = wh.store.read_or(stg, wh.empty(STG_SCHEMAS[stg]))
-            key = batch.columns[0]
-            # SET list omits valid_from: the first value survives
-            wh.write(run, stg, upsert(target, batch, [key], update_cols=attrs))
-        return wh.rows["stg_dim_customers"]
-    _logged(wh, "mrr_to_stg_dimensions", dims)
-
-    def sales():
-        batch = stage_sales(wh.table("mrr_fact_sales"), run.batch_ts)
-        target = wh.store.read_or("stg_fact_sales", wh.empty(STG_SCHEMAS["stg_fact_sales"]))
-        wh.write(run, "stg_fact_sales", upsert(target, batch, ["sale_id"]))
-        return wh.rows["stg_fact_sales"]
-    _logged(wh, "mrr_to_stg_sales", sales)
+    marks = read_marks(wh.table("high_water_mark"))
+    used = {name: marks.get(name, C.EPOCH_MARK) for name, *_ in EXTRACTS}
+    wh.runs[run.number]["marks"].update(used)
+    return used
+
+
+def extract_one(wh: Warehouse, run: Run, source_name: str) -> int:
+    """Delta extract by mark and upsert into the mirror.
+
+    The mark is a literal predicate pushed to the source scan.  An empty
+    delta is a success with 0 rows and leaves the mirror unchanged.
+    """
+    _, mirror, order_col, cols = next(e for e in EXTRACTS if e[0] == source_name)
+    mark = wh.runs[run.number]["marks"][source_name]
+    delta = extract_delta(run.sources[source_name], order_col, mark)
+    order = SALES_ORDER if source_name == "sales" else [order_col]
+    keep = cols + [c for c in order if c not in cols]
+    batch = (latest_per_key(delta.select(*keep), ["id"], order)
+             .select(*cols).withColumn("loaded_at", ntz(run.batch_ts)))
+    had, before = wh.store.has(mirror), wh.rows.get(mirror, 0)
+    target = wh.store.read_or(mirror, wh.empty(MRR_SCHEMAS[mirror]))
+    got = wh.write(run, mirror, upsert(target, batch, ["id"]),
+                   touched=F.col("loaded_at") == ntz(run.batch_ts))
+    if got["touched"] == 0 and had:  # empty delta: keep the previous version
+        wh.discard_last(run, mirror, before)
+    return int(got["touched"])
+
+
+STAGE_DIMS = {
+    "customers": ("mrr_dim_customers", "stg_dim_customers", clean_customers,
+                  ["customer_name", "country", "country_normalized", "loaded_at"]),
+    "products": ("mrr_dim_products", "stg_dim_products", clean_products,
+                 ["product_name", "product_group", "product_group_normalized", "loaded_at"]),
+}
+
+
+def stage_dimension(wh: Warehouse, run: Run, kind: str) -> int:
+    """Clean the whole mirror and upsert it; the SET list omits valid_from,
+    so the first value survives."""
+    mirror, stg, clean, attrs = STAGE_DIMS[kind]
+    batch = clean(wh.table(mirror), run.batch_ts)
+    target = wh.store.read_or(stg, wh.empty(STG_SCHEMAS[stg]))
+    return wh.write(run, stg, upsert(target, batch, [batch.columns[0]], update_cols=attrs))["rows"]
+
+
+def stage_sales_table(wh: Warehouse, run: Run) -> int:
+    batch = stage_sales(wh.table("mrr_fact_sales"), run.batch_ts)
+    target = wh.store.read_or("stg_fact_sales", wh.empty(STG_SCHEMAS["stg_fact_sales"]))
+    return wh.write(run, "stg_fact_sales", upsert(target, batch, ["sale_id"]))["rows"]
 
 
 # --------------------------------------------------------------------------- warehouse
 def load_calendar(wh: Warehouse, run: Run, start: dt.date | None = None,
-                  end: dt.date | None = None) -> None:
+                  end: dt.date | None = None) -> int:
     """Insert the run's calendar window; existing days are left alone."""
     if start is None or end is None:
         start, end = run_window(run.day)
     target = wh.store.read_or("dwh_dim_date", wh.empty(CALENDAR_SCHEMA))
     batch = calendar(wh.spark, start, end).select(*CALENDAR_COLS)
     added = new_rows(target, batch, ["date_key"])
-    wh.write(run, "dwh_dim_date", target.unionByName(added))
+    return wh.write(run, "dwh_dim_date", target.unionByName(added))["rows"]
 
 
-def load_dimension(wh: Warehouse, run: Run, kind: str) -> None:
+def load_dimension(wh: Warehouse, run: Run, kind: str) -> int:
     if kind == "customers":
         stg, dim, key, nk, tracked, extra = ("stg_dim_customers", "dwh_dim_customers",
                                              "customer_key", "customer_id",
@@ -193,8 +229,10 @@ def load_dimension(wh: Warehouse, run: Run, kind: str) -> None:
     target = wh.store.read_or(dim, empty_dimension(wh.spark, key, nk, tracked, extra))
     target = target.select(key, nk, *tracked, *extra, "valid_from", "valid_to", "is_current",
                            "loaded_at")
-    wh.write(run, dim, scd2_merge(target, snapshot, nk, tracked, key, run.day, run.batch_ts,
-                                  extra_cols={c: F.lit(None).cast("string") for c in extra}))
+    merged = scd2_merge(target, snapshot, nk, tracked, key, run.day, run.batch_ts,
+                        extra_cols={c: F.lit(None).cast("string") for c in extra},
+                        start=wh.next_key(dim, key))
+    return wh.write(run, dim, merged, key_col=key)["rows"]
 
 
 def current_keys(wh: Warehouse, kind: str) -> DataFrame:
@@ -214,15 +252,17 @@ def key_lookup(wh: Warehouse, staged: DataFrame, batch_ts: str) -> DataFrame:
                     t.alias("transaction_timestamp"), ntz(batch_ts).alias("loaded_at")))
 
 
-def load_facts(wh: Warehouse, run: Run) -> None:
+def load_facts(wh: Warehouse, run: Run) -> int:
     """Upsert facts on original_sale_id: a known sale changes only quantity and
     loaded_at (keys and dates stay as first loaded); new sales get keys."""
     lookup = key_lookup(wh, wh.table("stg_fact_sales"), run.batch_ts)
     target = wh.store.read_or("dwh_fact_sales", wh.empty(FACT_SCHEMA))
     kept = update_matched(target, lookup, ["original_sale_id"], ["quantity", "loaded_at"])
     fresh = new_rows(target, lookup, ["original_sale_id"])
-    fresh = assign_keys(fresh, "sale_key", ["original_sale_id"], start=next_key(target, "sale_key"))
-    wh.write(run, "dwh_fact_sales", kept.unionByName(fresh.select(*target.columns)))
+    fresh = assign_keys(fresh, "sale_key", ["original_sale_id"],
+                        start=wh.next_key("dwh_fact_sales", "sale_key"))
+    return wh.write(run, "dwh_fact_sales", kept.unionByName(fresh.select(*target.columns)),
+                    key_col="sale_key")["rows"]
 
 
 def advance_sales_mark(wh: Warehouse, run: Run) -> None:
@@ -234,19 +274,27 @@ def advance_sales_mark(wh: Warehouse, run: Run) -> None:
     wh.keep(run, "high_water_mark")
 
 
-def staging_to_warehouse(wh: Warehouse, run: Run) -> None:
-    _logged(wh, "stg_to_dwh_date_dimension", lambda: (load_calendar(wh, run),
-                                                      wh.rows["dwh_dim_date"])[1])
-    _logged(wh, "stg_to_dwh_customers", lambda: (load_dimension(wh, run, "customers"),
-                                                 wh.rows["dwh_dim_customers"])[1])
-    _logged(wh, "stg_to_dwh_products", lambda: (load_dimension(wh, run, "products"),
-                                                wh.rows["dwh_dim_products"])[1])
-    _logged(wh, "stg_to_dwh_sales", lambda: (load_facts(wh, run), wh.rows["dwh_fact_sales"])[1])
-    _logged(wh, "update_high_water_mark", lambda: (advance_sales_mark(wh, run), 1)[1])
+def _both(wh: Warehouse, process: str, fn) -> None:
+    """Run the customer and product branches concurrently (independent
+    jobs; Spark schedules them side by side on the cluster)."""
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        futures = [pool.submit(_logged, wh, f"{process}_{kind}", lambda kind=kind: fn(kind))
+                   for kind in ("customers", "products")]
+        for f in futures:
+            f.result()
 
 
 def run_pipeline(wh: Warehouse, run: Run) -> Warehouse:
-    extract_to_mirror(wh, run)
-    mirror_to_staging(wh, run)
-    staging_to_warehouse(wh, run)
+    # source -> mirror: both dimensions in parallel, then sales
+    prepare_marks(wh, run)
+    _both(wh, "operational_to_mrr", lambda kind: extract_one(wh, run, kind))
+    _logged(wh, "operational_to_mrr_sales", lambda: extract_one(wh, run, "sales"))
+    # mirror -> staging
+    _both(wh, "mrr_to_stg", lambda kind: stage_dimension(wh, run, kind))
+    _logged(wh, "mrr_to_stg_sales", lambda: stage_sales_table(wh, run))
+    # staging -> warehouse
+    _logged(wh, "stg_to_dwh_date_dimension", lambda: load_calendar(wh, run))
+    _both(wh, "stg_to_dwh", lambda kind: load_dimension(wh, run, kind))
+    _logged(wh, "stg_to_dwh_sales", lambda: load_facts(wh, run))
+    _logged(wh, "update_high_water_mark", lambda: (advance_sales_mark(wh, run), 1)[1])
     return wh
