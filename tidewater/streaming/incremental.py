@@ -54,7 +54,7 @@ class StreamingMirror:
     def run_available(self) -> None:
         """Consume every file landed so far, then stop."""
         stream = (self.spark.readStream.schema(self.schema).format("parquet")
-                  .load(self.landing))
+                  .option("recursiveFileLookup", "true").load(self.landing))
         query = (stream.writeStream.foreachBatch(self._apply)
                  .option("checkpointLocation", self.checkpoint)
                  .trigger(availableNow=True).start())
