@@ -350,6 +350,8 @@ SELECT c.customer_key, c.customer_id, c.customer_name, c.country,
        {rnd('sum(f.quantity)', 'count(f.quantity)')} AS avg_quantity_per_transaction
 FROM {_cur_c()} c LEFT JOIN fact2 f ON c.customer_key = f.customer_key
 GROUP BY c.customer_key, c.customer_id, c.customer_name, c.country"""
+    q["top_customer_metrics"] = q["customer_metrics"] + \
+        "\nORDER BY total_transactions DESC, c.customer_id ASC LIMIT 10"
     q["avg_quantity"] = f"""
 SELECT c.customer_id, COALESCE({rnd('sum(f.quantity)', 'count(f.quantity)')}, 0.0) AS avg_quantity
 FROM {_cur_c()} c LEFT JOIN (SELECT * FROM fact2 WHERE transaction_date >= {rs}

@@ -297,4 +297,6 @@ def run_pipeline(wh: Warehouse, run: Run) -> Warehouse:
     _both(wh, "stg_to_dwh", lambda kind: load_dimension(wh, run, kind))
     _logged(wh, "stg_to_dwh_sales", lambda: load_facts(wh, run))
     _logged(wh, "update_high_water_mark", lambda: (advance_sales_mark(wh, run), 1)[1])
+    # the run log itself is a warehouse table (one row per step)
+    wh.store.write("etl_logs", wh.log.frame())
     return wh

@@ -282,6 +282,13 @@ def q_cascade_delete(spark, sf_dir):
     return Q.cascade_keep(s, A.source_products(spark, sf_dir, 1), "product_id", "id")
 
 
+def q_top_customer_metrics(spark, sf_dir):
+    from tidewater.plans.procedures import top_by_transactions
+    wh = _wh(spark, sf_dir)
+    return top_by_transactions(M.customer_metrics(wh.table("dwh_fact_sales"),
+                                                  wh.table("dwh_dim_customers")))
+
+
 # --------------------------------------------------------------- streaming form
 _STREAMED: dict[tuple, DataFrame] = {}
 
@@ -359,6 +366,7 @@ def registry() -> dict[str, Query]:
         "duplicate_keys": q_duplicate_keys,
         "cascade_delete": q_cascade_delete,
         "stream_mirror_sales": q_stream_mirror_sales,
+        "top_customer_metrics": q_top_customer_metrics,
     }
 
 
