@@ -32,7 +32,7 @@ def aggregate_sales_report(wh: Warehouse, start: dt.date, end: dt.date,
                            view: str = "temp_sales_report") -> DataFrame:
     """``CALL sp_aggregate_sales_report(start, end)``: the report as a temp view."""
     def body():
-        df = M.sales_report(wh.table("dwh_fact_sales"), wh.table("dwh_dim_customers"),
+        df = M.sales_report(wh.facts_between(start, end), wh.table("dwh_dim_customers"),
                             wh.table("dwh_dim_products"), start, end,
                             wh.rows.get("dwh_dim_customers"), wh.rows.get("dwh_dim_products"))
         df.createOrReplaceTempView(view)

@@ -7,6 +7,7 @@ and folder); source queries read the driver tables through the adapter.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,8 @@ def _star(fn):
 # --------------------------------------------------------------- step 1: report
 def q_sales_report(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return M.sales_report(wh.table("dwh_fact_sales"), wh.table("dwh_dim_customers"),
+    return M.sales_report(wh.facts_between(C.REPORT_START, C.REPORT_END),
+                          wh.table("dwh_dim_customers"),
                           wh.table("dwh_dim_products"), C.REPORT_START, C.REPORT_END,
                           wh.rows.get("dwh_dim_customers"), wh.rows.get("dwh_dim_products"))
 
@@ -132,13 +134,14 @@ def q_fact_skipped(spark, sf_dir):
 # --------------------------------------------------------------- step 5: metrics
 def q_avg_quantity(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return M.avg_quantity(wh.table("dwh_fact_sales"), wh.table("dwh_dim_customers"),
-                          C.REPORT_START, C.REPORT_END)
+    return M.avg_quantity(wh.facts_between(C.REPORT_START, C.REPORT_END),
+                          wh.table("dwh_dim_customers"), C.REPORT_START, C.REPORT_END)
 
 
 def q_velocity(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return M.velocity(wh.table("dwh_fact_sales"), wh.table("dwh_dim_products"))
+    since = C.AS_OF_DAY - dt.timedelta(days=C.VELOCITY_DAYS)
+    return M.velocity(wh.facts_between(since, None), wh.table("dwh_dim_products"))
 
 
 def q_group_performance(spark, sf_dir):
