@@ -483,6 +483,8 @@ SELECT id, customer_id, product_id, qty, transaction_date,
 FROM src_s2 WHERE qty IS NULL OR qty <= 0 OR id IS NULL OR customer_id IS NULL
   OR product_id IS NULL OR transaction_date IS NULL"""
     q["rule_summary"] = """
+SELECT table_name, rule, CAST(rows_checked AS BIGINT) AS rows_checked,
+       CAST(rows_failed AS BIGINT) AS rows_failed FROM (
 SELECT 'sales' AS table_name, 'qty_positive' AS rule, CAST(count(*) AS BIGINT) AS rows_checked,
        CAST(sum(CASE WHEN qty IS NULL OR qty <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS rows_failed FROM src_s2
 UNION ALL SELECT 'sales', 'keys_not_null', count(*), sum(CASE WHEN id IS NULL OR customer_id IS NULL
@@ -495,7 +497,7 @@ UNION ALL SELECT 'products', 'name_not_null', count(*), sum(CASE WHEN name IS NU
 UNION ALL SELECT 'products', 'name_max_255', count(*), sum(CASE WHEN length(name) > 255 THEN 1 ELSE 0 END) FROM src_p2
 UNION ALL SELECT 'products', 'group_not_null', count(*), sum(CASE WHEN group_name IS NULL THEN 1 ELSE 0 END) FROM src_p2
 UNION ALL SELECT 'products', 'group_max_100', count(*), sum(CASE WHEN length(group_name) > 100 THEN 1 ELSE 0 END) FROM src_p2
-UNION ALL SELECT 'etl_logs', 'status_allowed', count(*), sum(CASE WHEN status IN ('RUNNING', 'SUCCESS', 'FAILED', 'WARNING') THEN 0 ELSE 1 END) FROM run_log"""
+UNION ALL SELECT 'etl_logs', 'status_allowed', count(*), sum(CASE WHEN status IN ('RUNNING', 'SUCCESS', 'FAILED', 'WARNING') THEN 0 ELSE 1 END) FROM run_log)"""
     q["orphans"] = """
 SELECT 'source' AS layer, id AS sale_id, 'missing customer' AS reason FROM src_s1
 WHERE customer_id NOT IN (SELECT id FROM src_c1)
