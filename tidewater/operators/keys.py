@@ -25,12 +25,27 @@ def next_key(df: DataFrame, key_col: str) -> int:
     return int(row["m"]) if row and row["m"] is not None else 0
 
 
+ROWS_PER_PARTITION = 2_000_000
+
+
+def partitions_for(spark, rows_bound: int | None, per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partition count sized by an upper bound of the rows (about
+    ``per_partition`` rows each); the shuffle setting when no bound is known."""
+    if rows_bound is None:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-int(rows_bound) // per_partition))
+
+
 def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence[str], start: int = 0,
-                num_partitions: int | None = None) -> DataFrame:
-    """Add ``key_col`` = start + row number of the row ordered by ``order_cols``."""
+                num_partitions: int | None = None, rows_bound: int | None = None) -> DataFrame:
+    """Add ``key_col`` = start + row number of the row ordered by ``order_cols``.
+
+    ``rows_bound`` (an upper bound of the rows, when the caller knows one)
+    sizes the range partitions; ``num_partitions`` overrides it.
+    """
     spark = df.sparkSession
     shared_root(spark)  # makes sure a checkpoint folder is set
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or partitions_for(spark, rows_bound)
     ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     pinned = ordered.checkpoint(eager=True)
     tagged = (pinned.withColumn("_pid", F.spark_partition_id())

@@ -23,13 +23,15 @@ from tidewater.operators.keys import assign_keys, next_key
 
 def scd2_merge(dim: DataFrame, snapshot: DataFrame, natural_key: str, tracked: Sequence[str],
                key_col: str, run_day: dt.date, batch_ts: str,
-               extra_cols: dict | None = None, start: int | None = None) -> DataFrame:
+               extra_cols: dict | None = None, start: int | None = None,
+               rows_bound: int | None = None) -> DataFrame:
     """Apply ``snapshot`` (natural key + tracked columns) to ``dim``.
 
     ``dim`` columns: key_col, natural_key, tracked..., extra..., valid_from,
     valid_to, is_current, loaded_at.  ``extra_cols`` maps untracked columns to
     their value for new versions (for instance region = null).  ``start`` is
-    the current largest key when the caller already knows it.
+    the current largest key when the caller already knows it; ``rows_bound``
+    bounds the new versions (the snapshot size) to size the key partitions.
     """
     tracked = list(tracked)
     extra_cols = extra_cols or {}
@@ -84,7 +86,8 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, natural_key: str, tracked: S
     fresh = merged.filter(F.col(key_col).isNull()).drop(key_col)
     if start is None:  # largest existing key, unless the caller knows it
         start = next_key(dim, key_col)
-    fresh = assign_keys(fresh, key_col, [natural_key], start=start).select(*cols)
+    fresh = assign_keys(fresh, key_col, [natural_key], start=start,
+                        rows_bound=rows_bound).select(*cols)
     return hist.unionByName(keyed).unionByName(fresh)
 
 

@@ -21,7 +21,7 @@ from tidewater.functions import date_key, ntz
 from tidewater.operators.calendar import CALENDAR_COLS, calendar, run_window
 from tidewater.operators.cleaning import clean_customers, clean_products, stage_sales
 from tidewater.operators.joins import broadcast_if_small
-from tidewater.operators.keys import assign_keys, next_key
+from tidewater.operators.keys import assign_keys, next_key, partitions_for
 from tidewater.operators.marks import (batch_max, extract_delta, initial_marks, read_marks,
                                        write_mark)
 from tidewater.operators.runlog import RunLog
@@ -249,7 +249,7 @@ def load_dimension(wh: Warehouse, run: Run, kind: str) -> int:
                            "loaded_at")
     merged = scd2_merge(target, snapshot, nk, tracked, key, run.day, run.batch_ts,
                         extra_cols={c: F.lit(None).cast("string") for c in extra},
-                        start=wh.next_key(dim, key))
+                        start=wh.next_key(dim, key), rows_bound=wh.rows.get(stg))
     return wh.write(run, dim, merged, key_col=key)["rows"]
 
 
@@ -278,19 +278,21 @@ def load_facts(wh: Warehouse, run: Run) -> int:
               else wh.empty(FACT_SCHEMA))
     kept = update_matched(target, lookup, ["original_sale_id"], ["quantity", "loaded_at"])
     fresh = new_rows(target, lookup, ["original_sale_id"])
+    staged = wh.rows.get("stg_fact_sales")
     fresh = assign_keys(fresh, "sale_key", ["original_sale_id"],
-                        start=wh.next_key("dwh_fact_sales", "sale_key"))
+                        start=wh.next_key("dwh_fact_sales", "sale_key"), rows_bound=staged)
     merged = kept.unionByName(fresh.select(*target.columns))
-    return wh.write(run, "dwh_fact_sales", fact_layout(wh.spark, merged), key_col="sale_key",
-                    partition_by=[MONTH_KEY])["rows"]
+    bound = (staged or 0) + wh.rows.get("dwh_fact_sales", 0)
+    return wh.write(run, "dwh_fact_sales", fact_layout(wh.spark, merged, bound),
+                    key_col="sale_key", partition_by=[MONTH_KEY])["rows"]
 
 
-def fact_layout(spark: SparkSession, fact: DataFrame) -> DataFrame:
+def fact_layout(spark: SparkSession, fact: DataFrame, rows_bound: int | None = None) -> DataFrame:
     """Range-partition by (date, sale id) before writing month directories:
     each task writes a contiguous date range (few files per month), tasks
     are balanced by sampled row counts, and the sale id splits a hot day
-    across tasks."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    across tasks.  ``rows_bound`` sizes the tasks (about 2M rows each)."""
+    n = partitions_for(spark, rows_bound)
     d = F.col("transaction_date")
     return (fact.repartitionByRange(n, "transaction_date", "original_sale_id")
             .withColumn(MONTH_KEY, (F.year(d) * 100 + F.month(d)).cast("int")))

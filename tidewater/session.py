@@ -21,6 +21,12 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Broadcast only behind a proven size: no static broadcast from file-size
+    # estimates (compressed Parquet can grow many times in memory); explicit
+    # hints follow a row count, and AQE converts a join at runtime from the
+    # measured shuffle size.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
 
