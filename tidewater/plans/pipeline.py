@@ -155,6 +155,7 @@ def new_warehouse(spark: SparkSession, root: str | None = None) -> Warehouse:
 
 
 def _logged(wh: Warehouse, process: str, fn):
+    wh.spark.sparkContext.setJobDescription(process)  # names the step's Spark jobs
     log_id = wh.log.start(process)
     try:
         n = fn()
@@ -288,14 +289,19 @@ def load_facts(wh: Warehouse, run: Run) -> int:
 
 
 def fact_layout(spark: SparkSession, fact: DataFrame, rows_bound: int | None = None) -> DataFrame:
-    """Range-partition by (date, sale id) before writing month directories:
-    each task writes a contiguous date range (few files per month), tasks
-    are balanced by sampled row counts, and the sale id splits a hot day
-    across tasks.  ``rows_bound`` sizes the tasks (about 2M rows each)."""
-    n = partitions_for(spark, rows_bound)
+    """Shape the fact for month directories.
+
+    ``rebalance`` on the month lets AQE size the write partitions from the
+    measured shuffle (advisory partition size) and split a hot month into
+    several tasks, without the sampling pass a range repartition costs; rows
+    are sorted by date inside each task so Parquet row groups carry tight
+    date statistics for row-group skipping.  ``rows_bound`` is unused here and
+    kept for callers that size partitions explicitly.
+    """
     d = F.col("transaction_date")
-    return (fact.repartitionByRange(n, "transaction_date", "original_sale_id")
-            .withColumn(MONTH_KEY, (F.year(d) * 100 + F.month(d)).cast("int")))
+    return (fact.withColumn(MONTH_KEY, (F.year(d) * 100 + F.month(d)).cast("int"))
+            .hint("rebalance", MONTH_KEY)
+            .sortWithinPartitions(MONTH_KEY, "transaction_date", "original_sale_id"))
 
 
 def advance_sales_mark(wh: Warehouse, run: Run) -> None:
