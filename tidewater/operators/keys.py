@@ -37,15 +37,21 @@ def partitions_for(spark, rows_bound: int | None, per_partition: int = ROWS_PER_
 
 
 def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence[str], start: int = 0,
-                num_partitions: int | None = None, rows_bound: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, rows_bound: int | None = None,
+                pin_input: bool = True) -> DataFrame:
     """Add ``key_col`` = start + row number of the row ordered by ``order_cols``.
 
     ``rows_bound`` (an upper bound of the rows, when the caller knows one)
     sizes the range partitions; ``num_partitions`` overrides it.
+    ``pin_input`` first checkpoints the rows to number (usually the few new
+    rows of a large join), so the range sampling and the shuffle read them
+    instead of evaluating the upstream plan twice.
     """
     spark = df.sparkSession
     shared_root(spark)  # makes sure a checkpoint folder is set
     n = num_partitions or partitions_for(spark, rows_bound)
+    if pin_input:
+        df = df.checkpoint(eager=True)
     ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     pinned = ordered.checkpoint(eager=True)
     tagged = (pinned.withColumn("_pid", F.spark_partition_id())
