@@ -28,12 +28,13 @@ class RunLog:
     (one per pipeline step) and materialised with :meth:`frame`.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, start_id: int = 0):
         self.spark = spark
+        self.start_id = start_id  # ids continue after the stored log's largest id
         self.rows: dict[int, dict] = {}
 
     def start(self, process: str, info: dict | None = None) -> int:
-        log_id = max(self.rows, default=0) + 1
+        log_id = max(self.rows, default=self.start_id) + 1
         now = _now()
         self.rows[log_id] = dict(log_id=log_id, process_name=process, start_time=now,
                                  end_time=None, status="RUNNING", rows_processed=0,

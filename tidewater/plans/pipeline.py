@@ -10,6 +10,7 @@ dimensions, facts, and finally the sales mark.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -154,6 +155,39 @@ def new_warehouse(spark: SparkSession, root: str | None = None) -> Warehouse:
     return Warehouse(spark=spark, store=LayerStore(spark, root), log=RunLog(spark))
 
 
+def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    """Reopen a warehouse from its manifest (the committed runs only)."""
+    wh = new_warehouse(spark, root)
+    entries = wh.store.load_manifest()
+    latest_log = [e for e in entries if e["table_name"] == "etl_logs"]
+    wh.store.restore(entries)
+    for e in entries:
+        run = wh.runs.setdefault(e["run"], {"versions": {}, "marks": {}})
+        run["versions"][e["table_name"]] = e["version"]
+        run["marks"] = json.loads(e["marks"] or "{}")
+        if e["version"] == wh.store.versions[e["table_name"]]:
+            if e["rows"] is not None:
+                wh.rows[e["table_name"]] = e["rows"]
+            if e["max_key"] is not None:
+                wh.max_keys[e["table_name"]] = e["max_key"]
+    if latest_log:
+        wh.log = RunLog(spark, start_id=wh.max_keys.get("etl_logs", 0))
+    return wh
+
+
+def next_run_number(wh: Warehouse) -> int:
+    return max(wh.runs, default=0) + 1
+
+
+def commit_run(wh: Warehouse, run: Run) -> None:
+    """Make the run visible to later processes (run-level atomicity)."""
+    r = wh.runs[run.number]
+    wh.store.commit(run.number, r["versions"],
+                    {t: wh.rows.get(t) for t in r["versions"]},
+                    {t: wh.max_keys.get(t) for t in r["versions"]},
+                    r["marks"], run.batch_ts)
+
+
 def _logged(wh: Warehouse, process: str, fn):
     wh.spark.sparkContext.setJobDescription(process)  # names the step's Spark jobs
     log_id = wh.log.start(process)
@@ -336,6 +370,14 @@ def run_pipeline(wh: Warehouse, run: Run) -> Warehouse:
     _both(wh, "stg_to_dwh", lambda kind: load_dimension(wh, run, kind))
     _logged(wh, "stg_to_dwh_sales", lambda: load_facts(wh, run))
     _logged(wh, "update_high_water_mark", lambda: (advance_sales_mark(wh, run), 1)[1])
-    # the run log itself is a warehouse table (one row per step)
-    wh.store.write("etl_logs", wh.log.frame())
+    # the run log is a warehouse table (one row per step), appended per run
+    stored = wh.max_keys.get("etl_logs", 0)
+    fresh = wh.log.frame().filter(F.col("log_id") > stored)
+    logs = wh.table("etl_logs").unionByName(fresh) if wh.store.has("etl_logs") else fresh
+    wh.write(run, "etl_logs", logs, key_col="log_id")
+    # carry forward tables this run did not rewrite, then publish the run
+    for name in list(wh.store.versions):
+        if name not in wh.runs[run.number]["versions"]:
+            wh.keep(run, name)
+    commit_run(wh, run)
     return wh

@@ -5,16 +5,28 @@ and the store points at it only after Spark's commit protocol finished the
 write.  A path that is being read is never overwritten, so a failed or
 retried job leaves the previous version intact (executors may be lost at any
 time; the write is redone by task retry or by rerunning the step).
+
+A pipeline run becomes visible to later processes only when
+:meth:`LayerStore.commit` appends its versions to the run manifest (a
+Parquet folder, one small append per run).  A run that dies half way leaves
+unreferenced directories behind, never a half-updated warehouse; version
+directories carry a per-process token so a retry never collides with them.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.session import shared_root
 
+MANIFEST = "manifest"
+MANIFEST_SCHEMA = ("run int, table_name string, version int, path string, rows long, "
+                   "max_key long, marks string, committed_at string")
+
 
 class LayerStore:
     """Named tables, each a sequence of immutable Parquet versions."""
@@ -22,12 +34,13 @@ class LayerStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or f"{shared_root(spark)}/tidewater-{uuid.uuid4().hex[:12]}").rstrip("/")
+        self.token = uuid.uuid4().hex[:8]
         self.versions: dict[str, int] = {}
-        self.schemas: dict[str, str] = {}
+        self.paths: dict[tuple[str, int], str] = {}
 
     def path(self, name: str, version: int | None = None) -> str:
         v = self.versions[name] if version is None else version
-        return f"{self.root}/{name}/v{v:04d}"
+        return self.paths[(name, v)]
 
     def has(self, name: str) -> bool:
         return name in self.versions
@@ -35,12 +48,13 @@ class LayerStore:
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version of ``name``; return the new table."""
         version = self.versions.get(name, 0) + 1
+        path = f"{self.root}/{name}/v{version:04d}-{self.token}"
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(name, version))
+        writer.parquet(path)
+        self.paths[(name, version)] = path
         self.versions[name] = version
-        self.schemas[name] = df.schema.simpleString()
         return self.read(name)
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
@@ -48,3 +62,32 @@ class LayerStore:
 
     def read_or(self, name: str, empty: DataFrame) -> DataFrame:
         return self.read(name) if self.has(name) else empty
+
+    # ------------------------------------------------------------ run manifest
+    def commit(self, run: int, versions: dict[str, int], rows: dict[str, int],
+               max_keys: dict[str, int], marks: dict[str, str], at: str) -> None:
+        """Publish one run: append its table versions to the manifest."""
+        entries = [(run, t, v, self.paths[(t, v)], rows.get(t), max_keys.get(t),
+                    json.dumps(marks), at) for t, v in sorted(versions.items())]
+        (self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(f"{self.root}/{MANIFEST}"))
+
+    def load_manifest(self) -> list[dict]:
+        """Committed runs (one row per table version; small metadata)."""
+        try:
+            df = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/{MANIFEST}")
+            return [r.asDict() for r in df.orderBy("run", "table_name").collect()]
+        except Exception as exc:  # no manifest yet: an empty warehouse
+            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+                return []
+            raise
+
+    def restore(self, entries: list[dict]) -> None:
+        for e in entries:
+            self.paths[(e["table_name"], e["version"])] = e["path"]
+            if e["version"] >= self.versions.get(e["table_name"], 0):
+                self.versions[e["table_name"]] = e["version"]
+
+
+def manifest_frame(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root.rstrip('/')}/{MANIFEST}").orderBy(F.desc("run"))
