@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -116,7 +117,7 @@ class Warehouse:
             metrics.append(F.max(key_col).alias("max_key"))
         if touched is not None:
             metrics.append(F.count(F.when(touched, 1)).alias("touched"))
-        obs = Observation(f"{name}_{run.number}_{self.store.versions.get(name, 0) + 1}")
+        obs = Observation(f"{name}_{run.number}_{uuid.uuid4().hex[:8]}")
         self.store.write(name, df.observe(obs, *metrics), partition_by=partition_by)
         got = obs.get
         self.rows[name] = int(got["rows"])
