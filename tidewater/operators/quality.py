@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# --- fixed values: the run-log statuses the reference's check constraint allows
 STATUSES = ["RUNNING", "SUCCESS", "FAILED", "WARNING"]
 
 

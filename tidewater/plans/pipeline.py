@@ -29,6 +29,7 @@ from tidewater.operators.marks import (batch_max, extract_delta, initial_marks,
 from tidewater.operators.runlog import RunLog
 from tidewater.operators.scd2 import empty_dimension, scd2_merge
 from tidewater.operators.upsert import latest_per_key, new_rows, update_matched, upsert
+from tidewater.session import shared_root
 from tidewater.sources.store import LayerStore
 
 MRR_SCHEMAS = {
@@ -153,6 +154,7 @@ class Warehouse:
 
 
 def new_warehouse(spark: SparkSession, root: str | None = None) -> Warehouse:
+    shared_root(spark)  # set the checkpoint folder once, before any worker thread
     return Warehouse(spark=spark, store=LayerStore(spark, root), log=RunLog(spark))
 
 
@@ -348,27 +350,28 @@ def advance_sales_mark(wh: Warehouse, run: Run) -> None:
     wh.keep(run, "high_water_mark")
 
 
-def _both(wh: Warehouse, process: str, fn) -> None:
-    """Run the customer and product branches concurrently (independent
-    jobs; Spark schedules them side by side on the cluster)."""
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        futures = [pool.submit(_logged, wh, f"{process}_{kind}", lambda kind=kind: fn(kind))
-                   for kind in ("customers", "products")]
+def _parallel(wh: Warehouse, steps: list[tuple[str, object]]) -> None:
+    """Run independent steps as concurrent Spark jobs (they read and write
+    different tables); the first failure is raised after all finished."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = [pool.submit(_logged, wh, process, fn) for process, fn in steps]
         for f in futures:
             f.result()
 
 
 def run_pipeline(wh: Warehouse, run: Run) -> Warehouse:
-    # source -> mirror: both dimensions in parallel, then sales
+    # source -> mirror: the three extracts touch different tables
     prepare_marks(wh, run)
-    _both(wh, "operational_to_mrr", lambda kind: extract_one(wh, run, kind))
-    _logged(wh, "operational_to_mrr_sales", lambda: extract_one(wh, run, "sales"))
-    # mirror -> staging
-    _both(wh, "mrr_to_stg", lambda kind: stage_dimension(wh, run, kind))
-    _logged(wh, "mrr_to_stg_sales", lambda: stage_sales_table(wh, run))
-    # staging -> warehouse
-    _logged(wh, "stg_to_dwh_date_dimension", lambda: load_calendar(wh, run))
-    _both(wh, "stg_to_dwh", lambda kind: load_dimension(wh, run, kind))
+    _parallel(wh, [(f"operational_to_mrr_{k}", lambda k=k: extract_one(wh, run, k))
+                   for k in ("customers", "products", "sales")])
+    # mirror -> staging: each staging table reads only its own mirror table
+    _parallel(wh, [(f"mrr_to_stg_{k}", lambda k=k: stage_dimension(wh, run, k))
+                   for k in ("customers", "products")]
+              + [("mrr_to_stg_sales", lambda: stage_sales_table(wh, run))])
+    # staging -> warehouse: calendar and both dimensions, then facts, then mark
+    _parallel(wh, [("stg_to_dwh_date_dimension", lambda: load_calendar(wh, run))]
+              + [(f"stg_to_dwh_{k}", lambda k=k: load_dimension(wh, run, k))
+                 for k in ("customers", "products")])
     _logged(wh, "stg_to_dwh_sales", lambda: load_facts(wh, run))
     _logged(wh, "update_high_water_mark", lambda: (advance_sales_mark(wh, run), 1)[1])
     # the run log is a warehouse table (one row per step), appended per run
