@@ -127,13 +127,13 @@ def velocity(fact: DataFrame, products: DataFrame, days: int = C.VELOCITY_DAYS,
 
 
 def group_performance(fact: DataFrame, products: DataFrame, start: dt.date | None = None,
-                      end: dt.date | None = None) -> DataFrame:
+                      end: dt.date | None = None, rows_p: int | None = None) -> DataFrame:
     """Per product group of the current products: the eight fields of the
     reference's JSON object, as typed columns.  Unset dates default to the
     first and last sale found; a group without sales gets zeros."""
     cur = products.filter(F.col("is_current")).select("product_key", "product_group")
     f = _optional_range(fact, "transaction_date", start, end)
-    j = f.join(broadcast_if_small(cur), "product_key")
+    j = f.join(broadcast_if_small(cur, rows_p), "product_key")
     agg = j.groupBy("product_group").agg(
         F.sum("quantity").alias("_q"), F.count(F.lit(1)).alias("_n"),
         F.countDistinct("customer_key").alias("_c"), F.countDistinct("product_key").alias("_p"),
@@ -195,12 +195,13 @@ def top_customers(fact: DataFrame, customers: DataFrame, n: int = C.TOP_N,
             .orderBy(F.desc("total_quantity"), F.asc("customer_id")).limit(n))
 
 
-def monthly_group_sales(fact: DataFrame, products: DataFrame) -> DataFrame:
+def monthly_group_sales(fact: DataFrame, products: DataFrame,
+                        rows_p: int | None = None) -> DataFrame:
     """Year, month, product group (of the version each sale points to), sum."""
     per = fact.groupBy(F.year("transaction_date").alias("year"),
                        F.month("transaction_date").alias("month"), "product_key").agg(
         F.sum("quantity").alias("_q"))
-    dim = broadcast_if_small(products.select("product_key", "product_group"))
+    dim = broadcast_if_small(products.select("product_key", "product_group"), rows_p)
     return (per.join(dim, "product_key").groupBy("year", "month", "product_group")
             .agg(F.sum("_q").alias("total_quantity")))
 
@@ -241,11 +242,12 @@ def current_counts(fact: DataFrame, customers: DataFrame, products: DataFrame) -
     return one_row([f, c, p])
 
 
-def point_in_time_sales(fact: DataFrame, customers: DataFrame) -> DataFrame:
+def point_in_time_sales(fact: DataFrame, customers: DataFrame,
+                        rows_c: int | None = None) -> DataFrame:
     """Sales by the customer's country *on the sale date* (the version valid
     then), by year: the corrected form of the current-version metrics."""
     ids = customers.select("customer_key", "customer_id")
-    f = fact.join(broadcast_if_small(ids), "customer_key").select(
+    f = fact.join(broadcast_if_small(ids, rows_c), "customer_key").select(
         "customer_id", "transaction_date", "quantity")
     versions = customers.select("customer_id", "country", "valid_from", "valid_to")
     j = as_of_join(f, versions, "customer_id", "transaction_date")
@@ -255,11 +257,12 @@ def point_in_time_sales(fact: DataFrame, customers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("transaction_count"))
 
 
-def weekend_quantity(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+def weekend_quantity(fact: DataFrame, calendar: DataFrame,
+                     rows_cal: int | None = None) -> DataFrame:
     """Quantity on weekend and weekday dates through the calendar dimension."""
     per = fact.groupBy("date_key").agg(F.sum("quantity").alias("_q"),
                                        F.count(F.lit(1)).alias("_n"))
-    cal = broadcast_if_small(calendar.select("date_key", "is_weekend"))
+    cal = broadcast_if_small(calendar.select("date_key", "is_weekend"), rows_cal)
     return (per.join(cal, "date_key").groupBy("is_weekend")
             .agg(F.sum("_q").alias("total_quantity"), F.sum("_n").alias("transaction_count")))
 

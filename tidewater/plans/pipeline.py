@@ -89,18 +89,25 @@ class Warehouse:
     runs: dict[int, dict] = field(default_factory=dict)   # per-run versions and marks
     rows: dict[str, int] = field(default_factory=dict)    # row count of the current versions
     max_keys: dict[str, int] = field(default_factory=dict)  # largest surrogate key written
+    _frames: dict = field(default_factory=dict)  # read DataFrame per (table, version)
+
+    def _read(self, name: str, run: int | None = None) -> DataFrame:
+        """The stored version, read once per version: a DataFrame keeps its
+        file index, so repeated queries do not list the folders again."""
+        version = self.store.versions[name] if run is None else self.runs[run]["versions"][name]
+        key = (name, version)
+        if key not in self._frames:
+            self._frames[key] = self.store.read(name, version)
+        return self._frames[key]
 
     def table(self, name: str, run: int | None = None) -> DataFrame:
-        df = (self.store.read(name) if run is None
-              else self.store.read(name, self.runs[run]["versions"][name]))
-        return df.drop(*PARTITION_COLS.get(name, []))
+        return self._read(name, run).drop(*PARTITION_COLS.get(name, []))
 
     def facts_between(self, start: dt.date | None, end: dt.date | None,
                       run: int | None = None) -> DataFrame:
         """Facts with ``start <= transaction_date <= end`` (either bound may be
         open); the month bounds prune partition directories at planning time."""
-        df = (self.store.read("dwh_fact_sales") if run is None
-              else self.store.read("dwh_fact_sales", self.runs[run]["versions"]["dwh_fact_sales"]))
+        df = self._read("dwh_fact_sales", run)
         if start is not None:
             df = df.filter((F.col(MONTH_KEY) >= start.year * 100 + start.month)
                            & (F.col("transaction_date") >= F.lit(start)))

@@ -146,7 +146,8 @@ def q_velocity(spark, sf_dir):
 
 def q_group_performance(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return M.group_performance(wh.table("dwh_fact_sales"), wh.table("dwh_dim_products"))
+    return M.group_performance(wh.table("dwh_fact_sales"), wh.table("dwh_dim_products"),
+                               rows_p=wh.rows.get("dwh_dim_products"))
 
 
 def q_mom_growth(spark, sf_dir):
@@ -155,7 +156,8 @@ def q_mom_growth(spark, sf_dir):
 
 def q_monthly_group_sales(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return M.monthly_group_sales(wh.table("dwh_fact_sales"), wh.table("dwh_dim_products"))
+    return M.monthly_group_sales(wh.table("dwh_fact_sales"), wh.table("dwh_dim_products"),
+                                 wh.rows.get("dwh_dim_products"))
 
 
 def q_top_groups(spark, sf_dir):
@@ -171,12 +173,14 @@ def q_source_profile(spark, sf_dir):
 # --------------------------------------------------------------- step 6: as-of, calendar join
 def q_point_in_time_sales(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return M.point_in_time_sales(wh.table("dwh_fact_sales"), wh.table("dwh_dim_customers"))
+    return M.point_in_time_sales(wh.table("dwh_fact_sales"), wh.table("dwh_dim_customers"),
+                                 wh.rows.get("dwh_dim_customers"))
 
 
 def q_weekend_quantity(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return M.weekend_quantity(wh.table("dwh_fact_sales"), wh.table("dwh_dim_date"))
+    return M.weekend_quantity(wh.table("dwh_fact_sales"), wh.table("dwh_dim_date"),
+                              wh.rows.get("dwh_dim_date"))
 
 
 # --------------------------------------------------------------- step 7: run log
