@@ -110,3 +110,59 @@ def test_current_version_metrics(wh):
     pit = {(r["country_at_sale"]): r["total_quantity"]
            for r in rows(M.point_in_time_sales(fact, cust))}
     assert pit == {"us": 10, "UK": 5, "FR": 1}
+
+
+def test_two_increments_equal_one_full_load(spark):
+    """In-order data, unchanged dimensions: two increments = one full load."""
+    custs = spark.createDataFrame([(1, "Ann", "US", C0, C0), (2, "Bob", "UK", C0, C0)], CUST)
+    prods = spark.createDataFrame([(10, "Widget", "Tools", C0, C0)], PROD)
+    items = [(100 + i, 1 + i % 2, 10, 1 + i, f"2024-01-{10 + i:02d} 00:00:00") for i in range(8)]
+    first = sales(spark, items[:5])
+    full = sales(spark, items)
+
+    inc = new_warehouse(spark)
+    run_pipeline(inc, Run(1, D("2024-01-15"), "2024-01-15 06:00:00",
+                          {"customers": custs, "products": prods, "sales": first}))
+    run_pipeline(inc, Run(2, D("2024-01-20"), "2024-01-20 06:00:00",
+                          {"customers": custs, "products": prods, "sales": full}))
+    once = new_warehouse(spark)
+    run_pipeline(once, Run(1, D("2024-01-20"), "2024-01-20 06:00:00",
+                           {"customers": custs, "products": prods, "sales": full}))
+
+    def content(w):
+        f = w.table("dwh_fact_sales").join(w.table("dwh_dim_customers"), "customer_key")
+        return sorted((r["original_sale_id"], r["customer_id"], r["quantity"], r["transaction_date"])
+                      for r in f.collect())
+    assert content(inc) == content(once) and len(content(once)) == 8
+    assert [r["sale_key"] for r in rows(once.table("dwh_fact_sales"), "original_sale_id")] == \
+        list(range(1, 9))
+    assert [r["sale_key"] for r in rows(inc.table("dwh_fact_sales"), "original_sale_id")] == \
+        list(range(1, 9))
+
+
+def test_order_column_and_calendar_are_parameters(spark):
+    from tidewater.operators.marks import write_mark
+    c1 = spark.createDataFrame([(1, "Ann", "US", C0, C0)], CUST)
+    # an edit that moves only updated_at
+    c2 = spark.createDataFrame([(1, "Ann", "CA", C0, T("2024-03-01 00:00:00"))], CUST)
+    prods = spark.createDataFrame([(10, "Widget", "Tools", C0, C0)], PROD)
+    s = sales(spark, [(100, 1, 10, 2, "2024-01-10 00:00:00")])
+
+    def two_runs(order_cols):
+        w = new_warehouse(spark)
+        r1 = Run(1, D("2024-01-15"), "2024-01-15 06:00:00",
+                 {"customers": c1, "products": prods, "sales": s}, order_cols=order_cols,
+                 calendar=(D("2024-01-01"), D("2024-01-31")))
+        run_pipeline(w, r1)
+        # suppose the customers mark had advanced to the first load
+        w.write(r1, "high_water_mark", write_mark(w.table("high_water_mark"), "customers", C0,
+                                                  "2024-01-15 06:00:00"))
+        run_pipeline(w, Run(2, D("2024-03-02"), "2024-03-02 06:00:00",
+                            {"customers": c2, "products": prods, "sales": s},
+                            order_cols=order_cols, calendar=(D("2024-01-01"), D("2024-03-31"))))
+        cur = {r["customer_id"]: r["country"]
+               for r in w.table("dwh_dim_customers").filter("is_current").collect()}
+        return cur, w.rows["dwh_dim_date"]
+
+    assert two_runs({}) == ({1: "US"}, 91)  # created_at did not move: the edit is missed
+    assert two_runs({"customers": "updated_at"}) == ({1: "CA"}, 91)

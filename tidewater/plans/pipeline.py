@@ -75,10 +75,20 @@ SALES_ORDER = ["transaction_date", "product_id", "qty", "customer_id"]
 
 @dataclass
 class Run:
+    """One pipeline run.
+
+    ``order_cols`` overrides the delta column per source table (the
+    reference tests ``created_at`` for dimensions, so edits that only move
+    ``updated_at`` are missed; pass ``{"customers": "updated_at"}`` to catch
+    them).  ``calendar`` overrides the calendar window (default: 2 years
+    back to 1 year ahead of ``day``).
+    """
     number: int
     day: dt.date
     batch_ts: str
     sources: dict[str, DataFrame]
+    order_cols: dict[str, str] = field(default_factory=dict)
+    calendar: tuple[dt.date, dt.date] | None = None
 
 
 @dataclass
@@ -229,6 +239,7 @@ def extract_one(wh: Warehouse, run: Run, source_name: str) -> int:
     delta is a success with 0 rows and leaves the mirror unchanged.
     """
     _, mirror, order_col, cols = next(e for e in EXTRACTS if e[0] == source_name)
+    order_col = run.order_cols.get(source_name, order_col)
     mark = wh.runs[run.number]["marks"][source_name]
     delta = extract_delta(run.sources[source_name], order_col, mark)
     order = SALES_ORDER if source_name == "sales" else [order_col]
@@ -272,7 +283,7 @@ def load_calendar(wh: Warehouse, run: Run, start: dt.date | None = None,
                   end: dt.date | None = None) -> int:
     """Insert the run's calendar window; existing days are left alone."""
     if start is None or end is None:
-        start, end = run_window(run.day)
+        start, end = run.calendar or run_window(run.day)
     target = wh.store.read_or("dwh_dim_date", wh.empty(CALENDAR_SCHEMA))
     batch = calendar(wh.spark, start, end).select(*CALENDAR_COLS)
     added = new_rows(target, batch, ["date_key"])
