@@ -23,7 +23,7 @@ from tidewater.functions import date_key, ntz
 from tidewater.operators.calendar import CALENDAR_COLS, calendar, run_window
 from tidewater.operators.cleaning import clean_customers, clean_products, stage_sales
 from tidewater.operators.joins import broadcast_if_small
-from tidewater.operators.keys import assign_keys, next_key, partitions_for
+from tidewater.operators.keys import assign_keys, next_key
 from tidewater.operators.marks import (batch_max, extract_delta, initial_marks, read_marks,
                                        write_mark)
 from tidewater.operators.runlog import RunLog
@@ -338,20 +338,18 @@ def load_facts(wh: Warehouse, run: Run) -> int:
     fresh = assign_keys(fresh, "sale_key", ["original_sale_id"],
                         start=wh.next_key("dwh_fact_sales", "sale_key"), rows_bound=staged)
     merged = kept.unionByName(fresh.select(*target.columns))
-    bound = (staged or 0) + wh.rows.get("dwh_fact_sales", 0)
-    return wh.write(run, "dwh_fact_sales", fact_layout(wh.spark, merged, bound),
+    return wh.write(run, "dwh_fact_sales", fact_layout(merged),
                     key_col="sale_key", partition_by=[MONTH_KEY])["rows"]
 
 
-def fact_layout(spark: SparkSession, fact: DataFrame, rows_bound: int | None = None) -> DataFrame:
+def fact_layout(fact: DataFrame) -> DataFrame:
     """Shape the fact for month directories.
 
     ``rebalance`` on the month lets AQE size the write partitions from the
     measured shuffle (advisory partition size) and split a hot month into
     several tasks, without the sampling pass a range repartition costs; rows
     are sorted by date inside each task so Parquet row groups carry tight
-    date statistics for row-group skipping.  ``rows_bound`` is unused here and
-    kept for callers that size partitions explicitly.
+    date statistics for row-group skipping.
     """
     d = F.col("transaction_date")
     return (fact.withColumn(MONTH_KEY, (F.year(d) * 100 + F.month(d)).cast("int"))
