@@ -29,13 +29,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str] | None = None,
-           order_cols: Sequence[str] | None = None) -> DataFrame:
+           order_cols: Sequence[str] | None = None,
+           broadcast_batch: bool = False) -> DataFrame:
     """Merge ``batch`` into ``target`` on ``keys``.
 
     ``update_cols=None`` replaces whole rows; otherwise only those columns
     take the batch value on a key match and the rest keep the target's.
     Unmatched batch rows are inserted.  ``order_cols`` first reduces the batch
-    to its latest row per key.
+    to its latest row per key.  ``broadcast_batch`` (only when the caller
+    has bounded the batch size) broadcasts the batch keys, so a large target
+    is scanned and filtered without being shuffled.
     """
     keys = list(keys)
     if order_cols:
@@ -43,7 +46,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     cols = target.columns
     batch = batch.select(*cols)
     if update_cols is None:
-        return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+        batch_keys = batch.select(*keys)
+        if broadcast_batch:
+            batch_keys = F.broadcast(batch_keys)
+        return target.join(batch_keys, keys, "left_anti").unionByName(batch)
     update = set(update_cols)
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
     b = batch.withColumn("_in_b", F.lit(True)).alias("b")

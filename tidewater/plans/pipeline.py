@@ -22,7 +22,7 @@ from tidewater import config as C
 from tidewater.functions import date_key, ntz
 from tidewater.operators.calendar import CALENDAR_COLS, calendar, run_window
 from tidewater.operators.cleaning import clean_customers, clean_products, stage_sales
-from tidewater.operators.joins import broadcast_if_small
+from tidewater.operators.joins import broadcast_if_small, max_broadcast_rows
 from tidewater.operators.keys import assign_keys, next_key
 from tidewater.operators.marks import (batch_max, extract_delta, initial_marks, read_marks,
                                        write_mark)
@@ -145,16 +145,6 @@ class Warehouse:
         self.runs[run.number]["versions"][name] = self.store.versions[name]
         return got
 
-    def discard_last(self, run: Run, name: str, rows: int) -> None:
-        """Drop the version just written (an empty batch changes nothing)."""
-        self.store.versions[name] -= 1
-        self.rows[name] = rows
-        if self.store.versions[name] == 0:
-            del self.store.versions[name]
-            self.runs[run.number]["versions"].pop(name, None)
-        else:
-            self.runs[run.number]["versions"][name] = self.store.versions[name]
-
     def next_key(self, name: str, key_col: str) -> int:
         if name in self.max_keys:
             return self.max_keys[name]
@@ -235,8 +225,11 @@ def prepare_marks(wh: Warehouse, run: Run) -> dict[str, str]:
 def extract_one(wh: Warehouse, run: Run, source_name: str) -> int:
     """Delta extract by mark and upsert into the mirror.
 
-    The mark is a literal predicate pushed to the source scan.  An empty
-    delta is a success with 0 rows and leaves the mirror unchanged.
+    The mark is a literal predicate pushed to the source scan.  The batch
+    (latest row per id of the delta) is pinned with a checkpoint and counted
+    while it is written: an empty delta is a success with 0 rows that leaves
+    the mirror unchanged, and a batch within the broadcast limit has its keys
+    broadcast, so the large mirror is filtered without a shuffle.
     """
     _, mirror, order_col, cols = next(e for e in EXTRACTS if e[0] == source_name)
     order_col = run.order_cols.get(source_name, order_col)
@@ -246,13 +239,16 @@ def extract_one(wh: Warehouse, run: Run, source_name: str) -> int:
     keep = cols + [c for c in order if c not in cols]
     batch = (latest_per_key(delta.select(*keep), ["id"], order)
              .select(*cols).withColumn("loaded_at", ntz(run.batch_ts)))
-    had, before = wh.store.has(mirror), wh.rows.get(mirror, 0)
+    obs = Observation(f"batch_{source_name}_{uuid.uuid4().hex[:8]}")
+    batch = batch.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    n = int(obs.get["rows"])
+    if n == 0:
+        wh.keep(run, mirror)
+        return 0
     target = wh.store.read_or(mirror, wh.empty(MRR_SCHEMAS[mirror]))
-    got = wh.write(run, mirror, upsert(target, batch, ["id"]),
-                   touched=F.col("loaded_at") == ntz(run.batch_ts))
-    if got["touched"] == 0 and had:  # empty delta: keep the previous version
-        wh.discard_last(run, mirror, before)
-    return int(got["touched"])
+    small = n <= max_broadcast_rows(batch)
+    wh.write(run, mirror, upsert(target, batch, ["id"], broadcast_batch=small))
+    return n
 
 
 STAGE_DIMS = {
