@@ -12,11 +12,15 @@ replayed after a failure gives the same table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import max_broadcast_rows
+
 from tidewater.operators.upsert import latest_per_key, upsert
 from tidewater.sources.store import LayerStore
 
@@ -47,8 +51,16 @@ class StreamingMirror:
     def _apply(self, batch: DataFrame, epoch_id: int) -> None:
         latest = latest_per_key(batch.select(*self.cols), self.keys, self.order_cols)
         latest = latest.withColumn("batch_id", F.lit(epoch_id).cast("long"))
+        # pin the micro-batch once and count it; a small batch filters the
+        # mirror through broadcast keys instead of shuffling the mirror
+        obs = Observation(f"stream_{self.table}_{epoch_id}_{uuid.uuid4().hex[:8]}")
+        latest = latest.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+        rows = int(obs.get["rows"])
+        if rows == 0:
+            return
         target = self.store.read_or(self.table, self._empty())
-        self.store.write(self.table, upsert(target, latest, self.keys))
+        self.store.write(self.table, upsert(target, latest, self.keys,
+                                            broadcast_batch=rows <= max_broadcast_rows(latest)))
         self.batches.append(epoch_id)
 
     def run_available(self) -> None:
