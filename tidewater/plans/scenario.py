@@ -10,6 +10,8 @@ and late rows missed by the strict mark.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import SparkSession
 
 from tidewater import config as C
@@ -17,6 +19,7 @@ from tidewater.plans.pipeline import Run, Warehouse, new_warehouse, run_pipeline
 from tidewater.sources.adapter import source_customers, source_products, source_sales
 
 _BUILT: dict[tuple, Warehouse] = {}
+_LOCK = threading.Lock()
 
 
 def scenario_runs(spark: SparkSession, sf_dir: str) -> list[Run]:
@@ -40,8 +43,9 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The scenario's warehouse, built once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    wh = _BUILT.get(key)
-    if wh is None:
-        wh = build_warehouse(spark, sf_dir)
-        _BUILT[key] = wh
+    with _LOCK:  # callers on several threads share one build
+        wh = _BUILT.get(key)
+        if wh is None:
+            wh = build_warehouse(spark, sf_dir)
+            _BUILT[key] = wh
     return wh
