@@ -82,5 +82,9 @@ def test_keys_orphans_cascade(spark):
     assert dup == [{"table_name": "sales", "key_value": "1", "copies": 2}]
     orph = rows(Q.orphans(sales, parents, "customer_id", "cid", "missing customer"))
     assert [(r["id"], r["reason"]) for r in orph] == [(2, "missing customer")]
+    other = spark.createDataFrame([(1,)], "pid long")
+    rep = rows(Q.orphan_report(sales, [(parents, "customer_id", "cid", "missing customer"),
+                                       (other, "id", "pid", "missing other")], ["id"]), "id", "reason")
+    assert [(r["id"], r["reason"]) for r in rep] == [(2, "missing customer"), (2, "missing other")]
     kept = rows(Q.cascade_keep(sales, parents, "customer_id", "cid"), "customer_id")
     assert [r["customer_id"] for r in kept] == [10, 11]

@@ -74,6 +74,27 @@ def orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str
             .withColumn("reason", F.lit(reason)))
 
 
+def orphan_report(child: DataFrame, checks: list[tuple[DataFrame, str, str, str]],
+                  keep: Sequence[str]) -> DataFrame:
+    """One pass over ``child`` for several references.
+
+    ``checks`` are (parent, child_col, parent_col, reason).  Each parent's
+    distinct keys are left-joined with a presence flag; a child row yields
+    one output row per missing parent (``keep`` columns plus ``reason``).
+    """
+    j = child
+    reasons = []
+    for i, (parent, child_col, parent_col, reason) in enumerate(checks):
+        keys = parent.select(F.col(parent_col).alias(f"_k{i}")).distinct() \
+            .withColumn(f"_has{i}", F.lit(True))
+        j = j.join(keys, F.col(child_col) == F.col(f"_k{i}"), "left")
+        reasons.append(F.when(F.col(f"_has{i}").isNull(), F.lit(reason)))
+    missing = F.filter(F.array(*reasons), lambda r: r.isNotNull())
+    return (j.select(*keep, missing.alias("_missing"))
+            .filter(F.size("_missing") > 0)
+            .select(*keep, F.explode("_missing").alias("reason")))
+
+
 def cascade_keep(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str) -> DataFrame:
     """Rows that survive a cascading delete of the parents not in ``parent``."""
     return child.join(parent.select(F.col(parent_col).alias("_pk")),

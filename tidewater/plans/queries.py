@@ -248,28 +248,23 @@ def q_rule_summary(spark, sf_dir):
 
 def q_orphans(spark, sf_dir):
     """Source sales of run 1 without their customer or product (C5) and
-    warehouse facts without a customer, product or calendar row (C6)."""
+    warehouse facts without a customer, product or calendar row (C6); each
+    child table is read once."""
     wh = _wh(spark, sf_dir)
     s1 = A.source_sales(spark, sf_dir, 1).select(F.col("id").alias("sale_id"), "customer_id",
                                                    "product_id")
     c1, p1 = A.source_customers(spark, sf_dir, 1), A.source_products(spark, sf_dir, 1)
+    source = Q.orphan_report(s1, [(c1, "customer_id", "id", "missing customer"),
+                                  (p1, "product_id", "id", "missing product")], ["sale_id"])
     fact = wh.table("dwh_fact_sales").select(F.col("original_sale_id").alias("sale_id"),
                                              "customer_key", "product_key", "date_key")
-    parts = [
-        Q.orphans(s1, c1, "customer_id", "id", "missing customer").withColumn("layer", F.lit("source")),
-        Q.orphans(s1, p1, "product_id", "id", "missing product").withColumn("layer", F.lit("source")),
-        Q.orphans(fact, wh.table("dwh_dim_customers"), "customer_key", "customer_key",
-                  "missing customer").withColumn("layer", F.lit("warehouse")),
-        Q.orphans(fact, wh.table("dwh_dim_products"), "product_key", "product_key",
-                  "missing product").withColumn("layer", F.lit("warehouse")),
-        Q.orphans(fact, wh.table("dwh_dim_date"), "date_key", "date_key",
-                  "missing date").withColumn("layer", F.lit("warehouse")),
-    ]
-    out = None
-    for p in parts:
-        p = p.select("layer", "sale_id", "reason")
-        out = p if out is None else out.unionByName(p)
-    return out
+    dims = [(wh.table("dwh_dim_customers"), "customer_key", "customer_key", "missing customer"),
+            (wh.table("dwh_dim_products"), "product_key", "product_key", "missing product"),
+            (wh.table("dwh_dim_date"), "date_key", "date_key", "missing date")]
+    warehouse_side = Q.orphan_report(fact, dims, ["sale_id"])
+    return (source.withColumn("layer", F.lit("source"))
+            .unionByName(warehouse_side.withColumn("layer", F.lit("warehouse")))
+            .select("layer", "sale_id", "reason"))
 
 
 def q_duplicate_keys(spark, sf_dir):
