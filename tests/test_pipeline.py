@@ -80,6 +80,11 @@ def test_marks_and_empty_delta(wh):
     assert wh.runs[3]["versions"]["mrr_fact_sales"] == wh.versions_before_run3["mrr_fact_sales"]
     ops = [r for r in wh.log.rows.values() if r["process_name"] == "operational_to_mrr_sales"]
     assert [r["rows_processed"] for r in ops] == [3, 2, 0]
+    # batch maximum of the extracted order column (H4), kept with the mark used
+    assert wh.runs[1]["batch_max"]["sales"] == "2024-01-12 00:00:00"
+    assert wh.runs[2]["batch_max"]["sales"] == "2024-02-02 00:00:00"
+    assert wh.runs[3]["batch_max"]["sales"] is None
+    assert '"batch_max": "2024-02-02 00:00:00"' in ops[1]["additional_info"]
     assert all(r["status"] == "SUCCESS" for r in wh.log.rows.values())
     assert wh.log.frame().filter("duration_us < 0").count() == 0
 

@@ -206,7 +206,8 @@ def _logged(wh: Warehouse, process: str, fn):
     except Exception as exc:  # log, then re-raise: the failed step publishes nothing
         wh.log.end(log_id, "FAILED", error=str(exc)[:1000])
         raise
-    wh.log.end(log_id, "SUCCESS", processed=int(n or 0), inserted=int(n or 0))
+    n, info = n if isinstance(n, tuple) else (n, None)  # steps may add metadata
+    wh.log.end(log_id, "SUCCESS", processed=int(n or 0), inserted=int(n or 0), info=info)
     return n
 
 
@@ -222,7 +223,7 @@ def prepare_marks(wh: Warehouse, run: Run) -> dict[str, str]:
     return used
 
 
-def extract_one(wh: Warehouse, run: Run, source_name: str) -> int:
+def extract_one(wh: Warehouse, run: Run, source_name: str) -> tuple[int, dict]:
     """Delta extract by mark and upsert into the mirror.
 
     The mark is a literal predicate pushed to the source scan.  The batch
@@ -236,19 +237,28 @@ def extract_one(wh: Warehouse, run: Run, source_name: str) -> int:
     mark = wh.runs[run.number]["marks"][source_name]
     delta = extract_delta(run.sources[source_name], order_col, mark)
     order = SALES_ORDER if source_name == "sales" else [order_col]
+    # the delta's largest order value (the batch maximum) and the batch size
+    # are observed inside the one job that pins the batch
+    tag = uuid.uuid4().hex[:8]
+    obs_delta = Observation(f"delta_{source_name}_{tag}")
+    delta = delta.observe(obs_delta, F.max(order_col).alias("batch_max"))
     keep = cols + [c for c in order if c not in cols]
     batch = (latest_per_key(delta.select(*keep), ["id"], order)
              .select(*cols).withColumn("loaded_at", ntz(run.batch_ts)))
-    obs = Observation(f"batch_{source_name}_{uuid.uuid4().hex[:8]}")
+    obs = Observation(f"batch_{source_name}_{tag}")
     batch = batch.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
     n = int(obs.get["rows"])
+    top = obs_delta.get["batch_max"]
+    wh.runs[run.number].setdefault("batch_max", {})[source_name] = (
+        top.isoformat(sep=" ") if top is not None else None)
+    info = {"mark": mark, "batch_max": wh.runs[run.number]["batch_max"][source_name]}
     if n == 0:
         wh.keep(run, mirror)
-        return 0
+        return 0, info
     target = wh.store.read_or(mirror, wh.empty(MRR_SCHEMAS[mirror]))
     small = n <= max_broadcast_rows(batch)
     wh.write(run, mirror, upsert(target, batch, ["id"], broadcast_batch=small))
-    return n
+    return n, info
 
 
 STAGE_DIMS = {
