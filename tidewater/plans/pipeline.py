@@ -15,7 +15,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater import config as C
@@ -127,14 +127,12 @@ class Warehouse:
         return df.drop(MONTH_KEY)
 
     def write(self, run: Run, name: str, df: DataFrame, key_col: str | None = None,
-              touched: Column | None = None, partition_by: list[str] | None = None) -> dict:
-        """Write a new version; row count, largest key and the number of
-        ``touched`` rows are observed during the write (no extra job)."""
+              partition_by: list[str] | None = None) -> dict:
+        """Write a new version; the row count and the largest key are
+        observed during the write (no extra job)."""
         metrics = [F.count(F.lit(1)).alias("rows")]
         if key_col:
             metrics.append(F.max(key_col).alias("max_key"))
-        if touched is not None:
-            metrics.append(F.count(F.when(touched, 1)).alias("touched"))
         obs = Observation(f"{name}_{run.number}_{uuid.uuid4().hex[:8]}")
         self.store.write(name, df.observe(obs, *metrics), partition_by=partition_by)
         got = obs.get
