@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import broadcast_if_small
+
 # --- fixed values: the run-log statuses the reference's check constraint allows
 STATUSES = ["RUNNING", "SUCCESS", "FAILED", "WARNING"]
 
@@ -74,19 +76,25 @@ def orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str
             .withColumn("reason", F.lit(reason)))
 
 
-def orphan_report(child: DataFrame, checks: list[tuple[DataFrame, str, str, str]],
-                  keep: Sequence[str]) -> DataFrame:
+def orphan_report(child: DataFrame, checks: list[tuple], keep: Sequence[str]) -> DataFrame:
     """One pass over ``child`` for several references.
 
-    ``checks`` are (parent, child_col, parent_col, reason).  Each parent's
-    distinct keys are left-joined with a presence flag; a child row yields
-    one output row per missing parent (``keep`` columns plus ``reason``).
+    ``checks`` are (parent, child_col, parent_col, reason[, parent_rows]).
+    Each parent's distinct keys are left-joined with a presence flag; a child
+    row yields one output row per missing parent (``keep`` columns plus
+    ``reason``).  With ``parent_rows`` (a known bound, such as a dimension's
+    written row count) small parents are broadcast, so a large child is
+    scanned once without any shuffle.
     """
     j = child
     reasons = []
-    for i, (parent, child_col, parent_col, reason) in enumerate(checks):
+    for i, check in enumerate(checks):
+        parent, child_col, parent_col, reason = check[:4]
+        bound = check[4] if len(check) > 4 else None
         keys = parent.select(F.col(parent_col).alias(f"_k{i}")).distinct() \
             .withColumn(f"_has{i}", F.lit(True))
+        if bound is not None:
+            keys = broadcast_if_small(keys, bound)
         j = j.join(keys, F.col(child_col) == F.col(f"_k{i}"), "left")
         reasons.append(F.when(F.col(f"_has{i}").isNull(), F.lit(reason)))
     missing = F.filter(F.array(*reasons), lambda r: r.isNotNull())

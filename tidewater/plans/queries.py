@@ -258,9 +258,12 @@ def q_orphans(spark, sf_dir):
                                   (p1, "product_id", "id", "missing product")], ["sale_id"])
     fact = wh.table("dwh_fact_sales").select(F.col("original_sale_id").alias("sale_id"),
                                              "customer_key", "product_key", "date_key")
-    dims = [(wh.table("dwh_dim_customers"), "customer_key", "customer_key", "missing customer"),
-            (wh.table("dwh_dim_products"), "product_key", "product_key", "missing product"),
-            (wh.table("dwh_dim_date"), "date_key", "date_key", "missing date")]
+    dims = [(wh.table("dwh_dim_customers"), "customer_key", "customer_key", "missing customer",
+             wh.rows.get("dwh_dim_customers")),
+            (wh.table("dwh_dim_products"), "product_key", "product_key", "missing product",
+             wh.rows.get("dwh_dim_products")),
+            (wh.table("dwh_dim_date"), "date_key", "date_key", "missing date",
+             wh.rows.get("dwh_dim_date"))]
     warehouse_side = Q.orphan_report(fact, dims, ["sale_id"])
     return (source.withColumn("layer", F.lit("source"))
             .unionByName(warehouse_side.withColumn("layer", F.lit("warehouse")))
