@@ -33,13 +33,16 @@ def broadcast_if_small(df: DataFrame, known_rows: int | None = None,
 
 def as_of_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
                valid_from: str = "valid_from", valid_to: str = "valid_to",
-               open_start: str | None = "1900-01-01") -> DataFrame:
+               open_start: str | None = "1900-01-01",
+               versions_rows: int | None = None) -> DataFrame:
     """Point-in-time join: the version of ``key`` valid at ``facts[at]``.
 
     Equi-join on the natural key plus ``valid_from <= at < valid_to``; with
     ``open_start`` the earliest version of each key counts as valid from that
     date, so facts older than the first load still find their version.
     Versions per key are few, so the equi-join bounds the pairs per key.
+    ``versions_rows`` (a known bound) lets small version tables be broadcast,
+    so the facts are not shuffled.
     """
     if open_start is not None:
         first = versions.groupBy(key).agg(F.min(valid_from).alias("_first_from"))
@@ -48,6 +51,8 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
                                                    F.lit(open_start).cast("date"))
                                 .otherwise(F.col(valid_from)))
                     .drop("_first_from"))
+    if versions_rows is not None:
+        versions = broadcast_if_small(versions, versions_rows)
     v = versions.alias("v")
     f = facts.alias("f")
     cond = ((F.col(f"f.{key}") == F.col(f"v.{key}"))
@@ -57,10 +62,19 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
 
 
 def skipped_rows(rows: DataFrame, customers: DataFrame, products: DataFrame,
-                 customer_col: str = "customer_id", product_col: str = "product_id") -> DataFrame:
-    """Rows whose customer or product has no current version, with the reason."""
+                 customer_col: str = "customer_id", product_col: str = "product_id",
+                 rows_c: int | None = None, rows_p: int | None = None) -> DataFrame:
+    """Rows whose customer or product has no current version, with the reason.
+
+    ``rows_c`` / ``rows_p`` bound the dimension sizes; within the broadcast
+    limit the id lists are broadcast and ``rows`` is not shuffled.
+    """
     cust_ids = customers.select(F.col("customer_id").alias("_c")).withColumn("_hc", F.lit(True))
     prod_ids = products.select(F.col("product_id").alias("_p")).withColumn("_hp", F.lit(True))
+    if rows_c is not None:
+        cust_ids = broadcast_if_small(cust_ids, rows_c)
+    if rows_p is not None:
+        prod_ids = broadcast_if_small(prod_ids, rows_p)
     j = (rows.join(cust_ids, F.col(customer_col) == F.col("_c"), "left")
          .join(prod_ids, F.col(product_col) == F.col("_p"), "left")
          .filter(F.col("_hc").isNull() | F.col("_hp").isNull()))

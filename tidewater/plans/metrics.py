@@ -250,7 +250,7 @@ def point_in_time_sales(fact: DataFrame, customers: DataFrame,
     f = fact.join(broadcast_if_small(ids, rows_c), "customer_key").select(
         "customer_id", "transaction_date", "quantity")
     versions = customers.select("customer_id", "country", "valid_from", "valid_to")
-    j = as_of_join(f, versions, "customer_id", "transaction_date")
+    j = as_of_join(f, versions, "customer_id", "transaction_date", versions_rows=rows_c)
     return j.groupBy(F.col("v.country").alias("country_at_sale"),
                      F.year(F.col("f.transaction_date")).alias("sales_year")).agg(
         F.sum(F.col("f.quantity")).alias("total_quantity"),

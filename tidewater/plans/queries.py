@@ -127,7 +127,8 @@ def q_fact_skipped(spark, sf_dir):
         cur_c = wh.table("dwh_dim_customers", run).filter("is_current").select("customer_id")
         cur_p = wh.table("dwh_dim_products", run).filter("is_current").select("product_id")
         s = wh.table("stg_fact_sales", run).select("sale_id", "customer_id", "product_id")
-        r = skipped_rows(s, cur_c, cur_p).withColumn("run", F.lit(run))
+        r = skipped_rows(s, cur_c, cur_p, rows_c=wh.rows.get("dwh_dim_customers"),
+                         rows_p=wh.rows.get("dwh_dim_products")).withColumn("run", F.lit(run))
         out = r if out is None else out.unionByName(r)
     return out.select("run", "sale_id", "customer_id", "product_id", "reason")
 
