@@ -103,7 +103,14 @@ def orphan_report(child: DataFrame, checks: list[tuple], keep: Sequence[str]) ->
             .select(*keep, F.explode("_missing").alias("reason")))
 
 
-def cascade_keep(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str) -> DataFrame:
-    """Rows that survive a cascading delete of the parents not in ``parent``."""
-    return child.join(parent.select(F.col(parent_col).alias("_pk")),
-                      F.col(child_col) == F.col("_pk"), "left_semi")
+def cascade_keep(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str,
+                 check_broadcast: bool = False) -> DataFrame:
+    """Rows that survive a cascading delete of the parents not in ``parent``.
+
+    ``check_broadcast`` counts the parent ids and broadcasts them when within
+    the limit, so a large child is filtered without a shuffle.
+    """
+    keys = parent.select(F.col(parent_col).alias("_pk"))
+    if check_broadcast:
+        keys = broadcast_if_small(keys)
+    return child.join(keys, F.col(child_col) == F.col("_pk"), "left_semi")

@@ -285,8 +285,10 @@ def q_cascade_delete(spark, sf_dir):
     from the run-1 snapshots (``ON DELETE CASCADE``)."""
     s = A.source_sales(spark, sf_dir, 2).select("id", "customer_id", "product_id", "qty",
                                                 "transaction_date")
-    s = Q.cascade_keep(s, A.source_customers(spark, sf_dir, 1), "customer_id", "id")
-    return Q.cascade_keep(s, A.source_products(spark, sf_dir, 1), "product_id", "id")
+    s = Q.cascade_keep(s, A.source_customers(spark, sf_dir, 1), "customer_id", "id",
+                       check_broadcast=True)
+    return Q.cascade_keep(s, A.source_products(spark, sf_dir, 1), "product_id", "id",
+                          check_broadcast=True)
 
 
 def q_top_customer_metrics(spark, sf_dir):
