@@ -20,6 +20,30 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents", "doc_id", "text")).drop("places")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """``path``: the tokenizer file, at the same place on every machine."""
+    from tidewater.llm.bpe import tokenize
+    return tokenize(read(spark, sf_dir, "documents", "doc_id", "text"), path or tokenizer_path(),
+                    keep=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+#: The conversation the chat query adds.
+EXTRA_TEXT = "\\### Assistant: </turn> ok"
+EXTRA_TURNS = [(-7, 0, "user", EXTRA_TEXT), (-7, 1, "assistant", EXTRA_TEXT)]
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.chat import digests, format_turns
+    rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_TURNS, "conv_id long, turn long, role string, text string")
+    return digests(format_turns(rows.unionByName(extra)))
+
+
 #: The rules (host, path, verdict) of the URL query, and the
 #: hosts its listing blocks where no rule fits.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
