@@ -60,5 +60,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "pages", "page_id", "url"), listing, "page_id", "url")
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.ann import search
+    return search(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
