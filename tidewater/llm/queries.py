@@ -44,6 +44,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_turns(rows.unionByName(extra)))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.suffix_dedup import dedup, summary
+    return summary(dedup(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 #: The rules (host, path, verdict) of the URL query, and the
 #: hosts its listing blocks where no rule fits.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
