@@ -70,5 +70,10 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.minhash import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=4, percent=80)
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
