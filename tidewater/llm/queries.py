@@ -70,6 +70,14 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.toxicity import fit, in_fold, score
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = fit(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return score(docs, model).select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score",
+                                     "predicted")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.minhash import near_duplicates
     return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=4, percent=80)
