@@ -77,13 +77,13 @@ SPACES = np.zeros(256, dtype=bool)
 SPACES[[32, *range(9, 14)]] = True
 
 
-def _word_hashes(buf: np.ndarray) -> np.ndarray:
+def _word_hashes(buf: np.ndarray, spaces: np.ndarray) -> np.ndarray:
     """64-bit hashes of the lower-cased words of whole words' bytes."""
     if len(buf) > len(POWER):  # one word beyond a piece: hash its parts
-        parts = np.concatenate([_word_hashes(buf[k:k + PIECE]) for k in range(0, len(buf), PIECE)])
+        parts = np.concatenate([_word_hashes(buf[k:k + PIECE], spaces) for k in range(0, len(buf), PIECE)])
         return mix(np.array([_fold(parts)], dtype=U))
     low = LOWER_BYTES[buf]
-    space = SPACES[buf]
+    space = spaces[buf]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
     h = np.zeros(len(buf) + 1, dtype=U)
@@ -98,11 +98,12 @@ def _fold(h: np.ndarray) -> int:
     return out
 
 
-def word_hashes(text: bytes) -> np.ndarray:
+def word_hashes(text: bytes, spaces: np.ndarray = SPACES) -> np.ndarray:
+    """Hashes of the words between bytes that ``spaces`` marks, A-Z lower-cased."""
     buf = np.frombuffer(text, dtype=np.uint8)
     if len(buf) <= PIECE:
-        return _word_hashes(buf)
-    space = np.flatnonzero(SPACES[buf])
+        return _word_hashes(buf, spaces)
+    space = np.flatnonzero(spaces[buf])
     out, at = [], 0
     while at < len(buf):  # cut at a space, or after a word longer than a piece
         k = np.searchsorted(space, at + PIECE)
@@ -111,8 +112,8 @@ def word_hashes(text: bytes) -> np.ndarray:
             int(space[k]) + 1 if k < len(space) else len(buf))
         part = buf[at:cut]
         if len(part) > PIECE:
-            part = part[~SPACES[part]]
-        out.append(_word_hashes(part))
+            part = part[~spaces[part]]
+        out.append(_word_hashes(part, spaces))
         at = cut
     return np.concatenate(out)
 

@@ -49,6 +49,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(dedup(read(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.decontam import scan
+    return scan(read(spark, sf_dir, "documents", "doc_id", "text"),
+                read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 #: The rules (host, path, verdict) of the URL query, and the
 #: hosts its listing blocks where no rule fits.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
