@@ -32,6 +32,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.html_extract import extract
+    return extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 #: The conversation the chat query adds.
 EXTRA_TEXT = "\\### Assistant: </turn> ok"
 EXTRA_TURNS = [(-7, 0, "user", EXTRA_TEXT), (-7, 1, "assistant", EXTRA_TEXT)]
