@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import pinned
+from tidewater.llm.common import pinned, ship
 
 SAMPLE, MAX_LISTS, ROUNDS = 20_000, 4096, 12
 DEGREE, BEAM = 24, 160
@@ -158,6 +158,7 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id",
     """(query_id, rank, vec_id, score): the ``keep`` nearest found by cosine of
     every row that ``is_query`` selects."""
     spark = rows.sparkSession
+    ship(spark)
     empty = "query_id long, rank int, vec_id long, score double"
     kept = pinned(classes(rows, id_col, vec_col, keep))
     dims = kept.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()

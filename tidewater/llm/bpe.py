@@ -44,6 +44,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tidewater.llm.common import ship
+
 REMEMBERED = 300_000
 NEVER = 1 << 30
 
@@ -218,6 +220,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     ``ids`` are little-endian unsigned 32-bit integers, ``decoded`` is what
     decoding those ids gives, in UTF-8.
     """
+    ship(docs.sparkSession)
     rows = docs.select(id_col, text_col)
     kind = dict(rows.dtypes)[id_col]
 

@@ -34,6 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import ship
+
 ROLES = {"system": "System", "user": "User", "assistant": "Assistant", "tool": "Tool"}
 FROM_SHOWN = {v: k for k, v in ROLES.items()}
 END = " </turn>\n"
@@ -105,6 +107,7 @@ def format_turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
     Joining a conversation's chunks in order gives its formatted text.
     """
+    ship(rows.sparkSession)
     ordered = (rows.select(F.col(conv).cast("string").alias("conv_id"), F.col(turn).alias("turn"),
                            F.coalesce(role, F.lit("")).alias("role"),
                            F.coalesce(text, F.lit("")).alias("text"))
@@ -140,6 +143,7 @@ def digests(formatted: DataFrame) -> DataFrame:
     """Read conversations back from ``format_turns`` (its partitions as they
     are): conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
     formatted_chars."""
+    ship(formatted.sparkSession)
 
     def run(batches):
         now, state = object(), None

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +23,28 @@ MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX2 = np.uint64(0x94D049BB133111EB)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's code to the executors, once per application, so that
+    their Python workers can import it wherever they run.  Spark serves the
+    archive from the driver; it holds code only."""
+    app = spark.sparkContext.applicationId
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if app in _SHIPPED or not os.path.isdir(package):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidewater-code-"), "tidewater.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """The given table, only the named columns."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix
+from tidewater.llm.common import mix, ship
 from tidewater.llm.minhash import word_hashes
 
 WINDOW, BLOCK_BYTES = 13, 8 << 20
@@ -143,6 +143,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
          item_col: str = "item_id", item_text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per row: the id (and ``carry`` columns), contaminated, item_ids (sorted),
     n_words (words of the text that verified windows cover)."""
+    ship(docs.sparkSession)
     out = docs.select(id_col, *(carry or []), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"),
                       F.array().cast("array<long>").alias("item_ids"),
                       F.array().cast("array<long>").alias("_covered"))

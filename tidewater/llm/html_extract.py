@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, pinned
+from tidewater.llm.common import mix, pinned, ship
 from tidewater.llm.minhash import word_hashes
 from tidewater.llm.url_filter import host_and_path
 
@@ -152,6 +152,7 @@ def main_text(blocks: list[tuple[str, str]], owner: np.ndarray, repeated: np.nda
 def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
     """Per row: page_id, url, text, n_chars, n_repeated (tokens that repeat on
     other pages of the host)."""
+    ship(pages.sparkSession)
     kind = dict(pages.dtypes)["page_id"]
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"),
                         host_and_path(F.col("url"))[0].alias("host"))

@@ -94,5 +94,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=4, percent=80)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+    return run(spark, sf_dir)
+
+
 def registry() -> dict[str, Query]:
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    return {name: f for name, f in globals().items() if name.startswith("op")} | {"pipeline": pipeline}

@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import ship
 from tidewater.llm.minhash import SEEDS, FACTORS, minima, shingles
 
 FIT_ROWS, FIT_CHARS = 2500, 20_000
@@ -261,11 +262,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return fit_model(rows["text"].tolist(), rows["toxic"].astype(int).tolist())
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row: doc_id, score, predicted, and the toxic tokens as starts and
-    ends (code points)."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kind = dict(rows.dtypes)["doc_id"]
+def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, the ``carry`` columns as they are, score, predicted, and
+    the toxic tokens as starts and ends (code points)."""
+    ship(docs.sparkSession)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"), *carry)
+    shape = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes if c != "_text")
 
     def run(batches):
         seen: dict[str, float] = {}
@@ -277,10 +279,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 if held > 4 << 20 or k == len(texts) - 1:
                     parts.append((lo, k + 1))
                     lo, held = k + 1, 0
+            rest = batch.select([0, *range(2, batch.num_columns)])
             for a, z in parts:
-                yield one(batch.column(0)[a:z], texts[a:z], seen)
+                yield one(rest.slice(a, z - a), texts[a:z], seen)
 
-    def one(ids, texts, seen):
+    def one(rest, texts, seen):
         ev: list[float] = []
         ends = [0]
         for t in texts:
@@ -311,11 +314,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             stops.append([s for _, s in spans])
         many = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()),
+            [*rest.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()),
              pa.array(starts, many), pa.array(stops, many)],
-            names=["doc_id", "score", "predicted", "starts", "ends"])
+            names=[*rest.schema.names, "score", "predicted", "starts", "ends"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, score double, predicted int, "
+    return rows.mapInArrow(run, f"{shape}, score double, predicted int, "
                                 "starts array<long>, ends array<long>")
 
 
