@@ -23,7 +23,8 @@ def main() -> None:
     from tidewater.plans.scenario import warehouse
     from tidewater.session import build_session
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus),
+                          extra={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, like session start
     t0 = time.time()

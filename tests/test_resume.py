@@ -40,3 +40,19 @@ def test_second_run_in_a_new_process_matches_one_process(spark):
     assert logs.count() == logs.select("log_id").distinct().count() == 22  # 11 steps per run
     marks = {r["table_name"]: r["last_updated"] for r in again.table("high_water_mark").collect()}
     assert marks["sales"] == T("2024-02-01 00:00:00")
+
+
+def test_failed_run_leaves_its_entries(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+
+    from tidewater.plans.pipeline import Run, new_warehouse, open_warehouse, run_pipeline
+    wh = new_warehouse(spark, str(tmp_path / "wh"))
+    broken = {n: spark.range(1) for n in ("customers", "products", "sales")}  # no such columns
+    with pytest.raises(Exception):
+        run_pipeline(wh, Run(1, dt.date(2024, 1, 1), "2024-01-01 00:00:00", broken))
+    again = open_warehouse(spark, str(tmp_path / "wh"))
+    stored = again.log.stored()
+    assert stored.filter("status = 'FAILED'").count() == 3
+    assert again.log.start("next") > stored.agg({"log_id": "max"}).first()[0]

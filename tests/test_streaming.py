@@ -24,3 +24,23 @@ def test_stream_mirror_two_arrivals_and_replay(spark):
     got = {r["id"]: (r["qty"], r["batch_id"]) for r in rows(mirror.result())}
     assert got == {1: (2, 1), 2: (1, 0), 3: (4, 1)}
     assert mirror.batches == [0, 1]
+
+
+def test_stream_restart_keeps_the_table_and_skips_replayed_batches(spark):
+    store = LayerStore(spark)
+    landing, ckpt = f"{store.root}/landing", f"{store.root}/stream-checkpoint"
+    stamp = T("2024-01-01 00:00:00")
+
+    def land(name, ids):
+        spark.createDataFrame([(i, 1, 1, i, stamp, stamp) for i in ids],
+                              SALES_SCHEMA).write.parquet(f"{landing}/{name}")
+
+    land("a1", range(100))
+    StreamingMirror(spark, store, "mirror", landing, ckpt).run_available()
+    land("a2", range(95, 110))
+    again = StreamingMirror(spark, LayerStore(spark, store.root), "mirror", landing, ckpt)
+    again.run_available()
+    assert again.result().count() == 110
+    before = again.store.versions["mirror"]
+    again._apply(again.result(), 1)
+    assert again.store.versions["mirror"] == before and again.result().count() == 110

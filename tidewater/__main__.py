@@ -2,8 +2,8 @@
 
     python -m tidewater run --root ROOT --customers P --products P --sales P \\
         [--day YYYY-MM-DD] [--ts 'YYYY-MM-DD HH:MM:SS']
-    python -m tidewater report --root ROOT --start D --end D [--out PATH]
-    python -m tidewater metrics --root ROOT [--out PATH]
+    python -m tidewater report --root ROOT --start D --end D --out PATH
+    python -m tidewater metrics --root ROOT [--ts T] --out PATH
 
 Sources are Parquet folders with the operational schemas (customers: id,
 name, country, created_at, updated_at; products: id, name, group_name,
@@ -32,10 +32,11 @@ def main(argv: list[str] | None = None) -> int:
     rep.add_argument("--root", required=True)
     rep.add_argument("--start", required=True)
     rep.add_argument("--end", required=True)
-    rep.add_argument("--out", default=None)
+    rep.add_argument("--out", required=True)
     met = sub.add_parser("metrics")
     met.add_argument("--root", required=True)
-    met.add_argument("--out", default=None)
+    met.add_argument("--ts", default=None)
+    met.add_argument("--out", required=True)
     args = ap.parse_args(argv)
 
     from tidewater.plans.pipeline import Run, next_run_number, open_warehouse, run_pipeline
@@ -56,11 +57,11 @@ def main(argv: list[str] | None = None) -> int:
         from tidewater.plans.procedures import aggregate_sales_report
         df = aggregate_sales_report(wh, dt.date.fromisoformat(args.start),
                                     dt.date.fromisoformat(args.end))
-        df.write.parquet(args.out) if args.out else df.show(50, truncate=False)
+        df.write.parquet(args.out)
     else:
-        from tidewater.plans import metrics as M
-        df = M.customer_metrics(wh.table("dwh_fact_sales"), wh.table("dwh_dim_customers"))
-        df.write.parquet(args.out) if args.out else df.show(50, truncate=False)
+        from tidewater.plans.procedures import refresh_customer_metrics
+        ts = args.ts or dt.datetime.now().replace(microsecond=0).isoformat(sep=" ")
+        refresh_customer_metrics(wh, ts).write.parquet(args.out)
     spark.stop()
     return 0
 

@@ -133,13 +133,20 @@ def group_performance(fact: DataFrame, products: DataFrame, start: dt.date | Non
     first and last sale found; a group without sales gets zeros."""
     cur = products.filter(F.col("is_current")).select("product_key", "product_group")
     f = _optional_range(fact, "transaction_date", start, end)
-    j = f.join(broadcast_if_small(cur, rows_p), "product_key")
-    agg = j.groupBy("product_group").agg(
+    # the fact is reduced to (product, customer) before any join; the two
+    # distinct counts are then counts of groups, one aggregate each
+    pairs = f.groupBy("product_key", "customer_key").agg(
         F.sum("quantity").alias("_q"), F.count(F.lit(1)).alias("_n"),
-        F.countDistinct("customer_key").alias("_c"), F.countDistinct("product_key").alias("_p"),
         F.min("transaction_date").alias("_min"), F.max("transaction_date").alias("_max"))
+    totals = [F.sum("_q").alias("_q"), F.sum("_n").alias("_n"),
+              F.min("_min").alias("_min"), F.max("_max").alias("_max")]
+    j = pairs.join(broadcast_if_small(cur, rows_p), "product_key")
+    agg = (j.groupBy("product_group", "customer_key").agg(*totals).groupBy("product_group")
+           .agg(*totals, F.count("customer_key").alias("_c")))
+    sold = (j.groupBy("product_group", "product_key").agg(F.lit(1).alias("_one"))
+            .groupBy("product_group").agg(F.count("product_key").alias("_p")))
     groups = cur.select("product_group").distinct()
-    r = groups.join(agg, "product_group", "left")
+    r = groups.join(agg.join(sold, "product_group"), "product_group", "left")
     return r.select(
         "product_group",
         F.coalesce(F.col("_q"), F.lit(0)).cast("long").alias("total_quantity"),
@@ -156,7 +163,8 @@ def group_performance_json(perf: DataFrame) -> DataFrame:
     """The reference's JSONB object per group (``jsonb_build_object``)."""
     fields = ["product_group", "total_quantity", "total_transactions", "unique_customers",
               "unique_products", "avg_quantity_per_transaction", "start_date", "end_date"]
-    return perf.select("product_group", F.to_json(F.struct(*fields)).alias("performance"))
+    return perf.select("product_group", F.to_json(
+        F.struct(*fields), {"ignoreNullFields": "false"}).alias("performance"))
 
 
 def mom_growth(fact: DataFrame) -> DataFrame:
@@ -166,12 +174,14 @@ def mom_growth(fact: DataFrame) -> DataFrame:
     which would jump gaps)."""
     monthly = fact.groupBy(month_start(F.col("transaction_date")).alias("m")).agg(
         F.sum("quantity").alias("q"))
-    months = monthly.agg(F.min("m").alias("lo"), F.max("m").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("m"))
-    prev = monthly.select(F.add_months("m", 1).alias("m"), F.col("q").alias("pq"))
-    j = months.join(monthly, "m", "left").join(prev, "m", "left")
-    cur_q = F.coalesce(F.col("q"), F.lit(0)).cast("long")
-    prev_q = F.coalesce(F.col("pq"), F.lit(0)).cast("long")
+    # one row with all months: bounded by the calendar, one pass over the fact
+    all_months = monthly.agg(
+        F.min("m").alias("lo"), F.max("m").alias("hi"),
+        F.map_from_entries(F.collect_list(F.struct("m", "q"))).alias("by_month"))
+    j = all_months.select("by_month", F.explode(
+        F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("m"))
+    cur_q = F.coalesce(F.try_element_at("by_month", F.col("m")), F.lit(0)).cast("long")
+    prev_q = F.coalesce(F.try_element_at("by_month", F.add_months("m", -1)), F.lit(0)).cast("long")
     return j.select(F.year("m").alias("year"), F.month("m").alias("month"),
                     cur_q.alias("current_quantity"), prev_q.alias("previous_quantity"),
                     round_half_away_ratio(cur_q - prev_q, prev_q, 2, factor=100)

@@ -160,14 +160,14 @@ class Warehouse:
 
 def new_warehouse(spark: SparkSession, root: str | None = None) -> Warehouse:
     shared_root(spark)  # set the checkpoint folder once, before any worker thread
-    return Warehouse(spark=spark, store=LayerStore(spark, root), log=RunLog(spark))
+    store = LayerStore(spark, root)
+    return Warehouse(spark=spark, store=store, log=RunLog(spark, f"{store.root}/etl_log_entries"))
 
 
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """Reopen a warehouse from its manifest (the committed runs only)."""
     wh = new_warehouse(spark, root)
     entries = wh.store.load_manifest()
-    latest_log = [e for e in entries if e["table_name"] == "etl_logs"]
     wh.store.restore(entries)
     for e in entries:
         run = wh.runs.setdefault(e["run"], {"versions": {}, "marks": {}})
@@ -178,8 +178,6 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
                 wh.rows[e["table_name"]] = e["rows"]
             if e["max_key"] is not None:
                 wh.max_keys[e["table_name"]] = e["max_key"]
-    if latest_log:
-        wh.log = RunLog(spark, start_id=wh.max_keys.get("etl_logs", 0))
     return wh
 
 
@@ -196,16 +194,20 @@ def commit_run(wh: Warehouse, run: Run) -> None:
                     r["marks"], run.batch_ts)
 
 
-def _logged(wh: Warehouse, process: str, fn):
+def _logged(wh: Warehouse, process: str, fn, log_id: int | None = None):
     wh.spark.sparkContext.setJobDescription(process)  # names the step's Spark jobs
-    log_id = wh.log.start(process)
+    if log_id is None:
+        log_id = wh.log.start(process)
+        wh.log.flush()
     try:
         n = fn()
     except Exception as exc:  # log, then re-raise: the failed step publishes nothing
-        wh.log.end(log_id, "FAILED", error=str(exc)[:1000])
+        wh.log.end(log_id, "FAILED", error=str(exc))
+        wh.log.flush()
         raise
     n, info = n if isinstance(n, tuple) else (n, None)  # steps may add metadata
     wh.log.end(log_id, "SUCCESS", processed=int(n or 0), inserted=int(n or 0), info=info)
+    wh.log.flush()
     return n
 
 
@@ -273,13 +275,15 @@ def stage_dimension(wh: Warehouse, run: Run, kind: str) -> int:
     mirror, stg, clean, attrs = STAGE_DIMS[kind]
     batch = clean(wh.table(mirror), run.batch_ts)
     target = wh.store.read_or(stg, wh.empty(STG_SCHEMAS[stg]))
-    return wh.write(run, stg, upsert(target, batch, [batch.columns[0]], update_cols=attrs))["rows"]
+    wh.write(run, stg, upsert(target, batch, [batch.columns[0]], update_cols=attrs))
+    return wh.rows.get(mirror, 0)  # processed: the whole mirror
 
 
 def stage_sales_table(wh: Warehouse, run: Run) -> int:
     batch = stage_sales(wh.table("mrr_fact_sales"), run.batch_ts)
     target = wh.store.read_or("stg_fact_sales", wh.empty(STG_SCHEMAS["stg_fact_sales"]))
-    return wh.write(run, "stg_fact_sales", upsert(target, batch, ["sale_id"]))["rows"]
+    wh.write(run, "stg_fact_sales", upsert(target, batch, ["sale_id"]))
+    return wh.rows.get("mrr_fact_sales", 0)
 
 
 # --------------------------------------------------------------------------- warehouse
@@ -291,7 +295,8 @@ def load_calendar(wh: Warehouse, run: Run, start: dt.date | None = None,
     target = wh.store.read_or("dwh_dim_date", wh.empty(CALENDAR_SCHEMA))
     batch = calendar(wh.spark, start, end).select(*CALENDAR_COLS)
     added = new_rows(target, batch, ["date_key"])
-    return wh.write(run, "dwh_dim_date", target.unionByName(added))["rows"]
+    before = wh.rows.get("dwh_dim_date", 0)
+    return wh.write(run, "dwh_dim_date", target.unionByName(added))["rows"] - before
 
 
 def load_dimension(wh: Warehouse, run: Run, kind: str) -> int:
@@ -310,7 +315,8 @@ def load_dimension(wh: Warehouse, run: Run, kind: str) -> int:
     merged = scd2_merge(target, snapshot, nk, tracked, key, run.day, run.batch_ts,
                         extra_cols={c: F.lit(None).cast("string") for c in extra},
                         start=wh.next_key(dim, key), rows_bound=wh.rows.get(stg))
-    return wh.write(run, dim, merged, key_col=key)["rows"]
+    wh.write(run, dim, merged, key_col=key)
+    return wh.rows.get(stg, 0)  # processed: the staged snapshot
 
 
 def current_keys(wh: Warehouse, kind: str) -> DataFrame:
@@ -342,8 +348,9 @@ def load_facts(wh: Warehouse, run: Run) -> int:
     fresh = assign_keys(fresh, "sale_key", ["original_sale_id"],
                         start=wh.next_key("dwh_fact_sales", "sale_key"), rows_bound=staged)
     merged = kept.unionByName(fresh.select(*target.columns))
-    return wh.write(run, "dwh_fact_sales", fact_layout(merged),
-                    key_col="sale_key", partition_by=[MONTH_KEY])["rows"]
+    wh.write(run, "dwh_fact_sales", fact_layout(merged), key_col="sale_key",
+             partition_by=[MONTH_KEY])
+    return staged or 0  # processed: every staged sale, skipped ones included
 
 
 def fact_layout(fact: DataFrame) -> DataFrame:
@@ -373,8 +380,11 @@ def advance_sales_mark(wh: Warehouse, run: Run) -> None:
 def _parallel(wh: Warehouse, steps: list[tuple[str, object]]) -> None:
     """Run independent steps as concurrent Spark jobs (they read and write
     different tables); the first failure is raised after all finished."""
+    ids = [wh.log.start(process) for process, _ in steps]
+    wh.log.flush()
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        futures = [pool.submit(_logged, wh, process, fn) for process, fn in steps]
+        futures = [pool.submit(_logged, wh, process, fn, log_id)
+                   for (process, fn), log_id in zip(steps, ids, strict=True)]
         for f in futures:
             f.result()
 
@@ -394,11 +404,9 @@ def run_pipeline(wh: Warehouse, run: Run) -> Warehouse:
                  for k in ("customers", "products")])
     _logged(wh, "stg_to_dwh_sales", lambda: load_facts(wh, run))
     _logged(wh, "update_high_water_mark", lambda: (advance_sales_mark(wh, run), 1)[1])
-    # the run log is a warehouse table (one row per step), appended per run
-    stored = wh.max_keys.get("etl_logs", 0)
-    fresh = wh.log.frame().filter(F.col("log_id") > stored)
-    logs = wh.table("etl_logs").unionByName(fresh) if wh.store.has("etl_logs") else fresh
-    wh.write(run, "etl_logs", logs, key_col="log_id")
+    # the run log as a warehouse table: one row per step of every run so far,
+    # failed ones and procedures included
+    wh.write(run, "etl_logs", wh.log.stored(), key_col="log_id")
     # carry forward tables this run did not rewrite, then publish the run
     for name in list(wh.store.versions):
         if name not in wh.runs[run.number]["versions"]:

@@ -8,9 +8,9 @@ tests) does :func:`shared_root` create a temporary folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -33,12 +33,18 @@ DEFAULT_CONF = {
 def build_session(master: str | None = None, app: str = "tidewater",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings the library expects."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
+    """Create (or reuse) a session with the settings the library expects.
+
+    Master, shuffle partitions and memory are the cluster's (``spark-submit``,
+    ``spark-defaults.conf``) unless given here; where nothing names a master,
+    Spark's own default, a local one, holds.
+    """
+    builder = SparkSession.builder.appName(app)
+    if master or not SparkConf().contains("spark.master"):
+        builder = builder.master(master or "local[*]")
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf["spark.driver.memory"] = os.environ.get("TIDEWATER_DRIVER_MEMORY", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -60,6 +66,9 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")

@@ -19,7 +19,6 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewater.session import shared_root
 
@@ -65,17 +64,18 @@ class LayerStore:
 
     # ------------------------------------------------------------ run manifest
     def commit(self, run: int, versions: dict[str, int], rows: dict[str, int],
-               max_keys: dict[str, int], marks: dict[str, str], at: str) -> None:
+               max_keys: dict[str, int], marks: dict[str, str], at: str,
+               manifest: str = MANIFEST) -> None:
         """Publish one run: append its table versions to the manifest."""
         entries = [(run, t, v, self.paths[(t, v)], rows.get(t), max_keys.get(t),
                     json.dumps(marks), at) for t, v in sorted(versions.items())]
         (self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(f"{self.root}/{MANIFEST}"))
+         .write.mode("append").parquet(f"{self.root}/{manifest}"))
 
-    def load_manifest(self) -> list[dict]:
+    def load_manifest(self, manifest: str = MANIFEST) -> list[dict]:
         """Committed runs (one row per table version; small metadata)."""
         try:
-            df = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/{MANIFEST}")
+            df = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/{manifest}")
             return [r.asDict() for r in df.orderBy("run", "table_name").collect()]
         except Exception as exc:  # no manifest yet: an empty warehouse
             if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
@@ -88,6 +88,3 @@ class LayerStore:
             if e["version"] >= self.versions.get(e["table_name"], 0):
                 self.versions[e["table_name"]] = e["version"]
 
-
-def manifest_frame(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{MANIFEST}").orderBy(F.desc("run"))

@@ -6,12 +6,15 @@ mirror table (a new store version) inside ``foreachBatch``.  The stream's
 checkpoint records which files were consumed, so it replaces the
 high-water mark: a file that lands late is still picked up, which the
 strict ``> mark`` filter would miss.  ``trigger(availableNow=True)`` makes
-each run a bounded, restartable job; the upsert is idempotent, so a batch
-replayed after a failure gives the same table.
+each run a bounded, restartable job.  Each applied batch commits the mirror's
+new version together with the batch id to a manifest beside the table; a new
+process restores both, and a batch that Spark replays because the process died
+between the commit and the stream's checkpoint is skipped.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 
@@ -41,6 +44,10 @@ class StreamingMirror:
         self.landing, self.checkpoint, self.schema = landing, checkpoint, schema
         self.cols, self.keys, self.order_cols = list(cols), list(keys), list(order_cols)
         self.batches: list[int] = []
+        self.manifest = f"manifest-stream-{table}"
+        committed = store.load_manifest(self.manifest)
+        store.restore(committed)
+        self.applied = max((e["run"] for e in committed), default=-1)
 
     def _empty(self) -> DataFrame:
         fields = {f.name: f.dataType.simpleString()
@@ -49,6 +56,8 @@ class StreamingMirror:
         return self.spark.createDataFrame([], ddl + ", batch_id bigint")
 
     def _apply(self, batch: DataFrame, epoch_id: int) -> None:
+        if epoch_id <= self.applied:  # replayed after a failure
+            return
         latest = latest_per_key(batch.select(*self.cols), self.keys, self.order_cols)
         latest = latest.withColumn("batch_id", F.lit(epoch_id).cast("long"))
         # pin the micro-batch once and count it; a small batch filters the
@@ -61,6 +70,9 @@ class StreamingMirror:
         target = self.store.read_or(self.table, self._empty())
         self.store.write(self.table, upsert(target, latest, self.keys,
                                             broadcast_batch=rows <= max_broadcast_rows(latest)))
+        self.store.commit(epoch_id, {self.table: self.store.versions[self.table]}, {}, {}, {},
+                          dt.datetime.now().isoformat(sep=" "), manifest=self.manifest)
+        self.applied = epoch_id
         self.batches.append(epoch_id)
 
     def run_available(self) -> None:
