@@ -9,8 +9,8 @@ copies of a sampled text count once):
    ``MIN_DOCS`` documents and over ``MIN_ODDS`` are kept.
 2. Tokens are labelled from the documents' labels: toxic where a document
    labelled toxic has a word of strong evidence.  The field (two tags, the
-   evidence of a word and its neighbours, transitions) is fitted to these tags
-   by gradient steps on the exact conditional likelihood.
+   evidence of a word, transitions) is fitted to these tags by gradient steps
+   on the exact conditional likelihood.
 3. A logistic curve turns a document's largest marginals and its expected
    number of toxic tokens into a score; it is fitted on a part of the sample
    that steps 1 and 2 do not see.
@@ -66,8 +66,8 @@ def features_of(word: str) -> list[str]:
 @dataclass
 class Model:
     evidence: dict[str, float] = field(default_factory=dict)
-    #: Weights of 1, evidence, strong evidence, evidence before and after.
-    emit: np.ndarray = field(default_factory=lambda: np.zeros(5))
+    #: Weights of 1, evidence, strong evidence.
+    emit: np.ndarray = field(default_factory=lambda: np.zeros(3))
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     curve: np.ndarray = field(default_factory=lambda: np.zeros(4))
     constant: float | None = None
@@ -125,12 +125,9 @@ def _scan(first: np.ndarray, move: np.ndarray, e1: np.ndarray) -> np.ndarray:
     return out.transpose(0, 2, 1).reshape(2, -1)[:, :n]
 
 
-def emissions(model: Model, ev: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Feature rows (n, 5) of a chain of documents."""
-    before, after = np.append(0.0, ev[:-1]), np.append(ev[1:], 0.0)
-    before[first] = 0.0
-    after[np.append(first[1:], True)] = 0.0
-    return np.stack([np.ones(len(ev)), ev, ev >= STRONG, before, after], axis=1)
+def emissions(ev: np.ndarray) -> np.ndarray:
+    """Feature rows (n, 3) of tokens."""
+    return np.stack([np.ones(len(ev)), ev, ev >= STRONG], axis=1)
 
 
 def messages(model: Model, x: np.ndarray, first: np.ndarray):
@@ -146,7 +143,7 @@ def marginals(model: Model, ev: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Probability of the toxic tag of each token."""
     if not len(ev):
         return ev
-    f, b, e1 = messages(model, emissions(model, ev, first), first)
+    f, b, e1 = messages(model, emissions(ev), first)
     one, zero = f[1] * b[1] / e1, f[0] * b[0]
     return one / (one + zero)
 
@@ -157,7 +154,7 @@ def fit_field(model: Model, docs: list[list[str]], tags: list[list[int]]) -> Non
     tag = np.array([t for d in tags for t in d], dtype=int)
     first = np.zeros(len(ev), dtype=bool)
     first[np.cumsum([0, *map(len, docs)])[:-1]] = True
-    x = emissions(model, ev, first)
+    x = emissions(ev)
     inner = np.flatnonzero(~first)
     seen_emit = x.T @ tag
     seen_move = np.zeros((2, 2))
@@ -165,7 +162,7 @@ def fit_field(model: Model, docs: list[list[str]], tags: list[list[int]]) -> Non
     at = np.concatenate([model.emit, model.move.ravel()])
     m, v = np.zeros_like(at), np.zeros_like(at)
     for step in range(1, STEPS + 1):
-        model.emit, model.move = at[:5], at[5:].reshape(2, 2)
+        model.emit, model.move = at[:3], at[3:].reshape(2, 2)
         f, b, e1 = messages(model, x, first)
         one, zero = f[1] * b[1] / e1, f[0] * b[0]
         hope = x.T @ (one / (one + zero))
@@ -175,7 +172,7 @@ def fit_field(model: Model, docs: list[list[str]], tags: list[list[int]]) -> Non
         grad = grad / max(1.0, tag.sum()) - RIDGE * at
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         at = at + RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    model.emit, model.move = at[:5], at[5:].reshape(2, 2)
+    model.emit, model.move = at[:3], at[3:].reshape(2, 2)
 
 
 def summary(p: np.ndarray) -> list[float]:
