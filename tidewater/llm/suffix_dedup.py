@@ -9,21 +9,25 @@ its size, so suffixes are sorted as *contexts*:
   ones) is its anchor, which depends on the window's bytes alone.  Windows in a
   row with one anchor share a context, the bytes they cover together.
 * Round 1 sorts the contexts by (anchor hash, context hash).  Equal contexts
-  are one class: all but those of its smallest document are removed whole.  An
-  anchor with a single class, or a single document, needs nothing more.
-* Round 2 sorts single windows, by a pair of hashes, for what is left: the
-  first documents of classes that share an anchor and differ somewhere, which
-  is about the ends of shared passages.  The smallest document of each window
+  are one class: all but those of its smallest document are removed whole.
+  Two classes of one anchor can share a window only if the ``SIDE`` bytes
+  before the anchor agree, or those after it; hashes of both sides tell.
+* Round 2 sorts single windows for what is left: the first documents of classes
+  that agree on a side, which is about the ends of shared passages.  Their
+  contexts travel as bytes, by anchor.  The smallest document of each window
   keeps it.
 
 Sorting works on hashes of a suffix's first bytes, so one comparison is O(1);
-neighbours in a task's order are verified byte by byte, and between tasks two
-64-bit hashes must agree.
+where the bytes are at hand (in a task of round 1, in round 2) equal hashes are
+verified byte by byte, and elsewhere some 100 bits of independent hashes must
+agree.
 
 Skew: a task sorts its own part first, sends one document per class or window
 (the smallest), and decides the others itself, so a passage in a third of all
-documents costs each task one entry.  An anchor with many classes in a task
-goes to round 2, where its windows have keys of their own.
+documents costs each task one entry.  An anchor with over ``MANY`` classes in a
+task goes to round 2 as hot: there its windows travel as hashes, each with a
+key of its own.  It leaves one mark that sends the anchor's other classes the
+same way.
 
 Defined cases: null text counts as empty; texts under ``SPAN`` bytes lose
 nothing; matches within a document, or between rows that repeat a ``doc_id``,
@@ -40,15 +44,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, pinned, shuffle_partitions
+from tidewater.llm.common import mix, pinned, ship, shuffle_partitions
 
-SPAN, GRAM = 50, 16
+SPAN, GRAM = 50, 12
+#: A window has this many bytes before its anchor, or after it.
+SIDE = (SPAN - GRAM + 1) // 2
+#: An anchor with more classes than this in one task goes to round 2 at once.
+MANY = 64
 #: Bytes of text that a task sorts at once, and that are hashed at once.
 CHUNK, PIECE = 12 << 20, 1 << 19
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
-DECIDED, ASKED, ENTRIES = 0, 1, 2
+DECIDED, ASKED, HOT, ENTRIES = 0, 1, 2, 3
 SHAPE = "bucket int, kind int, doc_id long, th long, payload binary"
 
 
@@ -73,11 +81,12 @@ def substring_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
 
 
 def contexts(pieces: list[bytes]):
-    """(piece, first window, windows, anchor hash, context hash) of all pieces."""
+    """(piece, first window, windows, anchor hash, context hash, hashes of the
+    bytes before and after the anchor) of all pieces."""
     lens = np.array([len(p) for p in pieces], dtype=np.int64)
     buf = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     if len(buf) < SPAN:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),) * 2
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),) * 2 + (np.zeros(0, np.uint16),) * 2
     h = prefix_hashes(buf)
     v = mix((h[GRAM:] - h[:-GRAM]) * INVERSE[:len(buf) - GRAM + 1])
     off = np.zeros(len(v), dtype=np.uint8)
@@ -101,24 +110,29 @@ def contexts(pieces: list[bytes]):
     last = np.flatnonzero(valid & ~more)
     shape = (last - first).astype(U) * U(64) + (anchor[first] - first).astype(U)
     c = mix(substring_hashes(h, first, last + SPAN) ^ (shape * U(0xD6E8FEB86659FD93)))
+    sides = []
+    for lo in (anchor[first] - SIDE, anchor[first] + GRAM):
+        inside = (lo >= first) & (lo + SIDE <= last + SPAN)
+        x = np.zeros(len(lo), dtype=np.uint16)  # 0: no window has this side
+        lo = lo[inside]
+        x[inside] = (substring_hashes(h, lo, lo + SIDE) % U(65535)).astype(np.uint16) + np.uint16(1)
+        sides.append(x)
     piece = np.searchsorted(ends, first, side="right")
-    return piece, first - (ends - lens)[piece], last - first + 1, v[first], c
+    return piece, first - (ends - lens)[piece], last - first + 1, v[first], c, *sides
 
 
-def windows(text: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of the window at each start (sorted, of one text)."""
+def windows(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the window at each start (ascending) of the bytes."""
     one, two = np.zeros(len(starts), U), np.zeros(len(starts), U)
     for lo in range(0, len(text), PIECE):
         a, b = np.searchsorted(starts, [lo, lo + PIECE])
         if a == b:
             continue
-        buf = np.frombuffer(text, dtype=np.uint8)[lo:lo + PIECE + SPAN]
+        buf = text[lo:lo + PIECE + SPAN]
         s = starts[a:b] - lo
-        h = prefix_hashes(buf)
-        one[a:b] = substring_hashes(h, s, s + SPAN)
-        h = prefix_hashes(buf[::-1])  # of the reversed bytes: independent of the first
-        s = len(buf) - s - SPAN
-        two[a:b] = substring_hashes(h, s, s + SPAN)
+        one[a:b] = substring_hashes(prefix_hashes(buf), s, s + SPAN)
+        s = len(buf) - s - SPAN  # of the reversed bytes: independent of the first
+        two[a:b] = substring_hashes(prefix_hashes(buf[::-1]), s, s + SPAN)
     return one, two
 
 
@@ -130,19 +144,46 @@ def groups(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(new)
 
 
-def pack(columns: list[np.ndarray]) -> bytes:
-    raw = b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
-    return len(columns[0]).to_bytes(4, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
-
-
-def unpack(blob: bytes, types: list) -> list[np.ndarray]:
-    n = int.from_bytes(blob[:4], "little")
-    raw = pa.Codec("zstd").decompress(blob[4:], n * sum(np.dtype(t).itemsize for t in types), asbytes=True)
-    out, at = [], 0
-    for t in types:
-        out.append(np.frombuffer(raw, dtype=t, count=n, offset=at))
-        at += n * np.dtype(t).itemsize
-    return out
+class Layout:
+    """Columns of a blob with the bytes kept of each; rows go by (did, s), whose
+    differences are stored, byte by byte, so that they compress.  A text per
+    row (of the length that ``n`` says) may follow."""
+
+    def __init__(self, **widths: int):
+        self.widths = widths
+
+    def pack(self, columns: dict[str, np.ndarray], texts: list[bytes] | None = None) -> bytes:
+        n = len(columns["did"])
+        order = np.lexsort((columns["s"], columns["did"]))
+        raw = []
+        for name, width in self.widths.items():
+            x = columns[name][order].astype(np.int64, casting="unsafe")
+            if name in ("did", "th", "s"):
+                x = np.diff(x, prepend=np.int64(0))
+            raw.append(np.ascontiguousarray(x.view(np.uint8).reshape(n, 8)[:, :width].T).tobytes())
+        raw += [texts[k] for k in order.tolist()] if texts else []
+        data = b"".join(raw)
+        return (n.to_bytes(4, "little") + len(data).to_bytes(4, "little")
+                + pa.Codec("zstd", 1).compress(data, asbytes=True))
+
+    def unpack(self, blob: bytes) -> tuple[dict[str, np.ndarray], bytes]:
+        n, size = (int.from_bytes(blob[k:k + 4], "little") for k in (0, 4))
+        data = pa.Codec("zstd").decompress(blob[8:], size, asbytes=True)
+        raw = np.frombuffer(data, dtype=np.uint8)
+        out, at = {}, 0
+        for name, width in self.widths.items():
+            x = np.zeros((n, 8), dtype=np.uint8)
+            x[:, :width] = raw[at:at + n * width].reshape(width, n).T
+            at += n * width
+            x = x.reshape(-1).view(np.int64)
+            out[name] = np.cumsum(x) if name in ("did", "th", "s") else x
+        return out, data[at:]
+
+    def unpack_all(self, blobs: list[bytes]) -> tuple[dict[str, np.ndarray], list[bytes]]:
+        """Columns of all blobs, and their texts, joined per blob."""
+        parts = [self.unpack(b) for b in blobs]
+        return ({name: np.concatenate([p[name] for p, _ in parts]) for name in self.widths},
+                [t for _, t in parts])
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,8 +201,9 @@ class Out:
     def __init__(self):
         self.rows: list[tuple] = []
 
-    def spans(self, kind: int, bucket_of, did, th, start, n) -> None:
-        """A row per document: its window ranges [start, start + n), merged."""
+    def spans(self, kind, bucket_of, did, th, start, n, anchor=None) -> None:
+        """A row per document: its window ranges [start, start + n), merged, or
+        with ``anchor`` one by one."""
         if not len(did):
             return
         order = np.lexsort((start, th, did))
@@ -169,17 +211,20 @@ class Out:
         g = groups(did, th)
         cut = np.append(np.flatnonzero(np.diff(g, prepend=-1)), len(g))
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            lo, hi = merged(start[a:b], start[a:b] + n[a:b])
+            columns = (merged(start[a:b], start[a:b] + n[a:b]) if anchor is None
+                       else (start[a:b], n[a:b], anchor[order[a:b]]))
             self.rows.append((bucket_of(int(did[a])), kind, int(did[a]), int(th[a]),
-                              np.concatenate([lo, hi]).astype("<i4").tobytes()))
+                              np.concatenate(columns).astype("<i8").tobytes()))
 
-    def entries(self, key: np.ndarray, buckets: int, columns: list[np.ndarray]) -> None:
+    def entries(self, key, buckets: int, layout: Layout, columns: dict, kind: int = ENTRIES,
+                texts: list[bytes] | None = None) -> None:
         bucket = (key % U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for k in np.flatnonzero(np.diff(cut)).tolist():
             rows = order[cut[k]:cut[k + 1]]
-            self.rows.append((k, ENTRIES, None, None, pack([c[rows] for c in columns])))
+            self.rows.append((k, kind, None, None, layout.pack(
+                {name: c[rows] for name, c in columns.items()}, texts and [texts[r] for r in rows.tolist()])))
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
@@ -197,33 +242,39 @@ def _by_bytes(texts, doc, start, length, pairs) -> np.ndarray:
     return np.array(bad, dtype=np.int64)
 
 
-ENTRY = [U, U, np.int64, np.int64, np.int32, np.int32]
+#: Anchor and context hashes are cut to 40 bits; the sides' 16 bits each and
+#: the bucket are part of what must agree as well.
+ENTRY = Layout(m=5, c=5, before=2, after=2, did=8, th=8, s=8, n=1)
+CONTEXT = Layout(m=5, did=8, th=8, s=8, n=1)
+WINDOW = Layout(one=8, two=5, did=8, th=8, s=8)
 
 
-def sort_contexts(m, c, did, n, local: bool):
-    """Order by (anchor, context, document); then, in that order: removed (a
-    smaller document of the class is here), first (of its class), and asked
-    (first, and its anchor has other classes and documents).  A row with
-    ``n`` 0 marks an anchor that another task has asked about."""
-    order = np.lexsort((did, c, m))
-    m, c, did, n = m[order], c[order], did[order], n[order]
-    cls, anc = groups(m, c), groups(m)
-    real = n > 0
+def sort_contexts(x: dict[str, np.ndarray]):
+    """Order by (anchor, context, document); then, in that order: the number of
+    the anchor and of the class, removed (a smaller document of the class is
+    here), and first (of its class).  Rows with ``n`` 0 are marks."""
+    order = np.lexsort((x["did"], x["after"], x["before"], x["c"], x["m"]))
+    m, c, before, after, did = (x[k][order] for k in ("m", "c", "before", "after", "did"))
+    anchor, cls = groups(m), groups(m, c, before, after)
+    real = x["n"][order] > 0
     head = np.flatnonzero(np.diff(cls, prepend=-1))
-    least = did[head][cls] if len(head) else did
-    size = int(anc[-1]) + 1 if len(anc) else 0
-    several = np.bincount(anc[head][real[head]], minlength=size) > 1
-    lo, hi = np.full(size, np.iinfo(np.int64).max), np.full(size, np.iinfo(np.int64).min)
-    np.minimum.at(lo, anc[real], did[real])
-    np.maximum.at(hi, anc[real], did[real])
-    differ = several & (lo < hi)
-    if not local:
-        marked = np.zeros(size, dtype=bool)
-        marked[anc[~real]] = True
-        differ |= marked
-    removed = real & (did > least)
-    first = real & ~removed
-    return order, removed, first, first & differ[anc] if size else first
+    removed = real & (did > did[head][cls])
+    return order, anchor, cls, removed, real & ~removed
+
+
+def _shared(anchor, cls, did, side, first) -> np.ndarray:
+    """First rows whose side another class of the anchor, of another document, has."""
+    rows = np.flatnonzero(first & (side > 0))
+    out = np.zeros(len(anchor), dtype=bool)
+    if len(rows):
+        order = np.lexsort((side[rows], anchor[rows]))
+        rows = rows[order]
+        g = groups(anchor[rows], side[rows])
+        at = np.flatnonzero(np.diff(g, prepend=-1))
+        several = np.minimum.reduceat(cls[rows], at) < np.maximum.reduceat(cls[rows], at)
+        several &= np.minimum.reduceat(did[rows], at) < np.maximum.reduceat(did[rows], at)
+        out[rows] = several[g]
+    return out
 
 
 def _round_one(buckets: int):
@@ -238,8 +289,8 @@ def _round_one(buckets: int):
             parts, pieces, owner, shift, size = [], [], [], [], 0
 
             def hash_pieces():
-                p, s, n, m, c = contexts(pieces)
-                parts.append((np.array(owner, np.int64)[p], s + np.array(shift, np.int64)[p], n, m, c))
+                p, s, *rest = contexts(pieces)
+                parts.append((np.array(owner, np.int64)[p], s + np.array(shift, np.int64)[p], *rest))
 
             for k, t in enumerate(texts):
                 for lo in range(0, max(1, len(t) - SPAN + 1), PIECE // 2):
@@ -257,25 +308,27 @@ def _round_one(buckets: int):
                 hash_pieces()
             if not parts:
                 return
-            doc, s, n, m, c = (np.concatenate(x) for x in zip(*parts, strict=True))
-            did, th = np.array(ids, np.int64)[doc], np.array(hashes, np.int64)[doc]
-            order, removed, first, asked = sort_contexts(m, c, did, n, local=True)
-            doc, s, n, m, c, did, th = (x[order] for x in (doc, s, n, m, c, did, th))
-            twins = np.flatnonzero((m[1:] == m[:-1]) & (c[1:] == c[:-1])) + 1
-            if len(bad := _by_bytes(texts, doc, s, n + SPAN - 1, twins)):
-                # unequal bytes under equal hashes: windows decide about the whole class
-                cls = groups(m, c)
-                odd = np.isin(cls, cls[bad])
-                removed, first, asked = removed & ~odd, first & ~odd, asked | odd
-            bucket = lambda d: d % buckets
-            out.spans(DECIDED, bucket, did[removed], th[removed], s[removed], n[removed])
-            out.spans(ASKED, bucket, did[asked], th[asked], s[asked], n[asked])
+            names = ("doc", "s", "n", "m", "c", "before", "after")
+            x = {k: np.concatenate(v) for k, v in zip(names, zip(*parts, strict=True), strict=True)}
+            x["m"] >>= U(24)  # 40 bits of each are kept, so 40 bits are sorted
+            x["c"] >>= U(24)
+            doc = x.pop("doc")
+            x["did"], x["th"] = np.array(ids, np.int64)[doc], np.array(hashes, np.int64)[doc]
+            order, anchor, cls, removed, first = sort_contexts(x)
+            x, doc = {k: v[order] for k, v in x.items()}, doc[order]
+            asked = first & (np.bincount(anchor[first], minlength=anchor[-1] + 1) > MANY)[anchor]
+            twins = np.flatnonzero(cls[1:] == cls[:-1]) + 1
+            if len(bad := _by_bytes(texts, doc, x["s"], x["n"] + SPAN - 1, twins)):
+                # unequal bytes under equal hashes: windows decide about the anchor
+                odd = np.isin(anchor, anchor[bad])
+                removed, first, asked = removed & ~odd, first | odd, asked | odd
+            for kind, rows in ((DECIDED, removed), (HOT, asked)):
+                out.spans(kind, lambda d: d % buckets, *(x[k][rows] for k in ("did", "th", "s", "n")))
             send = first & ~asked
-            marks = np.unique(m[asked])
-            columns = [np.concatenate([x[send].astype(t), np.zeros(len(marks), t)])
-                       for x, t in zip((m, c, did, th, s, n), ENTRY, strict=True)]
-            columns[0][len(columns[0]) - len(marks):] = marks
-            out.entries(columns[0], buckets, columns)
+            marks = np.unique(x["m"][asked])
+            rows = {k: np.concatenate([v[send], np.zeros(len(marks), v.dtype)]) for k, v in x.items()}
+            rows["m"][len(rows["m"]) - len(marks):] = marks
+            out.entries(rows["m"], buckets, ENTRY, rows)
             yield from out.batches()
 
         for b in batches:
@@ -295,123 +348,201 @@ def _round_one(buckets: int):
         out = Out()
         blobs = []
         for b in batches:
-            rows = zip(*(b.column(x).to_pylist() for x in ("bucket", "kind", "doc_id", "th", "payload")),
-                       strict=True)
-            for r in rows:
+            for r in _rows_of(b):
                 if r[1] == ENTRIES:
-                    blobs.append(unpack(r[4], ENTRY))
+                    blobs.append(r[4])
                 else:
                     out.rows.append(r)
             yield from out.batches()
             out = Out()
         if blobs:
-            m, c, did, th, s, n = (np.concatenate(x) for x in zip(*blobs, strict=True))
-            order, removed, _, asked = sort_contexts(m, c, did, n, local=False)
-            did, th, s, n = did[order], th[order], s[order], n[order]
-            out.spans(DECIDED, lambda d: 0, did[removed], th[removed], s[removed], n[removed])
-            out.spans(ASKED, lambda d: 0, did[asked], th[asked], s[asked], n[asked])
+            x, _ = ENTRY.unpack_all(blobs)
+            order, anchor, cls, removed, first = sort_contexts(x)
+            x = {k: v[order] for k, v in x.items()}
+            marked = np.zeros(anchor[-1] + 1, dtype=bool)
+            marked[anchor[x["n"] == 0]] = True
+            hot = first & marked[anchor]
+            asked = first & ~hot & (_shared(anchor, cls, x["did"], x["before"], first)
+                                    | _shared(anchor, cls, x["did"], x["after"], first))
+            for kind, rows in ((DECIDED, removed), (HOT, hot)):
+                out.spans(kind, lambda d: 0, *(x[k][rows] for k in ("did", "th", "s", "n")))
+            out.spans(ASKED, lambda d: 0, *(x[k][asked] for k in ("did", "th", "s", "n", "m")))
             yield from out.batches()
 
     return local, reduce
 
 
-WINDOW = [U, U, np.int64, np.int64, np.int32]
-
-
 def intervals(payloads) -> tuple[np.ndarray, np.ndarray]:
     """Sorted window ranges of all payloads of a document."""
-    halves = [np.frombuffer(p, dtype="<i4").astype(np.int64).reshape(2, -1) for p in payloads]
+    halves = [np.frombuffer(p, dtype="<i8").reshape(2, -1) for p in payloads]
     lo, hi = (np.concatenate([h[k] for h in halves]) for k in (0, 1))
     order = np.argsort(lo, kind="stable")
     return merged(lo[order], hi[order])
 
 
 def _sort_windows(one, two, did):
+    """Order by (window, document), the first row of each row's window in that
+    order, and which rows a smaller document of the window removes."""
     order = np.lexsort((did, two, one))
     g = groups(one[order], two[order])
     head = np.flatnonzero(np.diff(g, prepend=-1))
-    return order, did[order] > did[order][head][g]
+    lead = head[g]
+    return order, lead, did[order] > did[order][lead]
+
+
+def _sort_contexts_bytes(x: dict[str, np.ndarray], texts: list[bytes]):
+    """(row, window, removed) of every window of contexts, on their bytes."""
+    span = x["n"] + SPAN - 1
+    at = np.concatenate([[0], np.cumsum(span)])
+    buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    row = np.repeat(np.arange(len(span)), x["n"])
+    shift = np.arange(len(row)) - np.repeat(np.cumsum(x["n"]) - x["n"], x["n"])
+    start = at[row] + shift
+    one, two = windows(buf, start)
+    order, lead, removed = _sort_windows(one, two, x["did"][row])
+    bytes_at = np.arange(SPAN)
+    hit = np.flatnonzero(removed)
+    for lo in range(0, len(hit), 1 << 16):  # verify what hashes alike
+        k = hit[lo:lo + (1 << 16)]
+        same = (buf[start[order[k]][:, None] + bytes_at]
+                == buf[start[order[lead[k]]][:, None] + bytes_at]).all(axis=1)
+        for i in k[~same].tolist():
+            mine = buf[start[order[i]]:start[order[i]] + SPAN].tobytes()
+            removed[i] = any(  # the window's rows come in order of documents
+                buf[start[o]:start[o] + SPAN].tobytes() == mine and x["did"][row[o]] < x["did"][row[order[i]]]
+                for o in order[lead[i]:i].tolist())
+    order = order[removed]
+    return row[order], shift[order]
+
+
+def _rows_of(b: pa.RecordBatch):
+    return zip(*(b.column(c).to_pylist() for c in ("bucket", "kind", "doc_id", "th", "payload")),
+               strict=True)
 
 
 def _round_two(buckets: int):
     def local(batches):
-        held: list[tuple] = []
-        count = 0
+        """Contexts as bytes by anchor; windows of hot anchors by their hashes."""
+        hot, contexts_, texts, held = [], [], [], 0
 
         def work():
-            one, two, did, th, s = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, removed = _sort_windows(one, two, did)
-            one, two, did, th, s = (x[order] for x in (one, two, did, th, s))
             out = Out()
-            r = removed
-            out.spans(DECIDED, lambda d: d % buckets, did[r], th[r], s[r], np.ones(int(r.sum()), np.int64))
-            out.entries(one[~r], buckets, [x[~r].astype(t) for x, t in zip(
-                (one, two, did, th, s), WINDOW, strict=True)])
+            if hot:
+                x = {k: np.concatenate(v) for k, v in zip(
+                    ("one", "two", "did", "th", "s"), zip(*hot, strict=True), strict=True)}
+                order, _, r = _sort_windows(x["one"], x["two"], x["did"])
+                x = {k: v[order] for k, v in x.items()}
+                out.spans(DECIDED, lambda d: d % buckets, x["did"][r], x["th"][r], x["s"][r],
+                          np.ones(int(r.sum()), np.int64))
+                out.entries(x["one"][~r], buckets, WINDOW, {k: v[~r] for k, v in x.items()}, HOT)
+            if contexts_:
+                x = {k: np.concatenate(v) for k, v in zip(
+                    ("m", "did", "th", "s", "n"), zip(*contexts_, strict=True), strict=True)}
+                out.entries(x["m"].astype(U), buckets, CONTEXT, x, ASKED, texts)
             yield from out.batches()
 
         for b in batches:
-            for t, i, h, spans in zip(b.column("text"), b.column("doc_id").to_pylist(),
-                                      b.column("th").to_pylist(), b.column("spans").to_pylist(), strict=True):
-                lo, hi = intervals(spans)
-                at = np.concatenate([np.arange(a, z) for a, z in zip(lo, hi, strict=True)])
-                one, two = windows(t.as_buffer().to_pybytes(), at)
-                held.append((one, two, np.full(len(at), i, np.int64), np.full(len(at), h, np.int64), at))
-                count += len(at)
-                if count >= CHUNK // 12:
+            for t, i, h, asked, spans in zip(
+                    b.column("text"), *(b.column(c).to_pylist() for c in ("doc_id", "th", "asked", "hot")),
+                    strict=True):
+                t = t.as_buffer().to_pybytes()
+                if spans:
+                    lo, hi = intervals(spans)
+                    at = np.concatenate([np.arange(a, z) for a, z in zip(lo, hi, strict=True)])
+                    one, two = windows(np.frombuffer(t, dtype=np.uint8), at)
+                    hot.append((one, two >> U(24), np.full(len(at), i), np.full(len(at), h), at))
+                    held += 40 * len(at)
+                for p in asked or ():
+                    s, n, m = np.frombuffer(p, dtype="<i8").reshape(3, -1)
+                    contexts_.append((m, np.full(len(s), i), np.full(len(s), h), s, n))
+                    texts += [t[a:z] for a, z in zip(s.tolist(), (s + n + SPAN - 1).tolist(), strict=True)]
+                    held += 150 * len(s)
+                if held >= 4 * CHUNK:
                     yield from work()
-                    held, count = [], 0
-        if held:
+                    hot, contexts_, texts, held = [], [], [], 0
+        if hot or contexts_:
             yield from work()
 
     def reduce(batches):
         out = Out()
-        blobs = []
+        blobs: dict[int, list[bytes]] = {ASKED: [], HOT: []}
         for b in batches:
-            rows = zip(*(b.column(x).to_pylist() for x in ("bucket", "kind", "doc_id", "th", "payload")),
-                       strict=True)
-            for r in rows:
-                if r[1] == ENTRIES:
-                    blobs.append(unpack(r[4], WINDOW))
-                else:
+            for r in _rows_of(b):
+                if r[1] == DECIDED:
                     out.rows.append(r)
-        if blobs:
-            one, two, did, th, s = (np.concatenate(x) for x in zip(*blobs, strict=True))
-            order, r = _sort_windows(one, two, did)
-            did, th, s = did[order][r], th[order][r], s[order][r]
+                else:
+                    blobs[r[1]].append(r[4])
+        if blobs[HOT]:
+            x, _ = WINDOW.unpack_all(blobs[HOT])
+            order, _, r = _sort_windows(x["one"], x["two"], x["did"])
+            did, th, s = (x[k][order][r] for k in ("did", "th", "s"))
             out.spans(DECIDED, lambda d: 0, did, th, s, np.ones(len(s), np.int64))
+        if blobs[ASKED]:
+            x, texts = CONTEXT.unpack_all(blobs[ASKED])
+            row, shift = _sort_contexts_bytes(x, texts)
+            out.spans(DECIDED, lambda d: 0, x["did"][row], x["th"][row], x["s"][row] + shift,
+                      np.ones(len(row), np.int64))
         yield from out.batches()
 
     return local, reduce
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_bytes, kept (the remaining bytes), starts and ends
-    (the maximal removed runs, as byte offsets)."""
+def _whole(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, widened to whole characters."""
+    def outward(k: int, step: int) -> int:
+        while 0 < k < len(text) and text[k] & 0xC0 == 0x80:
+            k += step
+        return k
+
+    return (np.array([outward(k, -1) for k in lo.tolist()], dtype=np.int64),
+            np.array([outward(k, 1) for k in hi.tolist()], dtype=np.int64))
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          carry: tuple[str, ...] = (), characters: bool = False) -> DataFrame:
+    """Per row: doc_id, the ``carry`` columns as they are, n_bytes, kept (the
+    remaining bytes), starts and ends (the maximal removed runs, as byte
+    offsets).  With ``characters``, a character that loses one of its bytes
+    goes whole, so that ``kept`` is UTF-8."""
     spark = docs.sparkSession
+    ship(spark)
     parts = shuffle_partitions(spark)
     buckets = 4 * parts
     kind = dict(docs.dtypes)[id_col]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"),
-                       text.cast("binary").alias("text"))
-    long_enough = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= SPAN))
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
+    # rows that repeat an id are told apart by their texts
+    repeated = not ids.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    keys = ["doc_id", "th"] if repeated else ["doc_id"]
+    th = F.col("th") if repeated else F.lit(0).cast("long").alias("th")
+    more = [f"_{c}" for c in carry]
+    # "| 0": a plain column would be renamed in one use below and not in the
+    # other, and then the two uses of the exchange would not be seen as one
+    rows = docs.select(F.col(id_col).cast("long").bitwiseOR(F.lit(0)).alias("doc_id"), *[F.xxhash64(text).alias("th")] * repeated,
+                       text.cast("binary").alias("text"), *[F.col(c).alias(f"_{c}") for c in carry])
+    sortable = F.col("doc_id").isNotNull() & (F.octet_length("text") >= SPAN)
+    long_enough = rows.filter(sortable)
 
     def sorted_by(df: DataFrame, stages) -> DataFrame:
         local, reduce = stages
         return (df.mapInArrow(local, SHAPE).repartition(parts, "bucket").mapInArrow(reduce, SHAPE)
                 .select("kind", "doc_id", "th", "payload"))
 
-    one = pinned(sorted_by(long_enough.select("text", "doc_id", "th"), _round_one(buckets)))
-
-    def spans(df: DataFrame) -> DataFrame:
-        return df.groupBy("doc_id", "th").agg(F.collect_list("payload").alias("spans"))
-
-    # the texts are shuffled once; both joins read that exchange
-    placed = rows.repartition(parts, "doc_id", "th")
-    asked = placed.join(spans(one.filter(F.col("kind") == ASKED)), ["doc_id", "th"])
-    two = sorted_by(asked.select("text", "doc_id", "th", "spans"), _round_two(buckets))
-    decided = one.filter(F.col("kind") == DECIDED).unionByName(two)
-    joined = placed.join(spans(decided), ["doc_id", "th"], "left")
+    one = pinned(sorted_by(long_enough.select("text", "doc_id", th), _round_one(buckets)))
+
+    # the texts are shuffled once: both joins read the same columns of one exchange
+    placed = long_enough.repartition(parts, *keys)
+    by_kind = [F.collect_list(F.when(F.col("kind") == k, F.col("payload"))).alias(name)
+               for k, name in ((ASKED, "asked"), (HOT, "hot"))]
+    wanted = one.filter(F.col("kind") != DECIDED).groupBy(*keys).agg(*by_kind)
+    asked = placed.join(wanted, keys)
+    two = sorted_by(asked.select("text", "doc_id", th, "asked", "hot", *more), _round_two(buckets))
+    spans = (one.filter(F.col("kind") == DECIDED).unionByName(two)
+             .groupBy(*keys).agg(F.collect_list("payload").alias("spans")))
+    none = F.lit(None).cast("array<binary>").alias("spans")
+    columns = ["doc_id", "text", "spans", *more]
+    joined = placed.join(spans, keys, "left").select(columns).unionByName(
+        rows.filter(F.coalesce(~sortable, F.lit(True))).select("doc_id", "text", none, *more))
 
     def cut(batches):
         for b in batches:
@@ -422,6 +553,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 if payloads:
                     lo, hi = intervals(payloads)
                     lo, hi = merged(lo, hi + SPAN - 1)  # windows to the bytes they cover
+                    if characters:
+                        lo, hi = merged(*_whole(t, lo, hi))
                 edges = [0, *np.stack([lo, hi], axis=1).ravel().tolist(), len(t)]
                 n.append(len(t))
                 kept.append(b"".join(t[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)))
@@ -429,12 +562,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 ends.append(hi)
             many = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(kept, pa.binary()),
+                [b.column("doc_id"), *[b.column(f"_{c}") for c in carry], pa.array(n, pa.int64()), pa.array(kept, pa.binary()),
                  pa.array(starts, many), pa.array(ends, many)],
-                names=["doc_id", "n_bytes", "kept", "starts", "ends"])
+                names=["doc_id", *carry, "n_bytes", "kept", "starts", "ends"])
 
-    out = joined.select("doc_id", "text", "spans").mapInArrow(
-        cut, "doc_id long, n_bytes long, kept binary, starts array<long>, ends array<long>")
+    types = dict(docs.dtypes)
+    shape = ", ".join(["doc_id long", *[f"`{c}` {types[c]}" for c in carry], "n_bytes long", "kept binary",
+                       "starts array<long>", "ends array<long>"])
+    out = joined.mapInArrow(cut, shape)
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
