@@ -56,8 +56,11 @@ def _series(start, end) -> str:
 
 
 def _window(day):
-    from tidewater.operators.calendar import run_window
-    return run_window(day)
+    """The calendar window of a run, by SQL interval arithmetic."""
+    import duckdb
+    back, ahead = C.CALENDAR_YEARS_BACK, C.CALENDAR_YEARS_AHEAD
+    return duckdb.connect().execute(f"SELECT CAST({_d(day)} - INTERVAL {back} YEAR AS DATE), "
+                                    f"CAST({_d(day)} + INTERVAL {ahead} YEAR AS DATE)").fetchone()
 
 
 SALES_LATEST = "ORDER BY transaction_date DESC, product_id DESC, qty DESC, customer_id DESC"
@@ -498,10 +501,35 @@ UNION ALL SELECT 'products', 'name_max_255', count(*), sum(CASE WHEN length(name
 UNION ALL SELECT 'products', 'group_not_null', count(*), sum(CASE WHEN group_name IS NULL THEN 1 ELSE 0 END) FROM src_p2
 UNION ALL SELECT 'products', 'group_max_100', count(*), sum(CASE WHEN length(group_name) > 100 THEN 1 ELSE 0 END) FROM src_p2
 UNION ALL SELECT 'etl_logs', 'status_allowed', count(*), sum(CASE WHEN status IN ('RUNNING', 'SUCCESS', 'FAILED', 'WARNING') THEN 0 ELSE 1 END) FROM run_log)"""
+    q["broken_rules"] = """
+SELECT table_name, rule, CAST(rows_checked AS BIGINT) AS rows_checked,
+       CAST(rows_failed AS BIGINT) AS rows_failed FROM (
+SELECT 'documents' AS table_name, 'text_max_255' AS rule, count(*) AS rows_checked,
+       count(*) FILTER (length(text) > 255) AS rows_failed FROM documents
+UNION ALL SELECT 'events', 'status_allowed', count(*), count(*) FILTER (event_type IS NULL
+       OR event_type NOT IN ('RUNNING', 'SUCCESS', 'FAILED', 'WARNING')) FROM events
+UNION ALL SELECT 'customer', 'balance_positive', count(*), count(*) FILTER (c_acctbal IS NULL
+       OR c_acctbal <= 0) FROM customer
+UNION ALL SELECT 'sales', 'parent_name_not_null', count(*), count(*) FILTER (c.name IS NULL)
+       FROM src_s2 s LEFT JOIN src_c1 c ON s.customer_id = c.id)"""
+    q["rejected_documents"] = """
+SELECT doc_id, concat_ws(',', CASE WHEN length(text) > 255 THEN 'text_max_255' END,
+                         CASE WHEN text IS NULL THEN 'text_not_null' END) AS failed_rules
+FROM documents WHERE text IS NULL OR length(text) > 255"""
+    steps = [("mrr_to_stg_customers", "mrr_c"), ("mrr_to_stg_products", "mrr_p"),
+             ("mrr_to_stg_sales", "mrr_s"), ("stg_to_dwh_customers", "stg_c"),
+             ("stg_to_dwh_products", "stg_p"), ("stg_to_dwh_sales", "stg_s")]
+    q["etl_run_log"] = " UNION ALL ".join(
+        [f"SELECT '{step}' AS process_name, CAST({run} AS BIGINT) AS run, 'SUCCESS' AS status, "
+         f"CAST(count(*) AS BIGINT) AS rows_processed FROM {table}{run}"
+         for step, table in steps for run in (1, 2)]
+        + ["SELECT 'stg_to_dwh_date_dimension', 1, 'SUCCESS', count(*) FROM cal1",
+           "SELECT 'stg_to_dwh_date_dimension', 2, 'SUCCESS', "
+           "(SELECT count(*) FROM cal2) - (SELECT count(*) FROM cal1)"])
     q["orphans"] = """
-SELECT 'source' AS layer, id AS sale_id, 'missing customer' AS reason FROM src_s1
+SELECT 'source' AS layer, id AS sale_id, 'missing customer' AS reason FROM src_s2
 WHERE customer_id NOT IN (SELECT id FROM src_c1)
-UNION ALL SELECT 'source', id, 'missing product' FROM src_s1 WHERE product_id NOT IN (SELECT id FROM src_p1)
+UNION ALL SELECT 'source', id, 'missing product' FROM src_s2 WHERE product_id NOT IN (SELECT id FROM src_p1)
 UNION ALL SELECT 'warehouse', original_sale_id, 'missing customer' FROM fact2
 WHERE customer_key NOT IN (SELECT customer_key FROM dim_c2)
 UNION ALL SELECT 'warehouse', original_sale_id, 'missing product' FROM fact2
@@ -523,4 +551,6 @@ SELECT id, customer_id, product_id, qty, transaction_date FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_at >= {_ts(C.RUN1_CUT)} DESC,
          transaction_date DESC, product_id DESC, qty DESC, customer_id DESC) AS rn
   FROM src_s2) WHERE rn = 1"""
+    q["customer_metrics_table"] = q["customer_metrics"]
+    q["group_performance_json"] = q["group_performance"]
     return {k: _with(v) for k, v in q.items()}

@@ -11,7 +11,7 @@ import datetime as dt
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater import config as C
@@ -23,9 +23,11 @@ from tidewater.operators.marks import extract_delta, late_rows
 from tidewater.operators.upsert import insert_if_absent, latest_per_key
 from tidewater.plans import metrics as M
 from tidewater.plans import monitoring as L
-from tidewater.plans.pipeline import SALES_ORDER
+from tidewater.plans.pipeline import SALES_ORDER, open_warehouse
+from tidewater.plans.procedures import refresh_customer_metrics
 from tidewater.plans.scenario import warehouse
 from tidewater.sources import adapter as A
+from tidewater.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -247,15 +249,68 @@ def q_rule_summary(spark, sf_dir):
             .unionByName(Q.rule_summary(A.run_log(spark, sf_dir), "etl_logs", log_rules())))
 
 
+def q_broken_rules(spark, sf_dir):
+    """The rules over given tables that break them: every rule fails somewhere."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    events = read_table(spark, sf_dir, "events", ["event_type"])
+    customers = read_table(spark, sf_dir, "customer", ["c_acctbal"])
+    sales = A.source_sales(spark, sf_dir, 2).select("customer_id").join(
+        A.source_customers(spark, sf_dir, 1).select(F.col("id").alias("customer_id"), "name"),
+        "customer_id", "left")
+    return (Q.rule_summary(docs, "documents", {"text_max_255": Q.rule_max_length("text", 255)})
+            .unionByName(Q.rule_summary(events, "events",
+                                        {"status_allowed": Q.rule_status("event_type")}))
+            .unionByName(Q.rule_summary(customers, "customer",
+                                        {"balance_positive": Q.rule_positive("c_acctbal")}))
+            .unionByName(Q.rule_summary(sales, "sales",
+                                        {"parent_name_not_null": Q.rule_not_null("name")})))
+
+
+def q_rejected_documents(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    _, rejected = Q.apply_rules(docs, {"text_max_255": Q.rule_max_length("text", 255),
+                                       "text_not_null": Q.rule_not_null("text")})
+    return rejected.select("doc_id", "failed_rules")
+
+
+LOGGED = ["mrr_to_stg_customers", "mrr_to_stg_products", "mrr_to_stg_sales",
+          "stg_to_dwh_customers", "stg_to_dwh_date_dimension", "stg_to_dwh_products",
+          "stg_to_dwh_sales"]
+
+
+def q_etl_run_log(spark, sf_dir):
+    """The pipeline's own log of both runs: rows that each step processed."""
+    log = _wh(spark, sf_dir).table("etl_logs").filter(F.col("process_name").isin(*LOGGED))
+    run = F.row_number().over(Window.partitionBy("process_name").orderBy("log_id"))
+    return log.select("process_name", run.cast("long").alias("run"), "status", "rows_processed")
+
+
+def q_customer_metrics_table(spark, sf_dir):
+    """The metrics table as the procedure stored it, read from a reopened warehouse."""
+    wh = _wh(spark, sf_dir)
+    if not wh.store.has("customer_metrics"):
+        refresh_customer_metrics(wh, C.AS_OF_TS)
+    return open_warehouse(spark, wh.store.root).table("customer_metrics").drop("calculated_at")
+
+
+def q_group_performance_json(spark, sf_dir):
+    """The JSON form, parsed back field by field."""
+    wh = _wh(spark, sf_dir)
+    perf = M.group_performance(wh.table("dwh_fact_sales"), wh.table("dwh_dim_products"))
+    fields = perf.schema.simpleString()[len("struct<"):-1]
+    return (M.group_performance_json(perf)
+            .select(F.from_json("performance", f"struct<{fields}>").alias("j")).select("j.*"))
+
+
 def q_orphans(spark, sf_dir):
-    """Source sales of run 1 without their customer or product (C5) and
+    """All source sales whose customer or product the run-1 snapshots lack (C5) and
     warehouse facts without a customer, product or calendar row (C6); each
     child table is read once."""
     wh = _wh(spark, sf_dir)
-    s1 = A.source_sales(spark, sf_dir, 1).select(F.col("id").alias("sale_id"), "customer_id",
-                                                   "product_id")
+    sales = A.source_sales(spark, sf_dir, 2).select(F.col("id").alias("sale_id"), "customer_id",
+                                                    "product_id")
     c1, p1 = A.source_customers(spark, sf_dir, 1), A.source_products(spark, sf_dir, 1)
-    source = Q.orphan_report(s1, [(c1, "customer_id", "id", "missing customer"),
+    source = Q.orphan_report(sales, [(c1, "customer_id", "id", "missing customer"),
                                   (p1, "product_id", "id", "missing product")], ["sale_id"])
     fact = wh.table("dwh_fact_sales").select(F.col("original_sale_id").alias("sale_id"),
                                              "customer_key", "product_key", "date_key")
@@ -379,6 +434,11 @@ def registry() -> dict[str, Query]:
         "rejected_sales": q_rejected_sales,
         "rule_summary": q_rule_summary,
         "orphans": q_orphans,
+        "broken_rules": q_broken_rules,
+        "rejected_documents": q_rejected_documents,
+        "etl_run_log": q_etl_run_log,
+        "customer_metrics_table": q_customer_metrics_table,
+        "group_performance_json": q_group_performance_json,
         "duplicate_keys": q_duplicate_keys,
         "cascade_delete": q_cascade_delete,
         "stream_mirror_sales": q_stream_mirror_sales,
