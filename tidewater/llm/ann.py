@@ -6,15 +6,16 @@
    dropped by a per-task limit before the shuffle.
 2. Centroids are fitted on at most ``SAMPLE`` classes (the smallest hashes of
    their ids): k-means on unit vectors, with a penalty on list sizes.
-   There are about ``sqrt(classes)`` of them, at most ``MAX_LISTS``, so sample
-   and centroids have a fixed bound and are what the driver holds.
+   There are about ``sqrt(classes)`` of them, at most ``MAX_LISTS`` (and one
+   while all fit in a block), so sample and centroids have a fixed bound and
+   are what the driver holds.
 3. A graph over the centroids (each with its nearest ones) is searched best
    first, in memory, by the tasks that place vectors and queries.
 4. A vector goes to its nearest list and, near a boundary, to up to
    ``COPIES - 1`` others within ``BOUNDARY`` times that distance, unless an
    already chosen centroid is closer to the new one than the vector is.
 5. A query takes the lists within ``PRUNE`` times its nearest centroid's
-   distance, at most ``PROBES``.  Lists are cut into blocks of about ``BLOCK``
+   distance, at least ``LEAST`` and at most ``PROBES``.  Lists are cut into blocks of about ``BLOCK``
    vectors, and queries into groups, so no task gets a whole hot list.
 6. Each (block, query group) task scores its pairs in double precision and
    keeps the best per query; the few best per task meet in one aggregate.
@@ -40,7 +41,7 @@ from tidewater.llm.common import pinned, ship
 SAMPLE, MAX_LISTS, ROUNDS = 20_000, 4096, 12
 DEGREE, BEAM = 24, 160
 COPIES, BOUNDARY = 4, 1.15
-PROBES, PRUNE = 128, 1.9
+PROBES, PRUNE, LEAST = 128, 1.9, 8
 BLOCK, GROUP = 4096, 2048
 
 
@@ -99,7 +100,7 @@ class Centroids:
     def probes_of(self, v: np.ndarray) -> list[int]:
         """The lists that a query for ``v`` reads."""
         found = self.search(v, min(BEAM, max(PROBES, 1)))[:PROBES]
-        return [c for d, c in found if d <= PRUNE * max(found[0][0], 1e-12)]
+        return [c for k, (d, c) in enumerate(found) if k < LEAST or d <= PRUNE * max(found[0][0], 1e-12)]
 
 
 def fit(sample: np.ndarray, lists: int) -> Centroids:
@@ -166,7 +167,7 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id",
         return spark.createDataFrame([], empty)
     kept = kept.filter(F.size("vec") == dims["d"])
     n = dims["count"]
-    lists = int(min(MAX_LISTS, max(1, round(n ** 0.5))))
+    lists = int(min(MAX_LISTS, round(n ** 0.5))) if n > BLOCK else 1
     sample = kept.orderBy(F.xxhash64(F.element_at("ids", 1)), F.element_at("ids", 1)).limit(SAMPLE)
     index = spark.sparkContext.broadcast(fit(_unit(sample.select("vec").toPandas()["vec"]), lists))
 
