@@ -11,8 +11,8 @@ unequal symbols, and the join finds every pair up to ``RADIUS``:
   of theirs has at most that error.
 
 At a similarity of 0.8 a symbol differs with probability 0.2, a chunk of six
-has at most one unequal with 0.655, so a pair is missed by all 12 with under
-3e-6; the pairs found beyond ``RADIUS`` are kept as well.
+has at most one unequal with 0.655, so all ten miss a pair with under 3e-5;
+the pairs found beyond ``RADIUS`` are kept as well.
 
 Links are then found without pairing a key's rows with one another:
 
@@ -22,14 +22,17 @@ Links are then found without pairing a key's rows with one another:
    does this for its own part first and passes on one class per key, so a key
    in a third of all rows costs each task one row.
 3. Links confirmed on full sets join classes into components.
-4. Rest: in keys whose classes lie in several components, the classes outside
-   the key's largest component are compared with all of the key's classes in
-   other components.  A group of near copies is one component by then and is
-   not compared with itself.  After that every pair that shares a key was
-   compared or lies in one component, so no link is lost.
-
-Pairs are checked first on 128 one-bit symbols, which pairs at 0.8 pass at more
-than six standard deviations, then on the full sets of 64-bit shingle hashes.
+4. Hubs: in keys whose classes lie in several components, they are compared
+   with the key's most crowded class, the one whose keys hold most classes.  Of
+   a text and its many copies with edits that is the text itself.
+5. Rest: what is then outside a key's largest component is compared with all of
+   the key's classes in other components.  A group of near copies is one
+   component by then and is not compared with itself.  After that every pair
+   that shares a key was compared or lies in one component, so no link is lost.
+
+Pairs are checked first on sizes and on 4 bits of each symbol, which pairs at
+0.8 pass at more than five standard deviations, then on the full sets of 64-bit
+shingle hashes.
 
 Components come from rounds of joins (each class points to its smallest
 neighbour, pointers are then shortened); every round is checkpointed.
@@ -45,24 +48,25 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import LOWER_BYTES, mix, pinned, shuffle_partitions
+from tidewater.llm.common import LOWER_BYTES, mix, pinned, ship, shuffle_partitions
+from tidewater.operators.joins import broadcast_if_small
 
-CHUNKS, WIDTH, BITS = 12, 6, 16
+CHUNKS, WIDTH, BITS = 10, 6, 16
 RADIUS = 2 * CHUNKS - 1
-#: One-bit symbols of the first check, and how many may differ.
-SKETCH, SKETCH_RADIUS = 128, 40
+SYMBOLS = CHUNKS * WIDTH
+#: The first check sees 4 bits of each symbol, 15 to a long; this many may differ.
+SKETCH = ["s1", "s2", "s3", "s4"]
+SKETCH_RADIUS = 27
 U = np.uint64
 PIECE = 1 << 20
 
 BASE = 0xD1342543DE82EF95
 _rng = np.random.default_rng(20)
-SEEDS = _rng.integers(1, 1 << 63, CHUNKS * WIDTH, dtype=np.int64).astype(U)
-FACTORS = _rng.integers(1, 1 << 63, CHUNKS * WIDTH, dtype=np.int64).astype(U) | U(1)
-BIT_SEEDS = _rng.integers(1, 1 << 63, SKETCH, dtype=np.int64).astype(U)
-BIT_FACTORS = _rng.integers(1, 1 << 63, SKETCH, dtype=np.int64).astype(U) | U(1)
+SEEDS = _rng.integers(1, 1 << 63, SYMBOLS, dtype=np.int64).astype(U)
+FACTORS = _rng.integers(1, 1 << 63, SYMBOLS, dtype=np.int64).astype(U) | U(1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -137,109 +141,132 @@ def minima(s: np.ndarray, seeds: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return out
 
 
-def keys_of(s: np.ndarray) -> np.ndarray:
+def symbols_of(s: np.ndarray) -> np.ndarray:
+    return mix(minima(s, SEEDS, FACTORS)) & U((1 << BITS) - 1)
+
+
+def keys_of(symbols: np.ndarray) -> np.ndarray:
     """One key per chunk and symbol that may differ: a hash of the others."""
-    symbols = (mix(minima(s, SEEDS, FACTORS)) & U((1 << BITS) - 1)).reshape(CHUNKS, WIDTH)
-    place = (np.arange(CHUNKS * WIDTH, dtype=U).reshape(CHUNKS, WIDTH) + U(1)) * U(BASE)
+    symbols = symbols.reshape(CHUNKS, WIDTH)
+    place = (np.arange(SYMBOLS, dtype=U).reshape(CHUNKS, WIDTH) + U(1)) * U(BASE)
     parts = mix(symbols ^ place)
     return mix(parts.sum(axis=1, dtype=U)[:, None] - parts + place).ravel()
 
 
-def sketch_of(s: np.ndarray) -> np.ndarray:
-    bits = mix(minima(s, BIT_SEEDS, BIT_FACTORS)) & U(1)
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def sketch_of(symbols: np.ndarray) -> np.ndarray:
+    part = (symbols & U(15)).reshape(len(SKETCH), -1)
+    return (part << (U(4) * np.arange(part.shape[1], dtype=U))).sum(axis=1, dtype=U).view(np.int64)
 
 
 def _signatures(words: int):
     def run(batches):
         for b in batches:
-            n, k1, k2, keys, s1, s2 = [], [], [], [], [], []
+            out: list[tuple] = []
             for t in b.column("text"):
                 s = shingles(t.as_buffer().to_pybytes(), words)
-                n.append(len(s))
                 if not len(s):
-                    for x in (k1, k2, keys, s1, s2):
-                        x.append(None)
+                    out.append((0,) + (None,) * (3 + len(SKETCH)))
                     continue
-                k1.append(int(s.sum(dtype=U).astype(np.int64)))
-                k2.append(int(mix(s ^ U(BASE)).sum(dtype=U).astype(np.int64)))
-                keys.append(keys_of(s).tobytes())
-                sk = sketch_of(s)
-                s1.append(int(sk[0]))
-                s2.append(int(sk[1]))
-            i = pa.int64()
+                symbols = symbols_of(s)
+                out.append((len(s), int(s.sum(dtype=U).astype(np.int64)),
+                            int(mix(s ^ U(BASE)).sum(dtype=U).astype(np.int64)),
+                            keys_of(symbols).tobytes(), *sketch_of(symbols).tolist()))
+            names = ["n_shingles", "k1", "k2", "keys", *SKETCH]
+            columns = zip(*out, strict=True) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, i), pa.array(k1, i), pa.array(k2, i),
-                 pa.array(keys, pa.binary()), pa.array(s1, i), pa.array(s2, i)],
-                names=["doc_id", "n_shingles", "k1", "k2", "keys", "s1", "s2"])
+                [b.column("doc_id"), *[pa.array(c, pa.binary() if n == "keys" else pa.int64())
+                                       for n, c in zip(names, columns, strict=True)]],
+                names=["doc_id", *names])
     return run
 
 
-def _near(a1, a2, b1, b2) -> np.ndarray:
-    return np.bitwise_count(a1 ^ b1) + np.bitwise_count(a2 ^ b2).astype(np.int64) <= SKETCH_RADIUS
+def _unequal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many symbols of two sketches (rows of longs) differ."""
+    x = (a ^ b).view(U)
+    x = (x | x >> U(1) | x >> U(2) | x >> U(3)) & U(0x1111111111111111)
+    return np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
+
+
+def unequal(left: list[str], right: list[str]) -> Column:
+    """The same of columns."""
+    total = F.lit(0)
+    for a, b in zip(left, right, strict=True):
+        x = F.col(a).bitwiseXOR(F.col(b))
+        for k in (1, 2):  # x | x >> 1 | x >> 2 | x >> 3
+            x = x.bitwiseOR(F.shiftrightunsigned(x, k))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
 
 
 PAIRS = "a long, b long, near boolean"
-STARS = "key long, id long, other long, s1 long, s2 long, near boolean"
+STARS = "key long, id long, other long, s1 long, s2 long, s3 long, s4 long, near boolean"
+
+
+def _sketches(b: pa.RecordBatch) -> np.ndarray:
+    return np.stack([np.array(b.column(c)) for c in SKETCH], axis=1)
+
+
+def _exploded(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of every key of a batch."""
+    keys = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in b.column("keys").to_pylist()])
+    return keys, np.repeat(np.arange(b.num_rows), SYMBOLS)
 
 
 def _star_local(batches):
     """Of a task's classes: pairs with the smallest class of each key, and that
     class for the next step (``other`` null)."""
     for b in batches:
-        ids, s1, s2 = (np.array(b.column(c)) for c in ("id", "s1", "s2"))
-        if not len(ids):
+        if not b.num_rows:
             continue
-        keys = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in b.column("keys").to_pylist()])
-        row = np.repeat(np.arange(len(ids)), CHUNKS * WIDTH)
+        ids, sketch = np.array(b.column("id")), _sketches(b)
+        keys, row = _exploded(b)
         order = np.lexsort((ids[row], keys))
         keys, row = keys[order], row[order]
         head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         lead = np.repeat(row[head], np.diff(np.append(head, len(keys))))
         x, y = np.unique(np.stack([lead, row], axis=1)[ids[lead] != ids[row]], axis=0).T
-        yield _rows(keys[head], ids[row[head]], None, s1[row[head]], s2[row[head]], None)
+        yield _rows(keys[head], ids[row[head]], None, sketch[row[head]], None)
         yield _rows(mix(ids[x].astype(U) * U(31) + ids[y].astype(U)).view(np.int64), ids[x], ids[y],
-                    s1[x], s2[x], _near(s1[x], s2[x], s1[y], s2[y]))
+                    None, _unequal(sketch[x], sketch[y]) <= SKETCH_RADIUS)
 
 
-def _rows(key, ids, other, s1, s2, near) -> pa.RecordBatch:
+def _rows(key, ids, other, sketch, near) -> pa.RecordBatch:
     i, none = pa.int64(), pa.nulls(len(ids))
     return pa.RecordBatch.from_arrays(
         [pa.array(key, i), pa.array(ids, i), none.cast(i) if other is None else pa.array(other, i),
-         pa.array(s1, i), pa.array(s2, i), none.cast(pa.bool_()) if near is None else pa.array(near)],
-        names=["key", "id", "other", "s1", "s2", "near"])
+         *[none.cast(i) if sketch is None else pa.array(sketch[:, k], i) for k in range(len(SKETCH))],
+         none.cast(pa.bool_()) if near is None else pa.array(near)],
+        names=["key", "id", "other", *SKETCH, "near"])
 
 
 def _star_merge(batches):
     """The same over the rows that the tasks passed on; a partition holds all
     rows of its keys, sorted by (key, id)."""
-    key = lead = l1 = l2 = None
+    key = lead = of_lead = None
     for b in batches:
-        k, i, s1, s2 = (np.array(b.column(c)) for c in ("key", "id", "s1", "s2"))
         made = np.array(b.column("other").is_valid())
-        other = np.array(b.column("other").fill_null(0))
-        near = np.array(b.column("near").fill_null(False))
-        parts = [np.stack([i[made], other[made], near[made]], axis=1)]
-        k, i, s1, s2 = k[~made], i[~made], s1[~made], s2[~made]
-        if len(k):
+        pairs, single = b.filter(pa.array(made)), b.filter(pa.array(~made))
+        parts = [np.stack([np.array(pairs.column(c)) for c in ("id", "other", "near")], axis=1).astype(np.int64)]
+        if single.num_rows:
+            k, i, sketch = np.array(single.column("key")), np.array(single.column("id")), _sketches(single)
             head = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
             size = np.diff(np.append(head, len(k)))
-            x, x1, x2 = i[head].copy(), s1[head].copy(), s2[head].copy()
+            x, of_x = i[head].copy(), sketch[head].copy()
             if key is not None and k[0] == key:  # goes on from the batch before
-                x[0], x1[0], x2[0] = lead, l1, l2
-            key, lead, l1, l2 = k[-1], x[-1], x1[-1], x2[-1]
-            x, x1, x2 = (np.repeat(y, size) for y in (x, x1, x2))
-            parts.append(np.stack([x, i, _near(x1, x2, s1, s2)], axis=1)[x != i])
-        pairs = np.unique(np.concatenate(parts), axis=0)
+                x[0], of_x[0] = lead, of_lead
+            key, lead, of_lead = k[-1], x[-1], of_x[-1]
+            x, of_x = np.repeat(x, size), np.repeat(of_x, size, axis=0)
+            at = np.flatnonzero(x != i)
+            parts.append(np.stack([x[at], i[at], _unequal(of_x[at], sketch[at]) <= SKETCH_RADIUS], axis=1))
+        found = np.unique(np.concatenate(parts), axis=0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2] > 0)],
-            names=["a", "b", "near"])
+            [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2] > 0)], names=["a", "b", "near"])
 
 
 def star_pairs(classes: DataFrame, parts: int) -> DataFrame:
     """(a, b, near): classes that share a key with the key's smallest one, or
     with the smallest of their task; whether their sketches are close."""
-    passed = classes.select("id", "keys", "s1", "s2").mapInArrow(_star_local, STARS)
+    passed = classes.select("id", "keys", *SKETCH).mapInArrow(_star_local, STARS)
     return (passed.repartition(parts, "key").sortWithinPartitions("key", "id")
             .mapInArrow(_star_merge, PAIRS).groupBy("a", "b").agg(F.max("near").alias("near")))
 
@@ -260,14 +287,19 @@ def sets_of(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(id, set) of the classes that occur in pairs; ``texts``: (id, text)."""
     def run(batches):
         for b in batches:
-            if not len(b):
+            if not b.num_rows:
                 continue
             sets = [shingles(t.as_buffer().to_pybytes(), words).view(np.int64) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return texts.join(ids, "id", "left_semi").mapInArrow(run, "id long, set array<long>")
+    ids = pinned(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    # up to the limit of a broadcast the texts stay where they are
+    return texts.join(broadcast_if_small(ids), "id", "left_semi").mapInArrow(run, "id long, set array<long>")
+
+
+def links_of(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    return confirmed(pairs, pinned(sets_of(pairs, texts, words)), percent)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -301,32 +333,65 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def rest_pairs(classes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of different components that share a key."""
-    known = classes.select("id", "keys", "s1", "s2").join(comps, "id", "left").withColumn(
-        "comp", F.coalesce("comp", "id"))
-
+def crowded(classes: DataFrame) -> DataFrame:
+    """(key, id, n_shingles, sketch, crowd): every key of the classes, and how
+    many classes share a key with each."""
     def explode(batches):
         for b in batches:
-            if not len(b):
-                continue
-            keys = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in b.column("keys").to_pylist()])
-            row = pa.array(np.repeat(np.arange(len(b)), CHUNKS * WIDTH))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), *[b.column(c).take(row) for c in ("id", "comp", "s1", "s2")]],
-                names=["key", "id", "comp", "s1", "s2"])
-
-    rows = known.mapInArrow(explode, "key long, id long, comp long, s1 long, s2 long")
-    per = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    main = per.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"),
-                                  F.count("*").alias("comps")).filter("comps > 1").drop("comps")
-    mixed = pinned(rows.join(main, "key"))
-    other = mixed.filter("comp != main").select(
-        "key", F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("s1").alias("a1"), F.col("s2").alias("a2"))
-    differ = (F.bit_count(F.col("a1").bitwiseXOR(F.col("s1")))
-              + F.bit_count(F.col("a2").bitwiseXOR(F.col("s2"))))
-    return (other.join(mixed, "key").filter((F.col("ca") != F.col("comp")) & (differ <= SKETCH_RADIUS))
-            .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
+            if b.num_rows:
+                keys, row = _exploded(b)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), *[b.column(c).take(pa.array(row)) for c in ("id", "n_shingles", *SKETCH)]],
+                    names=["key", "id", "n_shingles", *SKETCH])
+
+    rows = classes.select("id", "keys", "n_shingles", *SKETCH).mapInArrow(
+        explode, "key long, id long, n_shingles long, s1 long, s2 long, s3 long, s4 long")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    rows = pinned(rows.join(shared, "key"))
+    crowd = rows.groupBy("id").agg(F.sum("n").alias("crowd"))
+    return pinned(rows.drop("n").join(crowd, "id"))
+
+
+def mixed(rows: DataFrame, comps: DataFrame, which: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of keys with several components, and per key its ``which``: "hub",
+    the most crowded class, or "main", the largest component)."""
+    known = rows.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    pick = (F.max(F.struct("crowd", -F.col("id"), "id", "comp", "n_shingles", *SKETCH)) if which == "hub"
+            else F.mode("comp", True)).alias(which)
+    per = known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("z"), pick).filter("x < z")
+    return known, per.drop("x", "z")
+
+
+def _may_link(left: list[str], right: list[str], n: str, m: str, percent: int) -> Column:
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return sizes & (unequal(left, right) <= SKETCH_RADIUS)
+
+
+OTHER = ["o1", "o2", "o3", "o4"]
+
+
+def hub_pairs(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    known, hubs = mixed(rows, comps, "hub")
+    hubs = hubs.select("key", F.col("hub.id").alias("h"), F.col("hub.comp").alias("hc"), F.col("hub.n_shingles")
+                       .alias("m"), *[F.col(f"hub.{c}").alias(o) for c, o in zip(SKETCH, OTHER, strict=True)])
+    return (known.join(hubs, "key").filter((F.col("comp") != F.col("hc"))
+                                           & _may_link(SKETCH, OTHER, "n_shingles", "m", percent))
+            .select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct())
+
+
+def rest_pairs(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a key, one of the two outside
+    the key's largest component."""
+    known, main = mixed(rows, comps, "main")
+    known = pinned(known.join(main, "key").drop("crowd"))
+    other = known.filter("comp != main").select(
+        "key", F.col("id").alias("h"), F.col("comp").alias("hc"), F.col("n_shingles").alias("m"),
+        *[F.col(c).alias(o) for c, o in zip(SKETCH, OTHER, strict=True)])
+    # of two rows outside the largest component, the larger id asks
+    return (other.join(known, "key").filter(
+        (F.col("comp") != F.col("hc")) & ((F.col("comp") == F.col("main")) | (F.col("id") < F.col("h")))
+        & _may_link(SKETCH, OTHER, "n_shingles", "m", percent))
+        .select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -336,34 +401,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Links are pairs of texts with ``100 * intersection >= percent * union`` of
     their sets of ``words``-word shingles.
     """
+    ship(docs.sparkSession)
     parts = shuffle_partitions(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     signed = pinned(rows.mapInArrow(
-        _signatures(words), "doc_id long, n_shingles long, k1 long, k2 long, keys binary, s1 long, s2 long"))
+        _signatures(words), "doc_id long, n_shingles long, k1 long, k2 long, keys binary, "
+                            "s1 long, s2 long, s3 long, s4 long"))
     full = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     which = ["k1", "k2", "n_shingles"]
     classes = pinned(full.groupBy(*which).agg(
-        F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("keys", "s1", "s2")]))
+        F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("keys", *SKETCH)]))
     member = (full.select("doc_id", *which).join(classes.select("id", *which), which)
               .select("doc_id", "id").distinct())
     # rows that repeat a doc_id with other texts are one node of the graph
     several = (member.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
                .join(member, "doc_id").select("a", F.col("id").alias("b")))
 
-    pairs = pinned(star_pairs(classes, parts))
     texts = rows.withColumnRenamed("doc_id", "id")
-    near = pairs.filter("near").select("a", "b")
-    links = confirmed(near, pinned(sets_of(near, texts, words)), percent)
-    comps = components(links.unionByName(several))
-
+    pairs = pinned(star_pairs(classes, parts))
+    tested = pairs.filter("near").select("a", "b")
+    comps = components(links_of(tested, texts, words, percent).unionByName(several))
     in_play = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    rest = pinned(rest_pairs(classes.join(in_play, "id", "left_semi"), comps)
-                  .join(near, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        more = confirmed(rest, pinned(sets_of(rest, texts, words)), percent)
-        comps = components(more.unionByName(comps.select(F.col("comp").alias("a"), F.col("id").alias("b"))))
+    shared = crowded(classes.join(in_play, "id", "left_semi"))
+    for more_pairs in (hub_pairs, rest_pairs):
+        more = pinned(more_pairs(shared, comps, percent).join(tested, ["a", "b"], "left_anti"))
+        if not more.isEmpty():
+            known = comps.select(F.col("comp").alias("a"), F.col("id").alias("b"))
+            comps = components(links_of(more, texts, words, percent).unionByName(known))
+            tested = tested.unionByName(more)
 
     found = (member.join(comps, "id", "left").groupBy("doc_id")
              .agg(F.min(F.coalesce("comp", "id")).alias("comp")))
