@@ -27,8 +27,11 @@ Links are then found without pairing a key's rows with one another:
    a text and its many copies with edits that is the text itself.
 5. Rest: what is then outside a key's largest component is compared with all of
    the key's classes in other components.  A group of near copies is one
-   component by then and is not compared with itself.  After that every pair
-   that shares a key was compared or lies in one component, so no link is lost.
+   component by then and is not compared with itself.  How many of a class's
+   shingles occur in the other component at all bounds what it can share with
+   any of its members; pairs that the bound rules out are never made.  After that
+   every pair that shares a key was compared, ruled out or lies in one
+   component, so no link is lost.
 
 Pairs are checked first on sizes and on 4 bits of each symbol, which pairs at
 0.8 pass at more than five standard deviations, then on the full sets of 64-bit
@@ -370,7 +373,8 @@ def _may_link(left: list[str], right: list[str], n: str, m: str, percent: int) -
 OTHER = ["o1", "o2", "o3", "o4"]
 
 
-def hub_pairs(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+def hub_pairs(rows: DataFrame, comps: DataFrame, percent: int, texts: DataFrame, words: int) -> DataFrame:
+    """Pairs of each key's most crowded class with those in other components."""
     known, hubs = mixed(rows, comps, "hub")
     hubs = hubs.select("key", F.col("hub.id").alias("h"), F.col("hub.comp").alias("hc"), F.col("hub.n_shingles")
                        .alias("m"), *[F.col(f"hub.{c}").alias(o) for c, o in zip(SKETCH, OTHER, strict=True)])
@@ -379,18 +383,53 @@ def hub_pairs(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
             .select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct())
 
 
-def rest_pairs(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+def shingle_rows(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(id, shingle) of the classes in ``ids``."""
+    def run(batches):
+        for b in batches:
+            for i, t in zip(b.column("id").to_pylist(), b.column("text"), strict=True):
+                s = shingles(t.as_buffer().to_pybytes(), words).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i)), pa.array(s)],
+                                                 names=["id", "shingle"])
+
+    return texts.join(broadcast_if_small(ids), "id", "left_semi").mapInArrow(run, "id long, shingle long")
+
+
+def rest_pairs(rows: DataFrame, comps: DataFrame, percent: int, texts: DataFrame, words: int) -> DataFrame:
     """Pairs of different components that share a key, one of the two outside
-    the key's largest component."""
+    the key's largest component, unless a bound rules the pair out.
+
+    A class outside can share with any member of the largest component at most
+    its shingles that occur in that component at all (``cap``), and with
+    another class outside at most those that occur in a second class outside
+    (``most``).  Both are counts over joins on shingles, a row per shingle.
+    """
     known, main = mixed(rows, comps, "main")
     known = pinned(known.join(main, "key").drop("crowd"))
-    other = known.filter("comp != main").select(
+    outside = known.filter("comp != main")
+    asks = pinned(outside.select("id", "main").distinct())
+    ids = pinned(asks.select("id").distinct())
+    own = pinned(shingle_rows(ids, texts, words).distinct())
+    seconds = own.groupBy("shingle").count().filter("count > 1").select("shingle")
+    most = own.join(seconds, "shingle").groupBy("id").agg(F.count("*").alias("most"))
+    inside = pinned(known.filter("comp = main").select("id", "main").distinct())
+    of_main = (shingle_rows(pinned(inside.select("id").distinct()), texts, words)
+               .join(inside, "id").select("main", "shingle").distinct())
+    cap = (own.join(asks, "id").join(of_main, ["main", "shingle"], "left_semi")
+           .groupBy("id", "main").agg(F.count("*").alias("cap")))
+
+    zero = F.lit(0).cast("long")
+    other = (outside.join(most, "id", "left").join(cap, ["id", "main"], "left").select(
         "key", F.col("id").alias("h"), F.col("comp").alias("hc"), F.col("n_shingles").alias("m"),
-        *[F.col(c).alias(o) for c, o in zip(SKETCH, OTHER, strict=True)])
+        F.coalesce("most", zero).alias("h_most"), F.coalesce("cap", zero).alias("h_cap"),
+        *[F.col(c).alias(o) for c, o in zip(SKETCH, OTHER, strict=True)]))
+    known = known.join(most, "id", "left").withColumn("most", F.coalesce("most", zero))
+    bound = F.when(F.col("comp") == F.col("main"), F.col("h_cap")).otherwise(F.least("most", "h_most"))
+    enough = bound * (100 + percent) >= (F.col("n_shingles") + F.col("m")) * percent
     # of two rows outside the largest component, the larger id asks
     return (other.join(known, "key").filter(
         (F.col("comp") != F.col("hc")) & ((F.col("comp") == F.col("main")) | (F.col("id") < F.col("h")))
-        & _may_link(SKETCH, OTHER, "n_shingles", "m", percent))
+        & enough & _may_link(SKETCH, OTHER, "n_shingles", "m", percent))
         .select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct())
 
 
@@ -426,7 +465,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in_play = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     shared = crowded(classes.join(in_play, "id", "left_semi"))
     for more_pairs in (hub_pairs, rest_pairs):
-        more = pinned(more_pairs(shared, comps, percent).join(tested, ["a", "b"], "left_anti"))
+        more = pinned(more_pairs(shared, comps, percent, texts, words).join(tested, ["a", "b"], "left_anti"))
         if not more.isEmpty():
             known = comps.select(F.col("comp").alias("a"), F.col("id").alias("b"))
             comps = components(links_of(more, texts, words, percent).unionByName(known))
