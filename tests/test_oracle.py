@@ -6,8 +6,11 @@ import duckdb
 import pytest
 
 from tests.conftest import SMALL
+from tidewater.plans.oracle import queries_sql
+from tidewater.plans.queries import registry
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents"]
 
 
 def canon(rows, cols):
@@ -30,9 +33,21 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
-    assert len(queries()) >= 45
+    import __spark_entry__ as entry
+    assert set(registry()) == set(queries_sql())
+    assert len(registry()) >= 50
+    assert set(registry()) <= set(entry.queries()) and set(queries_sql()) <= set(entry.oracle_sql())
+
+
+def test_entry_without_the_llm_subpackage(monkeypatch):
+    import importlib.util
+
+    import __spark_entry__ as entry
+    found = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec",
+                        lambda name, *a: None if ".llm" in name else found(name, *a))
+    assert set(entry.queries()) == set(registry())
+    assert set(entry.oracle_sql()) == set(queries_sql())
 
 
 def test_entry_smoke(spark):
@@ -45,10 +60,9 @@ def test_entry_smoke(spark):
 
 
 def test_queries_match_oracle(spark, duck):
-    from __spark_entry__ import oracle_sql, queries
-    sqls = oracle_sql()
+    sqls = queries_sql()
     bad = []
-    for name, fn in queries().items():
+    for name, fn in registry().items():
         df = fn(spark, SMALL)
         s_rows, s_cols = [tuple(r) for r in df.collect()], df.columns
         rel = duck.sql(sqls[name])
