@@ -2,7 +2,7 @@
 
 from tidewater.functions.dates import (  # noqa: F401
     date_key, day_name_padded, day_of_week0, is_weekend, iso_week,
-    month_name_padded, month_start, ntz, to_day,
+    month_name_padded, month_start, ntz,
 )
 from tidewater.functions.numeric import (  # noqa: F401
     idiv, micros_between, round_half_away_ratio, round_half_up_ratio,

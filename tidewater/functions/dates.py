@@ -15,10 +15,6 @@ def ntz(value: str | dt.datetime) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
-def to_day(c: Column) -> Column:
-    return F.to_date(c)
-
-
 def date_key(c: Column) -> Column:
     """YYYYMMDD as an int (``TO_CHAR(d, 'YYYYMMDD')::INTEGER``)."""
     d = F.to_date(c)

@@ -3,11 +3,11 @@
 The reference's scalar functions (one customer, product or group per call)
 become grouped DataFrames over all of them; the scalar form is a filter on
 the result (:func:`scalar`).  ``COUNT(DISTINCT sale_key)`` is ``count(*)``
-because a sale key is unique and every join goes to a dimension key, which
-leaves at most one distinct aggregate per query.  Facts are aggregated by
-dimension key before the join to the (small, size-checked) dimension, so
-the shuffle carries groups, not rows, and a hot customer is collapsed by
-the map-side partial aggregate.
+because a sale key is unique and every join goes to a dimension key.  Where
+a metric allows it, facts are aggregated by dimension key before the join to
+the (size-checked) dimension, so the shuffle carries groups, not rows, and a
+hot customer is collapsed by the map-side partial aggregate; the sales report
+and the point-in-time join still join fact rows.
 """
 
 from __future__ import annotations
@@ -170,8 +170,8 @@ def group_performance_json(perf: DataFrame) -> DataFrame:
 def mom_growth(fact: DataFrame) -> DataFrame:
     """Month-over-month growth % of quantity for every month from the first to
     the last month with sales.  A missing month counts as 0; growth is null
-    when the previous month is 0.  Months join on month + 1 (not ``lag``,
-    which would jump gaps)."""
+    when the previous month is 0.  The previous month is looked up by date (not
+    ``lag``, which would jump gaps)."""
     monthly = fact.groupBy(month_start(F.col("transaction_date")).alias("m")).agg(
         F.sum("quantity").alias("q"))
     # one row with all months: bounded by the calendar, one pass over the fact

@@ -16,10 +16,6 @@ from tidewater.functions import micros_between, ntz
 from tidewater.operators.joins import broadcast_if_small
 from tidewater.sources.tables import read_table
 
-CUSTOMER_COLS = ["id", "name", "country", "created_at", "updated_at"]
-PRODUCT_COLS = ["id", "name", "group_name", "created_at", "updated_at"]
-SALES_COLS = ["id", "customer_id", "product_id", "qty", "transaction_date", "created_at"]
-
 
 def _check_run(run: int) -> None:
     if run not in (1, 2):
