@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 
 from tidewater.llm.common import ship
 
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 NEVER = 1 << 30
 
 #: Fixed value: the split pattern of the tokenizer file, checked on loading.
@@ -122,7 +122,7 @@ class Automaton:
                 k = rank.get((u, v))
                 if k is not None and k < until_u and k <= until_v:
                     known = False
-        if len(self.arcs) > 4 * REMEMBERED:
+        if len(self.arcs) > 2 * REMEMBERED:
             self.arcs.clear()
         self.arcs[state, token] = known
         return known

@@ -24,12 +24,22 @@ MIX2 = np.uint64(0x94D049BB133111EB)
 
 
 _SHIPPED: set[str] = set()
+#: Rows of an Arrow batch.  Spark's default of 10,000 whole texts would be held
+#: several times over by an executor and its Python workers.
+ARROW_ROWS = 2000
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package's code to the executors, once per application, so that
-    their Python workers can import it wherever they run.  Spark serves the
-    archive from the driver; it holds code only."""
+    """Prepare a session for the Python operators.
+
+    Sends the package's code to the executors, once per application, so that
+    their Python workers can import it wherever they run (Spark serves the
+    archive from the driver; it holds code only), and bounds the rows of an
+    Arrow batch where the session has a larger bound.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, ARROW_ROWS)
     app = spark.sparkContext.applicationId
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     if app in _SHIPPED or not os.path.isdir(package):

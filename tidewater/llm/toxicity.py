@@ -31,11 +31,13 @@ columns other than the text are no input of a score.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ MIN_DOCS, MIN_ODDS, STRONG = 6, 2.0, 3.0
 MIN_WORDS = 4
 PREFIXES = range(3, 11)
 STEPS, RATE, RIDGE = 120, 0.15, 1e-3
-SEGMENT, REMEMBERED = 128, 300_000
+SEGMENT, REMEMBERED = 128, 120_000
 WORDS = re.compile(r"\w+")
 
 
@@ -59,8 +61,33 @@ def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
-def features_of(word: str) -> list[str]:
-    return ["=" + word, *[word[:n] for n in PREFIXES if len(word) >= n]]
+def feature(word: str, n: int) -> str | None:
+    """The word itself (``n`` 0) or its beginning of ``n`` letters."""
+    return "=" + word if n == 0 else word[:n] if len(word) >= n else None
+
+
+def evidence_of(docs: list[tuple[list[str], int]]) -> dict[str, float]:
+    """Log-odds of the features that speak for toxic documents; one length of
+    beginnings after another, which bounds the counters."""
+    total = [sum(y == k for _, y in docs) for k in (0, 1)]
+    out = {}
+    for n in (0, *PREFIXES):
+        def found(words, n=n) -> set:
+            return {feature(w, n) for w in set(words)} - {None}
+
+        toxic = Counter(f for words, y in docs if y for f in found(words))
+        toxic = {f: a for f, a in toxic.items() if a >= MIN_DOCS}
+        clean = Counter(f for words, y in docs if not y for f in found(words) if f in toxic)
+        carriers: dict[str, set[str]] = {f: set() for f in toxic}
+        for words, y in docs:
+            for w in set(words) if y and n else ():
+                if (f := feature(w, n)) in carriers:
+                    carriers[f].add(w)
+        for f, a in toxic.items():
+            odds = np.log((a + 0.5) / (total[1] + 1)) - np.log((clean[f] + 0.5) / (total[0] + 1))
+            if odds >= MIN_ODDS and (n == 0 or len(carriers[f]) >= MIN_WORDS):
+                out[f] = float(odds)
+    return out
 
 
 @dataclass
@@ -209,24 +236,13 @@ def fit_model(texts: list[str], labels: list[int]) -> Model:
     """A model from texts and their labels (1 toxic, 0 not)."""
     if len(set(labels)) < 2:
         return Model(constant=float(np.mean(labels)) if labels else 0.0)
-    pairs = [(words_of(texts[k]), labels[k]) for k in apart(texts)]
+    # interned: the sample's words are held once
+    pairs = [(list(map(sys.intern, words_of(texts[k]))), labels[k]) for k in apart(texts)]
     learn = [p for k, p in enumerate(pairs) if k % CURVE_OF]
     rows = pairs[::CURVE_OF]
     if len({y for _, y in rows}) < 2 or len({y for _, y in learn}) < 2:
         learn = rows = pairs
-    count = [Counter(), Counter()]
-    carriers: dict[str, set[str]] = {}
-    for words, y in learn:
-        count[y].update({f for w in set(words) for f in features_of(w)})
-        for w in set(words) if y else ():
-            for f in features_of(w):
-                carriers.setdefault(f, set()).add(w)
-    n = [sum(y == k for _, y in learn) for k in (0, 1)]
-    model = Model()
-    for f, a in count[1].items():
-        odds = np.log((a + 0.5) / (n[1] + 1)) - np.log((count[0][f] + 0.5) / (n[0] + 1))
-        if a >= MIN_DOCS and odds >= MIN_ODDS and (f[0] == "=" or len(carriers[f]) >= MIN_WORDS):
-            model.evidence[f] = float(odds)
+    model = Model(evidence=evidence_of(learn))
     field_rows = [p for y in (1, 0) for p in [p for p in learn if p[1] == y and p[0]][:FIELD_ROWS]]
     tags = [[int(y == 1 and model.word_evidence(w) >= STRONG) for w in words] for words, y in field_rows]
     fit_field(model, [w for w, _ in field_rows], tags)
@@ -263,22 +279,22 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
     """Per row: doc_id, the ``carry`` columns as they are, score, predicted, and
     the toxic tokens as starts and ends (code points)."""
     ship(docs.sparkSession)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"), *carry)
-    shape = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes if c != "_text")
+    rows = docs.select("doc_id", "text", *[c for c in carry if c != "text"])
+    names = ["doc_id", *carry]
+    types = dict(rows.dtypes)
+    shape = ", ".join(f"`{c}` {types[c]}" for c in names)
 
     def run(batches):
         seen: dict[str, float] = {}
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            lo, held, parts = 0, 0, []
-            for k, t in enumerate(texts):
-                held += len(t)
-                if held > 4 << 20 or k == len(texts) - 1:
-                    parts.append((lo, k + 1))
+            size = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist()
+            lo, held = 0, 0
+            for k, n in enumerate(size):  # a few MB of text at a time
+                held += n
+                if held > 4 << 20 or k == len(size) - 1:
+                    part = batch.slice(lo, k + 1 - lo)
+                    yield one(part.select(names), [t or "" for t in part.column("text").to_pylist()], seen)
                     lo, held = k + 1, 0
-            rest = batch.select([0, *range(2, batch.num_columns)])
-            for a, z in parts:
-                yield one(rest.slice(a, z - a), texts[a:z], seen)
 
     def one(rest, texts, seen):
         ev: list[float] = []
