@@ -52,7 +52,7 @@ SIDE = (SPAN - GRAM + 1) // 2
 #: An anchor with more classes than this in one task goes to round 2 at once.
 MANY = 64
 #: Bytes of text that a task sorts at once, and that are hashed at once.
-CHUNK, PIECE = 12 << 20, 1 << 19
+CHUNK, PIECE = 8 << 20, 1 << 19
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -507,7 +507,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     ship(spark)
     parts = shuffle_partitions(spark)
-    buckets = 4 * parts
+    sorts = 2 * parts  # a sorting task holds its part several times
+    buckets = 4 * sorts
     kind = dict(docs.dtypes)[id_col]
     text = F.coalesce(F.col(text_col), F.lit(""))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
@@ -525,7 +526,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def sorted_by(df: DataFrame, stages) -> DataFrame:
         local, reduce = stages
-        return (df.mapInArrow(local, SHAPE).repartition(parts, "bucket").mapInArrow(reduce, SHAPE)
+        return (df.mapInArrow(local, SHAPE).repartition(sorts, "bucket").mapInArrow(reduce, SHAPE)
                 .select("kind", "doc_id", "th", "payload"))
 
     one = pinned(sorted_by(long_enough.select("text", "doc_id", th), _round_one(buckets)))
