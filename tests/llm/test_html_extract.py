@@ -50,3 +50,20 @@ def test_repeated_articles_stay(spark):
     got = extract(spark.createDataFrame(rows, PAGE)).collect()
     assert len(got) == 3 and {r["text"] for r in got} == {"the same story told on two pages of one host, word for word"}
     assert extract(spark.createDataFrame([], PAGE)).count() == 0
+
+
+def test_text_repeated_in_articles_goes(spark):
+    advert = "<p>sign up today for the weekly letter with all of our best stories</p>"
+    own = [f"story {k} tells of thing {k} and of nothing else that any other page has" for k in range(8)]
+    rows = [(k, f"http://h.org/{k}", f"<article><p>{t}</p>{advert}<p>end {k}</p></article>") for k, t in enumerate(own)]
+    for limit in (1_000_000, 0):
+        got = extract(spark.createDataFrame(rows, PAGE), max_repeated=limit).collect()
+        assert {r["page_id"]: r["text"] for r in got} == {k: f"{t}\nend {k}" for k, t in enumerate(own)}
+
+
+def test_a_line_that_few_articles_of_a_host_share_stays(spark):
+    line = "<p>the quick brown fox jumps over the lazy dog near the old river bank</p>"
+    rows = [(k, f"http://h.org/{k}", f"<article><p>only page {k} has this</p>{line if k < 4 else ''}</article>")
+            for k in range(12)]
+    got = extract(spark.createDataFrame(rows, PAGE)).collect()
+    assert sum("quick brown fox" in r["text"] for r in got) == 4

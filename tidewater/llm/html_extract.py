@@ -1,23 +1,25 @@
-"""HTML extraction by suffix sorting each host's token streams.
+"""HTML extraction by the runs of words that a host's pages share.
 
 1. A page is read once into blocks of text, each with its place: *main* (in
    ``article`` or ``main``), *chrome* (in an element whose tag or class names
    it as menu, header, footer, sidebar, notice, advert, form or comments) or
-   *open* (neither).  The blocks outside main, one after another, are the
-   page's token stream.
-2. All suffixes of a host's streams, cut at ``DEPTH`` tokens, are sorted by
-   Spark on (host, tokens): suffixes that agree meet, and those of two distinct
-   pages mark a long repeated substring.  Each task keeps one smallest and one
-   largest page per suffix before the shuffle, so a host with a third of all
-   pages sends a menu once per task.
-3. A block that repeated substrings cover by half or more is boilerplate and
-   goes; unique runs stay.  Repeats cannot tell an advert shown once, nor an
-   article that two pages carry, so places decide the rest: chrome goes, main
-   stays, and open text stays on pages without main.
-
-The repeated suffixes go back to the pages as a sorted array of hashes while
-there are at most ``MAX_REPEATED`` of them (8 bytes each); beyond that they are
-joined with the pages' suffixes and reach each page by a join on its id.
+   *open* (neither).  All blocks, one after another and each behind a boundary
+   token, are the page's token stream.
+2. A run of at least ``RUN`` tokens that several pages of a host share is a long
+   repeated substring.  Such runs, extended as far as they go, cover exactly the
+   windows of ``RUN`` tokens that those pages share, so Spark groups the windows'
+   64-bit hashes (with the host) and counts the distinct pages of each; the
+   suffixes themselves are not sorted.  Counts are added up per task before the
+   shuffle, so a host with a third of all pages sends a menu once per task.
+3. A block that is wholly covered by runs of enough pages is boilerplate and
+   goes: two, or, inside main, 1 in ``INSIDE`` of the host's (three at least).  Where such blocks are half or more of a
+   page's main text, the page is a copy and its main text stays.
+4. Repeats cannot tell an advert shown once, so places decide about the rest:
+   chrome goes, main stays, and open text stays on pages without main.
+
+The repeated windows go back to the pages as sorted arrays of hashes and counts
+while there are at most ``MAX_REPEATED`` of them (16 bytes each); beyond that
+they are joined with the pages' windows and reach each page by a join on its id.
 
 Defined cases: null or empty html gives an empty text, a null url is a host of
 its own; unclosed and cut-off tags end with the page; rows that repeat a page id
@@ -39,8 +41,10 @@ from tidewater.llm.common import mix, pinned, ship
 from tidewater.llm.minhash import word_hashes
 from tidewater.llm.url_filter import host_and_path
 
-DEPTH, MAX_REPEATED = 8, 1_000_000
+RUN, MAX_REPEATED = 12, 1_000_000
+INSIDE = 2
 U = np.uint64
+BOUNDARY = np.array([0x9D39247E33776D41], dtype=U)
 MAIN, CHROME, OPEN = "main", "chrome", "open"
 
 TOKEN = re.compile(
@@ -125,28 +129,46 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
     return out
 
 
-def suffixes(host: str, blocks: list[tuple[str, str]]):
-    """(key of each suffix of the stream outside main, block of each token)."""
-    parts = [(k, word_hashes(t.encode())) for k, (p, t) in enumerate(blocks) if p != MAIN]
-    words = np.concatenate([w for _, w in parts]) if parts else np.zeros(0, U)
-    owner = np.repeat([k for k, _ in parts], [len(w) for _, w in parts]) if parts else np.zeros(0, int)
-    n = max(0, len(words) - DEPTH + 1)
-    h = np.full(n, mix(word_hashes(b"x" + host.encode().replace(b" ", b"_"))[:1])[0], dtype=U)
-    for k in range(DEPTH):
+def windows(host: str, blocks: list[tuple[str, str]]):
+    """(key of the host, key of each window of the stream, block of each token;
+    -1 for boundaries)."""
+    parts, owner = [BOUNDARY], [np.array([-1])]
+    for k, (_, t) in enumerate(blocks):
+        w = word_hashes(t.encode())
+        parts += [w, BOUNDARY]
+        owner += [np.full(len(w), k), owner[0]]
+    words = np.concatenate(parts)
+    n = max(0, len(words) - RUN + 1)
+    start = mix(word_hashes(b"x" + host.encode().replace(b" ", b"_"))[:1])
+    h = np.full(n, start[0], dtype=U)
+    for k in range(RUN):
         h = mix(h * U(0x9E3779B97F4A7C15) + words[k:k + n])
-    return h.view(np.int64), owner
-
-
-def main_text(blocks: list[tuple[str, str]], owner: np.ndarray, repeated: np.ndarray) -> tuple[str, int]:
-    """(text, tokens covered by repeats); ``repeated`` marks suffixes."""
-    covered = np.zeros(len(owner), dtype=bool)
-    for at in np.flatnonzero(repeated).tolist():
-        covered[at:at + DEPTH] = True
-    share = (np.bincount(owner[covered], minlength=len(blocks))
-             / np.maximum(1, np.bincount(owner, minlength=len(blocks)))) if len(owner) else np.zeros(len(blocks))
-    wanted = MAIN if any(p == MAIN for p, _ in blocks) else OPEN
-    kept = [t for k, (p, t) in enumerate(blocks) if share[k] < 0.5 and p == wanted]
-    return "\n".join(kept), int(covered.sum())
+    return start.view(np.int64), h.view(np.int64), np.concatenate(owner)
+
+
+def main_text(blocks: list[tuple[str, str]], owner: np.ndarray, pages: np.ndarray,
+              of_host: int) -> tuple[str, int]:
+    """(text, tokens covered by repeats); ``pages`` counts those that share each
+    window, of the host's ``of_host``."""
+    words = np.bincount(owner[owner >= 0], minlength=len(blocks))
+
+    def covered(least: int) -> np.ndarray:
+        """Tokens of each block in runs that ``least`` pages share."""
+        step = np.zeros(len(owner) + 1, dtype=np.int64)
+        at = np.flatnonzero(pages >= least)
+        step[at] += 1
+        step[at + RUN] -= 1
+        return np.bincount(owner[(np.cumsum(step)[:-1] > 0) & (owner >= 0)], minlength=len(blocks))
+
+    outside = covered(2)
+    inside = covered(max(3, -(-of_host // INSIDE)))
+    main = np.array([p == MAIN for p, _ in blocks], dtype=bool)
+    gone = np.where(main, inside, outside) >= np.maximum(1, words)
+    if 2 * words[main & gone].sum() >= words[main].sum():
+        gone &= ~main
+    wanted = MAIN if main.any() else OPEN
+    kept = [t for k, (p, t) in enumerate(blocks) if p == wanted and not gone[k]]
+    return "\n".join(kept), int(covered(2).sum())
 
 
 def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
@@ -162,9 +184,9 @@ def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
             keys, ids = [], []
             for h, t, i in zip(b.column("host").to_pylist(), b.column("html").to_pylist(),
                                b.column("page").to_pylist(), strict=True):
-                k = np.unique(suffixes(h, blocks_of(t))[0])
-                keys.append(k)
-                ids.append(np.full(len(k), i))
+                host, k, _ = windows(h, blocks_of(t))
+                keys += [host, np.unique(k)]  # the host's key counts its pages
+                ids.append(np.full(1 + len(keys[-1]), i))
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids).astype(np.int64))],
@@ -174,16 +196,19 @@ def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
     numbered = rows.select("host", "html", F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("null")))
                            .alias("page"))
     every = numbered.mapInArrow(emit, "key long, page long")
-    repeated = pinned(every.groupBy("key").agg(F.min("page").alias("a"), F.max("page").alias("z"))
-                      .filter("a < z").select("key"))
+    if not numbered.groupBy("page").count().filter("count > 1").isEmpty():
+        every = every.distinct()
+    repeated = pinned(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     count = repeated.count()
     if count <= max_repeated:
+        found = repeated.toArrow()
+        order = np.argsort(found["key"].to_numpy())
         known = pages.sparkSession.sparkContext.broadcast(
-            np.sort(np.array([r["key"] for r in repeated.toLocalIterator()], dtype=np.int64)))
-        rows = rows.withColumn("keys", F.lit(None).cast("array<long>"))
+            (found["key"].to_numpy()[order], found["n"].to_numpy()[order]))
+        rows = rows.withColumn("keys", F.lit(None).cast("array<struct<key:long,n:long>>"))
     else:
         known = None
-        per_page = every.join(repeated, "key").groupBy("page").agg(F.collect_set("key").alias("keys"))
+        per_page = every.join(repeated, "key").groupBy("page").agg(F.collect_set(F.struct("key", "n")).alias("keys"))
         page = F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("null")))
         rows = rows.withColumn("page", page).join(per_page, "page", "left").drop("page")
 
@@ -192,9 +217,10 @@ def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
             texts, covered = [], []
             for h, t, keys in zip(*(b.column(c).to_pylist() for c in ("host", "html", "keys")), strict=True):
                 blocks = blocks_of(t)
-                suffix, owner = suffixes(h, blocks)
-                marks = known.value if known else np.sort(np.array(keys or [], dtype=np.int64))
-                text, n = main_text(blocks, owner, _among(suffix, marks))
+                host, window, owner = windows(h, blocks)
+                table = known.value if known else np.array(
+                    sorted((k["key"], k["n"]) for k in keys or []), dtype=np.int64).reshape(-1, 2).T
+                text, n = main_text(blocks, owner, _pages(window, *table), int(_pages(host, *table)[0]))
                 texts.append(text)
                 covered.append(n)
             yield pa.RecordBatch.from_arrays(
@@ -206,8 +232,9 @@ def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
         run, f"page_id {kind}, url string, text string, n_chars long, n_repeated long")
 
 
-def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which keys occur in ``known``, which is sorted."""
+def _pages(keys: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The pages of each key; ``known`` is sorted and holds those above one."""
     if not len(known):
-        return np.zeros(len(keys), dtype=bool)
-    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+        return np.ones(len(keys), dtype=np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, counts[at], 1)
