@@ -67,3 +67,14 @@ def test_a_line_that_few_articles_of_a_host_share_stays(spark):
             for k in range(12)]
     got = extract(spark.createDataFrame(rows, PAGE)).collect()
     assert sum("quick brown fox" in r["text"] for r in got) == 4
+
+
+def test_phrases_met_by_chance_do_not_drop_a_block(spark):
+    phrase = "once upon a time in a land far away"  # nine words
+    rows = [(k, f"http://h.org/{k}", f"<div>{phrase} lived number{k}</div>") for k in range(2)]
+    # on a larger host, two pages are too few for a repeat
+    both = "<div>a longer sentence of fourteen words which two pages of the larger host share</div>"
+    rows += [(100 + k, f"http://big.org/{k}", both if k < 2 else f"<div>page {k}</div>") for k in range(250)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert [got[k] for k in range(2)] == [f"{phrase} lived number{k}" for k in range(2)]
+    assert got[100] == got[101] == both[5:-6]

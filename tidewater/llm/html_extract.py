@@ -12,7 +12,8 @@
    suffixes themselves are not sorted.  Counts are added up per task before the
    shuffle, so a host with a third of all pages sends a menu once per task.
 3. A block that is wholly covered by runs of enough pages is boilerplate and
-   goes: two, or, inside main, 1 in ``INSIDE`` of the host's (three at least).  Where such blocks are half or more of a
+   goes: 1 in ``OUTSIDE`` of the host's pages (two at least), or, inside main, 1
+   in ``INSIDE`` (three at least).  Where such blocks are half or more of a
    page's main text, the page is a copy and its main text stays.
 4. Repeats cannot tell an advert shown once, so places decide about the rest:
    chrome goes, main stays, and open text stays on pages without main.
@@ -42,7 +43,7 @@ from tidewater.llm.minhash import word_hashes
 from tidewater.llm.url_filter import host_and_path
 
 RUN, MAX_REPEATED = 12, 1_000_000
-INSIDE = 2
+OUTSIDE, INSIDE = 100, 2
 U = np.uint64
 BOUNDARY = np.array([0x9D39247E33776D41], dtype=U)
 MAIN, CHROME, OPEN = "main", "chrome", "open"
@@ -160,7 +161,7 @@ def main_text(blocks: list[tuple[str, str]], owner: np.ndarray, pages: np.ndarra
         step[at + RUN] -= 1
         return np.bincount(owner[(np.cumsum(step)[:-1] > 0) & (owner >= 0)], minlength=len(blocks))
 
-    outside = covered(2)
+    outside = covered(max(2, -(-of_host // OUTSIDE)))
     inside = covered(max(3, -(-of_host // INSIDE)))
     main = np.array([p == MAIN for p, _ in blocks], dtype=bool)
     gone = np.where(main, inside, outside) >= np.maximum(1, words)
