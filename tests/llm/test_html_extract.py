@@ -78,3 +78,24 @@ def test_phrases_met_by_chance_do_not_drop_a_block(spark):
     got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, PAGE)).collect()}
     assert [got[k] for k in range(2)] == [f"{phrase} lived number{k}" for k in range(2)]
     assert got[100] == got[101] == both[5:-6]
+
+
+def test_names_of_wrappers_keep_the_article():
+    story = "<article><p>story</p></article>"
+    for page in (f"<div class='has-sidebar'>{story}</div>", "<main class='no-sidebar'><p>story</main>",
+                 f"<div id='page-header-and-content'>{story}</div>", "<article class='post widget'><p>story</article>",
+                 f"<div class=widget>{story}</div>", f"<form id=aspnet>{story}</form>",
+                 f"<main><div class='with-sidebar'>{story}</div></main>", f"<div class='comments'>{story}</div>",
+                 "<main><div class=widget><article><p>story</article></div></main>",
+                 "<article><div class='wide no-ad'>story</div></article>"):
+        assert main_of(page) == "story", page
+    assert main_of("<article><div class='entry-header'><h1>head</h1></div><p>story</article>") == "head\nstory"
+
+
+def test_names_of_parts_are_chrome():
+    for name in ("site-footer", "cookie-banner", "main-nav", "ad-box", "sidebar-left", "comments-area", "x widget"):
+        assert main_of(f"<article><p>story</p><div class='{name}'>no</div></article>") == "story", name
+        assert blocks_of(f"<div id='{name.replace('x ', '')}'>no</div>") == [("chrome", "no")], name
+    comment = "<article class='comment'><p>no</p></article>"
+    assert main_of(f"<main><article><p>story</article><div id=comments>{comment}</div></main>") == "story"
+    assert main_of(f"<article><p>story</p>{comment}</article>") == "story"

@@ -47,6 +47,10 @@ OUTSIDE, INSIDE = 100, 2
 U = np.uint64
 BOUNDARY = np.array([0x9D39247E33776D41], dtype=U)
 MAIN, CHROME, OPEN = "main", "chrome", "open"
+#: What a chrome name makes of an element until it is known to hold an article;
+#: the last two are for names of comments.
+NAMED, ASIDE, REPLY = "named", "aside", "reply"
+HEADERS = {"header", "masthead"}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
@@ -64,20 +68,35 @@ NESTED = {"address", "article", "aside", "blockquote", "details", "dialog", "div
           "figure", "footer", "form", "header", "main", "menu", "nav", "ol", "section", "table", "ul",
           *(HIDDEN - RAW)}
 CHROME_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog"}
-#: Words of a class, id or role that name a part other than the article.
+#: Words that name a part other than the article, as a whole class, id or role
+#: or as the last part of one (``site-footer``), before any ``SHAPES``.
 CHROME_WORDS = {
     "ad", "ads", "advert", "advertisement", "adverts", "alert", "banner", "breadcrumb", "breadcrumbs",
     "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "footer", "form",
     "header", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter",
     "notice", "notification", "popup", "promo", "promotion", "related", "replies", "respond", "share",
     "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+#: Of these, those whose elements hold articles that are not the page's own.
+REPLIES = {"comment", "comments", "disqus", "related", "replies", "respond"}
+#: Parts that say how a part looks, and those that only say whether there is one.
+SHAPES = {"area", "block", "bottom", "box", "container", "inner", "left", "list", "right", "section",
+          "top", "wrap", "wrapper"}
+STATES = {"and", "has", "hide", "is", "no", "non", "not", "show", "with", "without"}
 NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PARTS = re.compile(r"[a-z]+")
 
 
-def _names_chrome(attributes: str) -> bool:
-    return any(w in CHROME_WORDS for m in NAMES.finditer(attributes)
-               for w in PARTS.findall((m[1] or m[2] or m[3] or "").lower()))
+def _chrome_words(attributes: str) -> set[str]:
+    """The chrome words that the class, id and role name the element by."""
+    found = set()
+    for m in NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = PARTS.findall(name)
+            while len(parts) > 1 and parts[-1] in SHAPES:
+                parts.pop()
+            if parts and parts[-1] in CHROME_WORDS and not STATES & set(parts):
+                found.add(parts[-1])
+    return found
 
 
 def blocks_of(page: str) -> list[tuple[str, str]]:
@@ -95,7 +114,27 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
 
     def where() -> str:
         kinds = [k for _, k in stack]
-        return CHROME if CHROME in kinds else MAIN if MAIN in kinds else OPEN
+        if CHROME in kinds:
+            return CHROME
+        # a name outside an article or main does not make it chrome
+        own = max((k for k, x in enumerate(kinds) if x in (MAIN, REPLY)), default=-1)
+        if NAMED in kinds[own + 1:] or ASIDE in kinds[own + 1:]:
+            return CHROME
+        return OPEN if own < 0 else REPLY if kinds[own] == REPLY or ASIDE in kinds[:own] else MAIN
+
+    def kind_of(tag: str, attributes: str) -> str:
+        if tag in HIDDEN:
+            return "hidden"
+        if tag in CHROME_TAGS - {"form"}:
+            return CHROME
+        named = _chrome_words(attributes)
+        if tag in ("article", "main"):
+            return REPLY if named & REPLIES else MAIN
+        if where() == MAIN:
+            named -= HEADERS
+        elif tag == "header":
+            return CHROME
+        return ASIDE if named & REPLIES else NAMED if named or tag == "form" else OPEN
 
     while m := TOKEN.match(page, at):
         at = m.end()
@@ -115,10 +154,7 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
             words.append(" ")
         if tag in NESTED and not m[3].endswith("/"):
             if opens:
-                kind = ("hidden" if tag in HIDDEN else CHROME if tag in CHROME_TAGS
-                        or (tag == "header" and where() != MAIN) or _names_chrome(m[3])
-                        else MAIN if tag in ("article", "main") else OPEN)
-                stack.append((tag, kind))
+                stack.append((tag, kind_of(tag, m[3])))
             elif tag in [t for t, _ in stack]:
                 while stack.pop()[0] != tag:
                     pass
@@ -127,7 +163,9 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
         elif tag == "body":  # ends an unclosed head
             stack, hidden, place = [x for x in stack if x[1] != "hidden"], 0, where()
     flush()
-    return out
+    # articles among comments are the page's own only where it has no other
+    reply = CHROME if any(p == MAIN for p, _ in out) else MAIN
+    return [(reply if p == REPLY else p, t) for p, t in out]
 
 
 def windows(host: str, blocks: list[tuple[str, str]]):
