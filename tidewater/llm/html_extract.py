@@ -45,7 +45,8 @@ from tidewater.llm.url_filter import host_and_path
 RUN, MAX_REPEATED = 12, 1_000_000
 OUTSIDE, INSIDE = 100, 2
 U = np.uint64
-BOUNDARY = np.array([0x9D39247E33776D41], dtype=U)
+FACTORS = np.random.default_rng(41).integers(1, 1 << 63, 4, dtype=np.int64).astype(U) | U(1)
+BOUNDARY = U(0x9D39247E33776D41)
 MAIN, CHROME, OPEN = "main", "chrome", "open"
 #: What a chrome name makes of an element until it is known to hold an article;
 #: the last two are for names of comments.
@@ -171,18 +172,23 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
 def windows(host: str, blocks: list[tuple[str, str]]):
     """(key of the host, key of each window of the stream, block of each token;
     -1 for boundaries)."""
-    parts, owner = [BOUNDARY], [np.array([-1])]
-    for k, (_, t) in enumerate(blocks):
-        w = word_hashes(t.encode())
-        parts += [w, BOUNDARY]
-        owner += [np.full(len(w), k), owner[0]]
-    words = np.concatenate(parts)
-    n = max(0, len(words) - RUN + 1)
+    # the words of a block are apart by one space; all are hashed at once
+    sizes = np.array([t.count(" ") + 1 for _, t in blocks], dtype=np.int64)
+    owner = np.full(int(sizes.sum()) + len(blocks) + 1, -1)
+    inside = np.ones(len(owner), dtype=bool)
+    inside[np.cumsum(np.append(0, sizes + 1))] = False
+    owner[inside] = np.repeat(np.arange(len(blocks)), sizes)
+    words = np.full(len(owner), BOUNDARY, dtype=U)
+    words[inside] = word_hashes(" ".join(t for _, t in blocks).encode())
     start = mix(word_hashes(b"x" + host.encode().replace(b" ", b"_"))[:1])
-    h = np.full(n, start[0], dtype=U)
-    for k in range(RUN):
-        h = mix(h * U(0x9E3779B97F4A7C15) + words[k:k + n])
-    return start.view(np.int64), h.view(np.int64), np.concatenate(owner)
+    # a polynomial over RUN words, by windows of 2, 4 and 8 words
+    if len(words) < RUN:
+        return start.view(np.int64), np.zeros(0, np.int64), owner
+    two = words[:-1] * FACTORS[0] + words[1:]
+    four = two[:-2] * FACTORS[1] + two[2:]
+    eight = four[:-4] * FACTORS[2] + four[4:]
+    h = mix(mix(eight[:-4] * FACTORS[3] + four[8:]) + start)
+    return start.view(np.int64), h.view(np.int64), owner
 
 
 def main_text(blocks: list[tuple[str, str]], owner: np.ndarray, pages: np.ndarray,
@@ -243,7 +249,7 @@ def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
         found = repeated.toArrow()
         order = np.argsort(found["key"].to_numpy())
         known = pages.sparkSession.sparkContext.broadcast(
-            (found["key"].to_numpy()[order], found["n"].to_numpy()[order]))
+            _table(found["key"].to_numpy()[order], found["n"].to_numpy()[order]))
         rows = rows.withColumn("keys", F.lit(None).cast("array<struct<key:long,n:long>>"))
     else:
         known = None
@@ -257,8 +263,8 @@ def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
             for h, t, keys in zip(*(b.column(c).to_pylist() for c in ("host", "html", "keys")), strict=True):
                 blocks = blocks_of(t)
                 host, window, owner = windows(h, blocks)
-                table = known.value if known else np.array(
-                    sorted((k["key"], k["n"]) for k in keys or []), dtype=np.int64).reshape(-1, 2).T
+                table = known.value if known else _table(*np.array(
+                    sorted((k["key"], k["n"]) for k in keys or []), dtype=np.int64).reshape(-1, 2).T)
                 text, n = main_text(blocks, owner, _pages(window, *table), int(_pages(host, *table)[0]))
                 texts.append(text)
                 covered.append(n)
@@ -271,9 +277,19 @@ def extract(pages: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
         run, f"page_id {kind}, url string, text string, n_chars long, n_repeated long")
 
 
-def _pages(keys: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The pages of each key; ``known`` is sorted and holds those above one."""
-    if not len(known):
-        return np.ones(len(keys), dtype=np.int64)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, counts[at], 1)
+def _table(known: np.ndarray, counts: np.ndarray) -> tuple:
+    """The sorted keys above one page, their pages, and which top bits occur."""
+    shift = U(64 - len(known).bit_length() - 3)
+    present = np.zeros(1 << int(U(64) - shift), dtype=bool)
+    present[known.view(U) >> shift] = True
+    return known, counts, present, shift
+
+
+def _pages(keys: np.ndarray, known: np.ndarray, counts: np.ndarray, present: np.ndarray, shift) -> np.ndarray:
+    """The pages of each key."""
+    pages = np.ones(len(keys), dtype=np.int64)
+    maybe = np.flatnonzero(present[keys.view(U) >> shift])
+    if len(maybe):
+        at = np.minimum(np.searchsorted(known, keys[maybe]), len(known) - 1)
+        pages[maybe] = np.where(known[at] == keys[maybe], counts[at], 1)
+    return pages
