@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import SMALL, with_clashes
+from tidewater.llm import ann
 from tidewater.llm.ann import Centroids, fit, search
 from tidewater.llm.queries import op5_ann
 
@@ -64,3 +65,36 @@ def test_recall_on_the_given_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
     want, have = brute(rows), got(op5_ann(spark, SMALL))
     assert sum(len(set(want[q]) & set(have[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def recall(want, have):
+    return sum(len(set(want[q]) & set(have.get(q, []))) for q in want) / sum(map(len, want.values()))
+
+
+def test_given_tables_are_searched_through_many_lists(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(ann, "fit", lambda sample, lists: made.append(lists) or fit(sample, lists))
+    for sf, lists in (("sf0.001", 22), ("sf0.1", 45)):
+        path = SMALL.replace("sf0.001", sf)
+        rows = [tuple(r) for r in spark.read.parquet(f"{path}/embeddings.parquet").select("vec_id", "embedding").collect()]
+        want, have = brute(rows), got(op5_ann(spark, path))
+        assert made.pop() == lists
+        assert recall(want, have) >= 0.9 and {q: len(x) for q, x in want.items()} == {q: len(x) for q, x in have.items()}
+
+
+def test_recall_over_tens_of_thousands_of_rows(spark):
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(300, 24))[rng.integers(0, 300, 20_000)] + 0.5 * rng.normal(size=(20_000, 24))).astype("float32")
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    have = got(search(spark.createDataFrame(rows, VECS).repartition(8), F.col("vec_id") % 500 == 0))
+    assert recall(brute(rows, every=500), have) >= 0.9
+
+
+def test_probes_widen_until_there_are_enough_rows():
+    x = np.random.default_rng(3).normal(size=(400, 8))
+    c = fit(x / np.linalg.norm(x, axis=1, keepdims=True), 40)
+    order = np.argsort(-(c.centers @ c.centers[0])).tolist()
+    rows = np.zeros(40, dtype=np.int64)
+    rows[order[-2:]] = 24
+    assert order[-2] in c.probes_of(c.centers[0], rows, 24) and order[-1] not in c.probes_of(c.centers[0], rows, 24)
+    assert len(c.probes_of(c.centers[0], rows + 24, 24)) >= ann.LEAST

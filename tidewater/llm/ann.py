@@ -6,17 +6,19 @@
    dropped by a per-task limit before the shuffle.
 2. Centroids are fitted on at most ``SAMPLE`` classes (the smallest hashes of
    their ids): k-means on unit vectors, with a penalty on list sizes.
-   There are about ``sqrt(classes)`` of them, at most ``MAX_LISTS`` (and one
-   while all fit in a block), so sample and centroids have a fixed bound and
-   are what the driver holds.
+   There are about ``sqrt(classes)`` of them at every size, at most
+   ``MAX_LISTS``, so sample and centroids have a fixed bound and are what the
+   driver holds.
 3. A graph over the centroids (each with its nearest ones) is searched best
    first, in memory, by the tasks that place vectors and queries.
 4. A vector goes to its nearest list and, near a boundary, to up to
    ``COPIES - 1`` others within ``BOUNDARY`` times that distance, unless an
    already chosen centroid is closer to the new one than the vector is.
 5. A query takes the lists within ``PRUNE`` times its nearest centroid's
-   distance, at least ``LEAST`` and at most ``PROBES``.  Lists are cut into blocks of about ``BLOCK``
-   vectors, and queries into groups, so no task gets a whole hot list.
+   distance, at least ``LEAST`` and at most ``PROBES``, and further ones only
+   until their rows are sure to hold ``keep`` candidates besides itself.  Lists
+   are cut into blocks of about ``BLOCK`` vectors, and queries into groups, so
+   no task gets a whole hot list.
 6. Each (block, query group) task scores its pairs in double precision and
    keeps the best per query; the few best per task meet in one aggregate.
 
@@ -97,10 +99,21 @@ class Centroids:
                 out.append(c)
         return out
 
-    def probes_of(self, v: np.ndarray) -> list[int]:
-        """The lists that a query for ``v`` reads."""
+    def probes_of(self, v: np.ndarray, rows: np.ndarray, enough: int) -> list[int]:
+        """The lists that a query for ``v`` reads: beyond the pruned ones, as
+        many as it takes for ``enough`` of the lists' ``rows``."""
         found = self.search(v, min(BEAM, max(PROBES, 1)))[:PROBES]
-        return [c for k, (d, c) in enumerate(found) if k < LEAST or d <= PRUNE * max(found[0][0], 1e-12)]
+        out = [c for k, (d, c) in enumerate(found) if k < LEAST or d <= PRUNE * max(found[0][0], 1e-12)]
+        seen = rows[out].sum()
+        if seen < enough:
+            taken = set(out)
+            for c in np.argsort(-(self.centers @ v), kind="stable").tolist():
+                if seen >= enough:
+                    break
+                if c not in taken and rows[c]:
+                    out.append(c)
+                    seen += rows[c]
+        return out
 
 
 def fit(sample: np.ndarray, lists: int) -> Centroids:
@@ -167,7 +180,7 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id",
         return spark.createDataFrame([], empty)
     kept = kept.filter(F.size("vec") == dims["d"])
     n = dims["count"]
-    lists = int(min(MAX_LISTS, round(n ** 0.5))) if n > BLOCK else 1
+    lists = int(min(MAX_LISTS, round(n ** 0.5)))
     sample = kept.orderBy(F.xxhash64(F.element_at("ids", 1)), F.element_at("ids", 1)).limit(SAMPLE)
     index = spark.sparkContext.broadcast(fit(_unit(sample.select("vec").toPandas()["vec"]), lists))
 
@@ -179,14 +192,18 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id",
     def probe(batches):
         for b in batches:
             u = _unit(b["vec"]) if len(b) else []
-            yield b.assign(list=[index.value.probes_of(x) for x in u])
+            yield b.assign(list=[index.value.probes_of(x, held, COPIES * (keep + 1)) for x in u])
 
     shape = "vec array<double>, ids array<long>, list array<int>"
     postings = pinned(kept.mapInPandas(place, shape).withColumn("list", F.explode("list")))
     # at most MAX_LISTS rows
-    sizes = postings.groupBy("list").count().withColumn(
-        "blocks", F.ceil(F.col("count") / F.lit(BLOCK)).cast("int")).select("list", "blocks")
-    sizes = F.broadcast(sizes)
+    sizes = pinned(postings.groupBy("list").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"),
+        F.sum(F.size("ids")).alias("rows")))
+    held = np.zeros(lists, dtype=np.int64)  # ids of each list; an id is in at most COPIES
+    for r in sizes.select("list", "rows").collect():
+        held[r["list"]] = r["rows"]
+    sizes = F.broadcast(sizes.select("list", "blocks"))
     blocks = postings.join(sizes, "list").select(
         "list", F.pmod(F.xxhash64("ids"), "blocks").cast("int").alias("block"), "vec", "ids")
 
