@@ -27,9 +27,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
                     keep=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +94,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=4, percent=80)
 
 
+def op11_token_count(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """``path``: the tokenizer file, at the same place on every machine."""
+    from tidewater.llm.token_count import token_counts
+    return token_counts(read(spark, sf_dir, "documents", "doc_id", "text"),
+                        path or tokenizer_path("byte_bpe_50k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
