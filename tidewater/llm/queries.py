@@ -101,6 +101,19 @@ def op11_token_count(spark: SparkSession, sf_dir: str, path: str | None = None)
                         path or tokenizer_path("byte_bpe_50k.json"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.whitening import whiten
+    return whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str, path_a: str | None = None,
+                   path_b: str | None = None) -> DataFrame:
+    """The paths: the tokenizer files, at the same place on every machine."""
+    from tidewater.llm.alignment import align
+    return align(read(spark, sf_dir, "documents", "doc_id", "text"),
+                 path_a or tokenizer_path("byte_bpe_50k.json"), path_b or tokenizer_path("piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
