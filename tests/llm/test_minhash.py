@@ -5,8 +5,8 @@ import random
 import numpy as np
 
 from tests.llm.helpers import components_brute, documents, with_clashes, words
-from tidewater.llm.minhash import (CHUNKS, WIDTH, components, keys_of, near_duplicates, shingles, symbols_of,
-                                   word_hashes)
+from tidewater.llm.minhash import (CHUNKS, WIDTH, components, keys_of, near_duplicates, offers, shingles,
+                                   symbols_of, word_hashes)
 
 
 def check(spark, rows, n, parts=4):
@@ -92,3 +92,46 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(64)] + [(100, 101)], "a long, b long")
     got = {r["id"]: r["comp"] for r in components(links).collect()}
     assert got == {**{k: 0 for k in range(65)}, 100: 100, 101: 100}
+
+
+def test_front_places_find_every_pair_at_the_threshold():
+    """Random sets around a hub: a pair at 0.8, one of it not linked with the
+    hub, meets on a shingle that both offer to the other's step."""
+    rng = random.Random(8)
+    met = 0
+    for _ in range(20_000):
+        hub = set(range(rng.randint(5, 300)))
+        lost = rng.sample(sorted(hub), rng.randint(0, len(hub) // 4))
+        new = range(1000, 1000 + rng.randint(0, len(hub) // 4))
+        x, y = [(hub - set(lost) | set(new)) ^ set(rng.sample(sorted(hub), rng.randint(0, len(hub) // 9)))
+                ^ set(rng.sample(range(900, 1100), rng.randint(0, 8))) for _ in range(2)]
+        linked = [100 * len(a & b) >= 80 * len(a | b) for a, b in ((x, y), (x, hub), (y, hub))]
+        if not linked[0] or linked[1] and linked[2] or hub in (x, y):
+            continue
+        met += 1
+        rank = {t: rng.random() for t in x ^ hub | y ^ hub}
+        front = []
+        for a, b in ((x, y), (y, x)):
+            step = offers(len(b), len(b ^ hub), len(hub), 80)[0]
+            places = dict(offers(len(a), len(a ^ hub), len(hub), 80)[1])[step]
+            front.append(set(sorted(a ^ hub, key=rank.get)[:places]))
+        assert front[0] & front[1]
+    assert met > 300
+
+
+def test_own_edits_below_the_threshold_of_the_source_make_few_pairs(spark, monkeypatch):
+    """A quarter of a group lies below 0.8 of its source, by edits of its own:
+    the rest round makes no pair of these with one another or the group."""
+    from tidewater.llm import minhash
+    base = " ".join(words(160, 3))
+    rows = [(1000, base)] + [(k, edited(base, k, 50 if k % 4 else 14)) for k in range(400)]
+    made, rest = [], minhash.rest_pairs
+
+    def counted(*a):
+        out = rest(*a)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "rest_pairs", counted)
+    check(spark, rows, 4, parts=6)
+    assert made and max(made) < 400

@@ -25,13 +25,15 @@ Links are then found without pairing a key's rows with one another:
 4. Hubs: in keys whose classes lie in several components, they are compared
    with the key's most crowded class, the one whose keys hold most classes.  Of
    a text and its many copies with edits that is the text itself.
-5. Rest: what is then outside a key's largest component is compared with all of
-   the key's classes in other components.  A group of near copies is one
-   component by then and is not compared with itself.  How many of a class's
-   shingles occur in the other component at all bounds what it can share with
-   any of its members; pairs that the bound rules out are never made.  After that
-   every pair that shares a key was compared, ruled out or lies in one
-   component, so no link is lost.
+5. Rest: a class outside its hub's component differs from the hub by more than
+   a link allows.  It can only link with another class of the key if the two
+   differ from the hub in the same shingles: how many they must share follows
+   from the sizes of both differences.  An exact prefix filter finds these:
+   shingles of differences are ordered by how few of the hub's classes have
+   them, and each class offers only as many of the first ones as leave enough
+   behind, once per step of the partner's size.  Copies with edits of their own
+   spend these places on shingles that nobody else has, and meet nobody.  No
+   link between classes that share a key is lost.
 
 Pairs are checked first on sizes and on 4 bits of each symbol, which pairs at
 0.8 pass at more than five standard deviations, then on the full sets of 64-bit
@@ -355,14 +357,15 @@ def crowded(classes: DataFrame) -> DataFrame:
     return pinned(rows.drop("n").join(crowd, "id"))
 
 
-def mixed(rows: DataFrame, comps: DataFrame, which: str) -> tuple[DataFrame, DataFrame]:
-    """(rows of keys with several components, and per key its ``which``: "hub",
-    the most crowded class, or "main", the largest component)."""
-    known = rows.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    pick = (F.max(F.struct("crowd", -F.col("id"), "id", "comp", "n_shingles", *SKETCH)) if which == "hub"
-            else F.mode("comp", True)).alias(which)
-    per = known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("z"), pick).filter("x < z")
-    return known, per.drop("x", "z")
+def in_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """The rows with the component of each class."""
+    return rows.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def mixed(known: DataFrame, pick: Column) -> DataFrame:
+    """(key, pick) of the keys that have classes in several components."""
+    return (known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("z"), pick)
+            .filter("x < z").drop("x", "z"))
 
 
 def _may_link(left: list[str], right: list[str], n: str, m: str, percent: int) -> Column:
@@ -375,7 +378,8 @@ OTHER = ["o1", "o2", "o3", "o4"]
 
 def hub_pairs(rows: DataFrame, comps: DataFrame, percent: int, texts: DataFrame, words: int) -> DataFrame:
     """Pairs of each key's most crowded class with those in other components."""
-    known, hubs = mixed(rows, comps, "hub")
+    known = in_components(rows, comps)
+    hubs = mixed(known, F.max(F.struct("crowd", -F.col("id"), "id", "comp", "n_shingles", *SKETCH)).alias("hub"))
     hubs = hubs.select("key", F.col("hub.id").alias("h"), F.col("hub.comp").alias("hc"), F.col("hub.n_shingles")
                        .alias("m"), *[F.col(f"hub.{c}").alias(o) for c, o in zip(SKETCH, OTHER, strict=True)])
     return (known.join(hubs, "key").filter((F.col("comp") != F.col("hc"))
@@ -383,53 +387,88 @@ def hub_pairs(rows: DataFrame, comps: DataFrame, percent: int, texts: DataFrame,
             .select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct())
 
 
-def shingle_rows(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(id, shingle) of the classes in ``ids``."""
+def differences(asks: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(id, hub, of_hub, size, diff): the shingles that only one of a class and
+    its hub ``h`` has.  ``hub`` names the hub's set."""
+    sets = pinned(sets_of(asks.select(F.col("id").alias("a"), F.col("h").alias("b")), texts, words))
+    hubs = sets.select(F.col("id").alias("h"), F.col("set").alias("of"), F.xxhash64("id", "set").alias("hub"))
+    both = asks.join(sets, "id").join(hubs, "h")
+    return both.select("id", "hub", F.size("of").alias("of_hub"), F.size("set").alias("size"),
+                       F.concat(F.array_except("set", "of"), F.array_except("of", "set")).alias("diff"))
+
+
+#: A step of the partner's size is one shingle in this many of the hub's.
+FINE = 128
+
+
+def offers(size: int, diff: int, of_hub: int, percent: int) -> tuple[int, list[tuple[int, int]]]:
+    """Own step, and (step of the partner, places at the front that leave
+    enough) of a set that differs from the hub in ``diff`` shingles.
+
+    With slack s = more * diff - less * size, two sets at the threshold share
+    (s + s') / (2 * more) of their differences at least.
+    """
+    more, less = 100 + percent, 100 - percent
+    step = 2 * more * max(1, of_hub // FINE)
+    slack, apart = more * diff - less * size, less * size // percent + 1
+    low = more * (diff - apart) - less * size * 100 // percent - 1
+    high = more * (diff + apart) - less * size * percent // 100
+    out = []
+    for k in range(low // step, high // step + 1):
+        share = max(1, -(-(slack + max(k * step, low)) // (2 * more)))
+        if share <= diff:
+            out.append((k, diff - share + 1))
+    return slack // step, out
+
+
+def _offered(percent: int):
     def run(batches):
+        names = ["hub", "shingle", "own", "partner", "id", "size", "diff", "place"]
         for b in batches:
-            for i, t in zip(b.column("id").to_pylist(), b.column("text"), strict=True):
-                s = shingles(t.as_buffer().to_pybytes(), words).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i)), pa.array(s)],
-                                                 names=["id", "shingle"])
+            for i, hub, of_hub, size, diff, order in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                own, steps = offers(size, diff, of_hub, percent)
+                alone = diff - len(order)  # shingles that nobody else has come first
+                rows = [(hub, x, own, k, i, size, diff, alone + at) for k, places in steps
+                        for at, x in enumerate(order[:max(0, places - alone)])]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+    return run
 
-    return texts.join(broadcast_if_small(ids), "id", "left_semi").mapInArrow(run, "id long, shingle long")
 
+def front_rows(diffs: DataFrame, percent: int) -> DataFrame:
+    """(hub, shingle, own, partner, id, size, diff, place): what each class
+    offers to classes of each step."""
+    rows = diffs.select("hub", "id", "size", "of_hub", F.size("diff").alias("diff"), F.explode("diff").alias("shingle"))
+    shared = rows.groupBy("hub", "shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    sets = (rows.join(shared, ["hub", "shingle"]).groupBy("id", "hub", "of_hub", "size", "diff")
+            .agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).getField("shingle").alias("ranked")))
+    return sets.mapInArrow(_offered(percent), "hub long, shingle long, own long, partner long, id long, "
+                                              "size long, diff long, place long")
 
-def rest_pairs(rows: DataFrame, comps: DataFrame, percent: int, texts: DataFrame, words: int) -> DataFrame:
-    """Pairs of different components that share a key, one of the two outside
-    the key's largest component, unless a bound rules the pair out.
 
-    A class outside can share with any member of the largest component at most
-    its shingles that occur in that component at all (``cap``), and with
-    another class outside at most those that occur in a second class outside
-    (``most``).  Both are counts over joins on shingles, a row per shingle.
-    """
-    known, main = mixed(rows, comps, "main")
-    known = pinned(known.join(main, "key").drop("crowd"))
-    outside = known.filter("comp != main")
-    asks = pinned(outside.select("id", "main").distinct())
-    ids = pinned(asks.select("id").distinct())
-    own = pinned(shingle_rows(ids, texts, words).distinct())
-    seconds = own.groupBy("shingle").count().filter("count > 1").select("shingle")
-    most = own.join(seconds, "shingle").groupBy("id").agg(F.count("*").alias("most"))
-    inside = pinned(known.filter("comp = main").select("id", "main").distinct())
-    of_main = (shingle_rows(pinned(inside.select("id").distinct()), texts, words)
-               .join(inside, "id").select("main", "shingle").distinct())
-    cap = (own.join(asks, "id").join(of_main, ["main", "shingle"], "left_semi")
-           .groupBy("id", "main").agg(F.count("*").alias("cap")))
-
-    zero = F.lit(0).cast("long")
-    other = (outside.join(most, "id", "left").join(cap, ["id", "main"], "left").select(
-        "key", F.col("id").alias("h"), F.col("comp").alias("hc"), F.col("n_shingles").alias("m"),
-        F.coalesce("most", zero).alias("h_most"), F.coalesce("cap", zero).alias("h_cap"),
-        *[F.col(c).alias(o) for c, o in zip(SKETCH, OTHER, strict=True)]))
-    known = known.join(most, "id", "left").withColumn("most", F.coalesce("most", zero))
-    bound = F.when(F.col("comp") == F.col("main"), F.col("h_cap")).otherwise(F.least("most", "h_most"))
-    enough = bound * (100 + percent) >= (F.col("n_shingles") + F.col("m")) * percent
-    # of two rows outside the largest component, the larger id asks
-    return (other.join(known, "key").filter(
-        (F.col("comp") != F.col("hc")) & ((F.col("comp") == F.col("main")) | (F.col("id") < F.col("h")))
-        & enough & _may_link(SKETCH, OTHER, "n_shingles", "m", percent))
+def rest_pairs(rows: DataFrame, comps: DataFrame, percent: int, texts: DataFrame, words: int) -> DataFrame:
+    """Pairs of classes that share a key and may link, in different components,
+    one of them outside the component of the key's hub."""
+    known = in_components(rows, comps)
+    hubs = mixed(known, F.max(F.struct("crowd", -F.col("id"), "id", "comp")).alias("hub"))
+    asks = pinned(known.join(hubs, "key").filter("id != hub.id").select(
+        "id", F.col("hub.id").alias("h"), "comp", (F.col("comp") != F.col("hub.comp")).alias("asks"), *SKETCH)
+        .distinct())
+    classes = asks.groupBy("id", "comp", *SKETCH).agg(F.max("asks").alias("asks"))
+    front = pinned(front_rows(pinned(differences(asks.select("id", "h"), texts, words)), percent)
+                   .join(classes, "id"))
+
+    left = front.filter("asks").select(
+        "hub", "shingle", F.col("own").alias("partner"), F.col("partner").alias("own"), F.col("id").alias("h"),
+        F.col("comp").alias("hc"), F.col("size").alias("m"), F.col("diff").alias("d"), F.col("place").alias("at"),
+        *[F.col(c).alias(o) for c, o in zip(SKETCH, OTHER, strict=True)])
+    share = (100 + percent) * (F.col("diff") + F.col("d")) - (100 - percent) * (F.col("size") + F.col("m"))
+    left_over = F.least(F.col("diff") - F.col("place"), F.col("d") - F.col("at"))
+    # of two that both ask, the larger id does
+    return (left.join(front, ["hub", "shingle", "own", "partner"]).filter(
+        (F.col("comp") != F.col("hc")) & (~F.col("asks") | (F.col("id") < F.col("h")))
+        & (left_over * 2 * (100 + percent) >= share) & _may_link(SKETCH, OTHER, "size", "m", percent))
         .select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct())
 
 
