@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     met.add_argument("--out", required=True)
     args = ap.parse_args(argv)
 
-    from tidewater.plans.pipeline import Run, next_run_number, open_warehouse, run_pipeline
+    from tidewater.plans.pipeline import Run, open_warehouse, run_until_committed
     from tidewater.session import build_session
     spark = build_session()
     wh = open_warehouse(spark, args.root)
@@ -49,10 +49,9 @@ def main(argv: list[str] | None = None) -> int:
         ts = args.ts or now.isoformat(sep=" ")
         sources = {n: spark.read.parquet(getattr(args, n))
                    for n in ("customers", "products", "sales")}
-        run = Run(next_run_number(wh), day, ts, sources)
-        run_pipeline(wh, run)
-        print(json.dumps({"run": run.number, "rows": wh.rows,
-                          "marks": wh.runs[run.number]["marks"]}, default=str))
+        wh = run_until_committed(spark, args.root, lambda n: Run(n, day, ts, sources))
+        last = max(wh.runs)
+        print(json.dumps({"run": last, "rows": wh.rows, "marks": wh.runs[last]["marks"]}, default=str))
     elif args.cmd == "report":
         from tidewater.plans.procedures import aggregate_sales_report
         df = aggregate_sales_report(wh, dt.date.fromisoformat(args.start),

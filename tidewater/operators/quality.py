@@ -35,13 +35,30 @@ def rule_status(c: str = "status") -> Column:
     return F.col(c).isin(*STATUSES)
 
 
+def load_rules(source: str) -> dict[str, Column]:
+    """What a row of a source table must keep to be loaded (none where the
+    table is not known)."""
+    return {
+        "sales": {"qty_positive": rule_positive("qty"),
+                  "keys_not_null": rule_not_null("id", "customer_id", "product_id", "transaction_date")},
+        "customers": {"id_not_null": rule_not_null("id"), "name_max_255": rule_max_length("name", 255),
+                      "country_max_100": rule_max_length("country", 100)},
+        "products": {"id_not_null": rule_not_null("id"), "name_max_255": rule_max_length("name", 255),
+                     "group_max_100": rule_max_length("group_name", 100)},
+    }.get(source, {})
+
+
+def tagged(df: DataFrame, rules: dict[str, Column], column: str = "broken") -> DataFrame:
+    """``df`` with the names of the rules that each row breaks."""
+    names = [F.when(~F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in rules.items()]
+    return df.withColumn(column, F.array_compact(F.array(*names)) if names else F.array().cast("array<string>"))
+
+
 def apply_rules(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Return (valid, rejected); rejected carries the names of broken rules."""
-    broken = F.array_compact(F.array(*[F.when(~F.coalesce(cond, F.lit(False)), F.lit(name))
-                                       for name, cond in rules.items()]))
-    tagged = df.withColumn("_broken", broken)
-    valid = tagged.filter(F.size("_broken") == 0).drop("_broken")
-    rejected = tagged.filter(F.size("_broken") > 0).withColumn(
+    rows = tagged(df, rules, "_broken")
+    valid = rows.filter(F.size("_broken") == 0).drop("_broken")
+    rejected = rows.filter(F.size("_broken") > 0).withColumn(
         "failed_rules", F.array_join("_broken", ",")).drop("_broken")
     return valid, rejected
 

@@ -1,5 +1,8 @@
 """Run log: start and end entries, appended to a folder as they happen.
 
+Ids are claimed one by one: the file of an id can be created once, so that
+processes that share a folder never give out the same one.
+
 Every start and every end appends one small Parquet file, independent of the
 run manifest, so a run that fails or dies leaves its RUNNING and FAILED entries
 behind.  :meth:`RunLog.stored` reads the latest state of each entry.
@@ -8,7 +11,6 @@ behind.  :meth:`RunLog.stored` reads the latest state of each entry.
 from __future__ import annotations
 
 import datetime as dt
-import itertools
 import json
 import threading
 
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import micros_between
+from tidewater.sources.commits import claim
 
 LOG_SCHEMA = ("log_id bigint, process_name string, start_time timestamp_ntz, "
               "end_time timestamp_ntz, status string, rows_processed bigint, rows_inserted bigint, "
@@ -50,10 +53,17 @@ class RunLog:
         self._lock = threading.RLock()  # steps run in threads; one append at a time
         stored = self.stored() if folder else None
         last = stored.agg(F.max("log_id")).first()[0] if stored is not None else None
-        self._ids = itertools.count((last or 0) + 1)
+        self._last = last or 0
+
+    def _next_id(self) -> int:
+        with self._lock:
+            self._last += 1
+            while self.folder and not claim(self.spark, f"{self.folder}/_ids/{self._last:012d}"):
+                self._last += 1
+            return self._last
 
     def start(self, process: str, info: dict | None = None) -> int:
-        log_id = next(self._ids)
+        log_id = self._next_id()
         now = _now()
         row = dict(log_id=log_id, process_name=process, start_time=now, end_time=None,
                    status="RUNNING", rows_processed=0, rows_inserted=0, rows_updated=0,

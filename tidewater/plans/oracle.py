@@ -512,6 +512,17 @@ UNION ALL SELECT 'customer', 'balance_positive', count(*), count(*) FILTER (c_ac
        OR c_acctbal <= 0) FROM customer
 UNION ALL SELECT 'sales', 'parent_name_not_null', count(*), count(*) FILTER (c.name IS NULL)
        FROM src_s2 s LEFT JOIN src_c1 c ON s.customer_id = c.id)"""
+    from tidewater.plans.queries import FIRST_DAY, MOST_SOLD
+    kept = f"qty <= {MOST_SOLD} AND transaction_date >= {_ts(FIRST_DAY)}"
+    q["load_rejected"] = f"""
+SELECT id, customer_id, product_id, qty, transaction_date,
+       concat_ws(',', CASE WHEN qty > {MOST_SOLD} THEN 'qty_at_most' END,
+                 CASE WHEN transaction_date < {_ts(FIRST_DAY)} THEN 'not_before_first_day' END) AS failed_rules,
+       1 AS run
+FROM src_s1 WHERE transaction_date > {_ts(C.EPOCH_MARK)} AND NOT ({kept})"""
+    q["load_accepted"] = f"""
+SELECT id, customer_id, product_id, qty, transaction_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY id {SALES_LATEST}) AS rn FROM src_s1 WHERE {kept}) WHERE rn = 1"""
     q["rejected_documents"] = """
 SELECT doc_id, concat_ws(',', CASE WHEN length(text) > 255 THEN 'text_max_255' END,
                          CASE WHEN text IS NULL THEN 'text_not_null' END) AS failed_rules

@@ -15,7 +15,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater import config as C
@@ -24,12 +24,13 @@ from tidewater.operators.calendar import CALENDAR_COLS, calendar, run_window
 from tidewater.operators.cleaning import clean_customers, clean_products, stage_sales
 from tidewater.operators.joins import broadcast_if_small, max_broadcast_rows
 from tidewater.operators.keys import assign_keys, next_key
-from tidewater.operators.marks import (batch_max, extract_delta, initial_marks, read_marks,
-                                       write_mark)
+from tidewater.operators.marks import extract_delta, initial_marks, read_marks, write_mark
+from tidewater.operators.quality import apply_rules, load_rules, tagged
 from tidewater.operators.runlog import RunLog
 from tidewater.operators.scd2 import empty_dimension, scd2_merge
-from tidewater.operators.upsert import latest_per_key, new_rows, update_matched, upsert
+from tidewater.operators.upsert import latest_per_key, new_rows, upsert
 from tidewater.session import shared_root
+from tidewater.sources.commits import Conflict
 from tidewater.sources.store import LayerStore
 
 MRR_SCHEMAS = {
@@ -57,9 +58,12 @@ CALENDAR_SCHEMA = ("date_key int, date date, year int, quarter int, month int, "
                    "month_name string, week int, day_of_month int, day_of_week int, "
                    "day_name string, is_weekend boolean, is_holiday boolean")
 
-# The fact is stored in month directories (yyyyMM) for partition pruning.
+# The three sales tables are kept in month folders (yyyyMM): a run rewrites the
+# months it touches, and date ranges prune folders.
 MONTH_KEY = "month_key"
-PARTITION_COLS = {"dwh_fact_sales": [MONTH_KEY]}
+PARTITION_COLS = {t: [MONTH_KEY] for t in ("mrr_fact_sales", "stg_fact_sales", "dwh_fact_sales")}
+# Staged sales whose customer or product was unknown when last looked up.
+SKIPPED = "stg_skipped_sales"
 
 # extract: source table, mirror table, order column of the delta, mirror columns
 EXTRACTS = [
@@ -81,7 +85,8 @@ class Run:
     reference tests ``created_at`` for dimensions, so edits that only move
     ``updated_at`` are missed; pass ``{"customers": "updated_at"}`` to catch
     them).  ``calendar`` overrides the calendar window (default: 2 years
-    back to 1 year ahead of ``day``).
+    back to 1 year ahead of ``day``).  ``rules`` overrides the rules (name ->
+    condition) that rows of a source table must keep to be loaded.
     """
     number: int
     day: dt.date
@@ -89,6 +94,7 @@ class Run:
     sources: dict[str, DataFrame]
     order_cols: dict[str, str] = field(default_factory=dict)
     calendar: tuple[dt.date, dt.date] | None = None
+    rules: dict[str, dict[str, Column]] = field(default_factory=dict)
 
 
 @dataclass
@@ -126,6 +132,14 @@ class Warehouse:
                            & (F.col("transaction_date") <= F.lit(end)))
         return df.drop(MONTH_KEY)
 
+    def write_months(self, run: Run, name: str, df: DataFrame, touched: set, key: str,
+                     sort: list[str], **more) -> None:
+        """Write the touched months of a table in month folders."""
+        parts = self.store.write_parts(name, month_layout(df, sort), MONTH_KEY, touched, key, **more)
+        self.rows[name] = parts.rows
+        self.runs.setdefault(run.number, {"versions": {}, "marks": {}})
+        self.runs[run.number]["versions"][name] = self.store.versions[name]
+
     def write(self, run: Run, name: str, df: DataFrame, key_col: str | None = None,
               partition_by: list[str] | None = None) -> dict:
         """Write a new version; the row count and the largest key are
@@ -230,37 +244,88 @@ def extract_one(wh: Warehouse, run: Run, source_name: str) -> tuple[int, dict]:
     (latest row per id of the delta) is pinned with a checkpoint and counted
     while it is written: an empty delta is a success with 0 rows that leaves
     the mirror unchanged, and a batch within the broadcast limit has its keys
-    broadcast, so the large mirror is filtered without a shuffle.
+    broadcast, so the large mirror is filtered without a shuffle.  Rows that
+    break a rule of the source do not enter the batch: they are counted in the
+    same job and, where there are any, written to ``rejected_<source>``.
     """
     _, mirror, order_col, cols = next(e for e in EXTRACTS if e[0] == source_name)
     order_col = run.order_cols.get(source_name, order_col)
     mark = wh.runs[run.number]["marks"][source_name]
     delta = extract_delta(run.sources[source_name], order_col, mark)
+    rules = run.rules.get(source_name, load_rules(source_name))
     order = SALES_ORDER if source_name == "sales" else [order_col]
     # the delta's largest order value (the batch maximum) and the batch size
     # are observed inside the one job that pins the batch
     tag = uuid.uuid4().hex[:8]
     obs_delta = Observation(f"delta_{source_name}_{tag}")
-    delta = delta.observe(obs_delta, F.max(order_col).alias("batch_max"))
+    broken = tagged(delta, rules).observe(
+        obs_delta, F.max(order_col).alias("batch_max"),
+        F.sum(F.when(F.size("broken") > 0, 1).otherwise(0)).alias("rejected"))
     keep = cols + [c for c in order if c not in cols]
-    batch = (latest_per_key(delta.select(*keep), ["id"], order)
+    batch = (latest_per_key(broken.filter(F.size("broken") == 0).select(*keep), ["id"], order)
              .select(*cols).withColumn("loaded_at", ntz(run.batch_ts)))
     obs = Observation(f"batch_{source_name}_{tag}")
-    batch = batch.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    batch = batch.observe(obs, F.count(F.lit(1)).alias("rows"), F.min("id").alias("low"),
+                          F.max("id").alias("high")).checkpoint(eager=True)
     n = int(obs.get["rows"])
     top = obs_delta.get["batch_max"]
     wh.runs[run.number].setdefault("batch_max", {})[source_name] = (
         top.isoformat(sep=" ") if top is not None else None)
-    info = {"mark": mark, "batch_max": wh.runs[run.number]["batch_max"][source_name]}
+    rejected = int(obs_delta.get["rejected"] or 0)
+    info = {"mark": mark, "batch_max": wh.runs[run.number]["batch_max"][source_name], "rejected": rejected}
+    if rejected:
+        quarantine(wh, run, source_name, apply_rules(delta, rules)[1])
     if n == 0:
         wh.keep(run, mirror)
         return 0, info
-    target = wh.store.read_or(mirror, wh.empty(MRR_SCHEMAS[mirror]))
     small = n <= max_broadcast_rows(batch)
-    wh.write(run, mirror, upsert(target, batch, ["id"], broadcast_batch=small))
+    if mirror in PARTITION_COLS:
+        merge_months(wh, run, mirror, batch, obs.get["low"], obs.get["high"], small)
+    else:
+        target = wh.store.read_or(mirror, wh.empty(MRR_SCHEMAS[mirror]))
+        wh.write(run, mirror, upsert(target, batch, ["id"], broadcast_batch=small))
     return n, info
 
 
+def quarantine(wh: Warehouse, run: Run, source_name: str, rows: DataFrame) -> None:
+    """Add the rejected rows of a batch, with the names of the rules they break,
+    to the source's own table; the rows of earlier runs keep their files."""
+    name = f"rejected_{source_name}"
+    rows = rows.withColumns({"rejected_at": ntz(run.batch_ts), "run": F.lit(run.number)})
+    parts = wh.store.write_parts(name, rows, "run", {run.number}, "id")
+    wh.rows[name] = parts.rows
+    wh.runs[run.number]["versions"][name] = wh.store.versions[name]
+
+
+def merge_months(wh: Warehouse, run: Run, name: str, batch: DataFrame, low: int, high: int,
+                 small: bool) -> None:
+    """Upsert a pinned batch on ``id`` into a table in month folders.
+
+    Touched are the batch's months and those in which its ids were stored
+    before: a sale that moved leaves one month and enters another.  Only the id
+    column of months whose id range meets the batch is searched for them.
+    """
+    batch = with_month(batch)
+    touched = months_of(batch)
+    target = None
+    if wh.store.has(name):
+        ids = batch.select("id")
+        held = wh.store.read(name, only=wh.store.parts(name).holding(low, high)).select("id", MONTH_KEY)
+        touched |= months_of(held.join(F.broadcast(ids) if small else ids, "id", "left_semi"))
+        target = wh.store.read(name, only=touched)
+    merged = batch if target is None else upsert(target, batch, ["id"], broadcast_batch=small)
+    wh.write_months(run, name, merged, touched, "id", ["transaction_date", "id"])
+
+
+def with_month(df: DataFrame, at: str = "transaction_date") -> DataFrame:
+    return df.withColumn(MONTH_KEY, (F.year(at) * 100 + F.month(at)).cast("int"))
+
+
+def months_of(df: DataFrame) -> set:
+    """The months of a frame's rows; the calendar bounds how many there are."""
+    return {r[MONTH_KEY] for r in df.select(MONTH_KEY).distinct().collect()}
+
+
 STAGE_DIMS = {
     "customers": ("mrr_dim_customers", "stg_dim_customers", clean_customers,
                   ["customer_name", "country", "country_normalized", "loaded_at"]),
@@ -280,9 +345,23 @@ def stage_dimension(wh: Warehouse, run: Run, kind: str) -> int:
 
 
 def stage_sales_table(wh: Warehouse, run: Run) -> int:
-    batch = stage_sales(wh.table("mrr_fact_sales"), run.batch_ts)
-    target = wh.store.read_or("stg_fact_sales", wh.empty(STG_SCHEMAS["stg_fact_sales"]))
-    wh.write(run, "stg_fact_sales", upsert(target, batch, ["sale_id"]))
+    """Stage the months whose mirror files changed since they were last staged.
+
+    Every run stages the whole mirror, so all rows carry this run's
+    ``loaded_at``: it is kept once for the version, and months whose mirror is
+    unchanged keep their files.
+    """
+    name = "stg_fact_sales"
+    mirror = wh.store.parts("mrr_fact_sales") if wh.store.has("mrr_fact_sales") else None
+    source = {m: p.folder for m, p in mirror.parts.items()} if mirror else {}
+    mine = wh.store.parts(name).parts if wh.store.has(name) else {}
+    touched = {m for m in source.keys() | mine.keys()
+               if m not in mine or mine[m].made_from != source.get(m)}
+    rows = (wh.store.read("mrr_fact_sales", only=touched) if mirror
+            else with_month(wh.empty(MRR_SCHEMAS["mrr_fact_sales"])))
+    staged = stage_sales(rows, run.batch_ts).withColumn("loaded_at", F.lit(None).cast("timestamp_ntz"))
+    wh.write_months(run, name, with_month(staged), touched, "sale_id", ["transaction_date", "sale_id"],
+                    made_from=source, constants={"loaded_at": run.batch_ts})
     return wh.rows.get("mrr_fact_sales", 0)
 
 
@@ -326,57 +405,143 @@ def current_keys(wh: Warehouse, kind: str) -> DataFrame:
     return broadcast_if_small(cur, known_rows=wh.rows.get(dim))
 
 
-def key_lookup(wh: Warehouse, staged: DataFrame, batch_ts: str) -> DataFrame:
-    """Staged sales with current surrogate keys; a sale missing either is skipped."""
-    t = F.col("transaction_date")
-    return (staged.join(current_keys(wh, "customers"), "customer_id")
-            .join(current_keys(wh, "products"), "product_id")
-            .select(F.col("sale_id").alias("original_sale_id"), "customer_key", "product_key",
-                    date_key(t).alias("date_key"), "quantity", F.to_date(t).alias("transaction_date"),
-                    t.alias("transaction_timestamp"), ntz(batch_ts).alias("loaded_at")))
-
-
 def load_facts(wh: Warehouse, run: Run) -> int:
     """Upsert facts on original_sale_id: a known sale changes only quantity and
-    loaded_at (keys and dates stay as first loaded); new sales get keys."""
-    lookup = key_lookup(wh, wh.table("stg_fact_sales"), run.batch_ts)
-    target = (wh.table("dwh_fact_sales") if wh.store.has("dwh_fact_sales")
-              else wh.empty(FACT_SCHEMA))
-    kept = update_matched(target, lookup, ["original_sale_id"], ["quantity", "loaded_at"])
-    fresh = new_rows(target, lookup, ["original_sale_id"])
-    staged = wh.rows.get("stg_fact_sales")
-    fresh = assign_keys(fresh, "sale_key", ["original_sale_id"],
-                        start=wh.next_key("dwh_fact_sales", "sale_key"), rows_bound=staged)
-    merged = kept.unionByName(fresh.select(*target.columns))
-    wh.write(run, "dwh_fact_sales", fact_layout(merged), key_col="sale_key",
-             partition_by=[MONTH_KEY])
-    return staged or 0  # processed: every staged sale, skipped ones included
-
-
-def fact_layout(fact: DataFrame) -> DataFrame:
-    """Shape the fact for month directories.
+    loaded_at (keys and dates stay as first loaded); new sales get keys.
+
+    Looked up are the sales of months that were staged anew, and those that
+    were skipped before; every other sale has its fact already, which changes
+    only in ``loaded_at``, kept once for the version.  A known sale that now
+    lacks its customer or product keeps the ``loaded_at`` it had, in its row.
+    One job joins the sales with the current keys and the stored facts and pins
+    the result; months without a change keep their files.
+    """
+    name = "dwh_fact_sales"
+    staged = wh.store.parts("stg_fact_sales")
+    stored = wh.store.parts(name) if wh.store.has(name) else None
+    source = {str(m): p.folder for m, p in staged.parts.items()}
+    seen = stored.state["staged"] if stored else {}
+    anew = {m for m, p in staged.parts.items() if seen.get(str(m)) != p.folder}
+    gone = {m for m in seen if m not in source}
+    sales = wh.store.read("stg_fact_sales", only=anew).drop("loaded_at")
+    if wh.store.has(SKIPPED):
+        again = wh.table(SKIPPED)
+        if anew or gone:
+            old = [m for m in anew if m is not None]
+            again = again.filter(~F.coalesce(F.col(MONTH_KEY).isin(old), F.lit(None in anew))
+                                 & ~F.coalesce(F.col(MONTH_KEY).cast("string"), F.lit("None")).isin(list(gone)))
+        sales = sales.unionByName(again.select(sales.columns))
+
+    pinned, counts = looked_up(wh, sales, stored)
+    skipped = pinned.filter("NOT found")
+    wh.write(run, SKIPPED, skipped.select(*sales.columns))
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    fresh = (pinned.filter("found AND NOT known").select(
+        F.col("sale_id").alias("original_sale_id"), "customer_key", "product_key",
+        date_key(F.col("transaction_date")).alias("date_key"), "quantity",
+        F.to_date("transaction_date").alias("day"), F.col("transaction_date").alias("transaction_timestamp"),
+        null_ts.alias("loaded_at"), MONTH_KEY).withColumnRenamed("day", "transaction_date"))
+    touched = months_of(fresh) if counts["fresh"] else set()
+    start = wh.next_key(name, "sale_key")
+    merged = None
+    if counts["fresh"] or stored is None:
+        merged = assign_keys(fresh, "sale_key", ["original_sale_id"], start=start,
+                             rows_bound=counts["fresh"], pin_input=False)
+    if counts["changed"]:
+        change = pinned.filter("changed").select(
+            F.col("sale_id").alias("original_sale_id"), F.lit(True).alias("hit"),
+            F.when(F.col("found"), F.col("quantity")).otherwise(F.col("old_quantity")).alias("new_quantity"),
+            F.when(~F.col("found"), F.lit(stored.constants["loaded_at"]).cast("timestamp_ntz")).alias("new_at"),
+            F.col("fact_month").alias(MONTH_KEY))
+        touched |= months_of(change)
+    if stored is not None and touched:
+        kept = wh.store.read(name, only=touched, raw=True)
+        if counts["changed"]:
+            change = change.drop(MONTH_KEY)
+            kept = (kept.join(broadcast_if_small(change, counts["changed"]), "original_sale_id", "left")
+                    .withColumn("quantity", F.when(F.col("hit"), F.col("new_quantity")).otherwise(F.col("quantity")))
+                    .withColumn("loaded_at", F.when(F.col("hit"), F.col("new_at")).otherwise(F.col("loaded_at"))))
+        kept = kept.select(*FACT_COLS, MONTH_KEY)
+        merged = kept if merged is None else kept.unionByName(merged.select(kept.columns))
+    if merged is None:  # nothing changed but the time of loading
+        merged = with_month(wh.empty(FACT_SCHEMA))
+    wh.write_months(run, name, merged.select(*FACT_COLS, MONTH_KEY), touched, "original_sale_id",
+                    ["transaction_date", "original_sale_id"], latest="transaction_timestamp",
+                    constants={"loaded_at": run.batch_ts}, state={"staged": source})
+    wh.max_keys[name] = start + counts["fresh"]
+    return wh.rows.get("stg_fact_sales") or 0  # processed: every staged sale, skipped ones included
+
+
+FACT_COLS = [f.split(" ")[0] for f in FACT_SCHEMA.split(", ")]
+
+
+def looked_up(wh: Warehouse, sales: DataFrame, stored) -> tuple[DataFrame, dict]:
+    """The sales with their current keys (``found`` if both exist) and what the
+    fact has of them (``known``, ``changed``), pinned and counted in one job."""
+    keyed = (sales.join(current_keys(wh, "customers"), "customer_id", "left")
+             .join(current_keys(wh, "products"), "product_id", "left")
+             .withColumn("found", F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()))
+    if stored is None:
+        keyed = keyed.withColumns({"known": F.lit(False), "changed": F.lit(False)})
+    else:
+        span = sales.agg(F.min("sale_id"), F.max("sale_id")).first()
+        facts = wh.store.read("dwh_fact_sales", only=stored.holding(*span), raw=True).select(
+            F.col("original_sale_id").alias("sale_id"), F.col("quantity").alias("old_quantity"),
+            F.col("loaded_at").alias("old_at"), F.col(MONTH_KEY).alias("fact_month"), F.lit(True).alias("held"))
+        known = F.coalesce("held", F.lit(False))
+        keyed = keyed.join(facts, "sale_id", "left").withColumn("known", known).withColumn(
+            "changed", known & F.when(F.col("found"), F.col("old_at").isNotNull()
+                                      | (~F.col("quantity").eqNullSafe(F.col("old_quantity"))))
+            .otherwise(F.col("old_at").isNull()))
+    obs = Observation(f"lookup_{uuid.uuid4().hex[:8]}")
+    pinned = keyed.observe(obs, F.sum((F.col("found") & ~F.col("known")).cast("long")).alias("fresh"),
+                           F.sum(F.col("changed").cast("long")).alias("changed")).checkpoint(eager=True)
+    return pinned, {k: int(v or 0) for k, v in obs.get.items()}
+
+
+def month_layout(df: DataFrame, sort: list[str]) -> DataFrame:
+    """Shape a table for month folders.
 
     ``rebalance`` on the month lets AQE size the write partitions from the
     measured shuffle (advisory partition size) and split a hot month into
     several tasks, without the sampling pass a range repartition costs; rows
-    are sorted by date inside each task so Parquet row groups carry tight
-    date statistics for row-group skipping.
+    are sorted inside each task so Parquet row groups carry tight statistics
+    for row-group skipping.
     """
-    d = F.col("transaction_date")
-    return (fact.withColumn(MONTH_KEY, (F.year(d) * 100 + F.month(d)).cast("int"))
-            .hint("rebalance", MONTH_KEY)
-            .sortWithinPartitions(MONTH_KEY, "transaction_date", "original_sale_id"))
+    return df.hint("rebalance", MONTH_KEY).sortWithinPartitions(MONTH_KEY, *sort)
+
+
+def fact_layout(fact: DataFrame) -> DataFrame:
+    """The fact, shaped for its month folders."""
+    return month_layout(with_month(fact), ["transaction_date", "original_sale_id"])
 
 
 def advance_sales_mark(wh: Warehouse, run: Run) -> None:
-    """Mark = MAX(transaction_timestamp) of the fact; unchanged when it is empty."""
-    top = batch_max(wh.table("dwh_fact_sales"), "transaction_timestamp")
+    """Mark = MAX(transaction_timestamp) of the fact, which the list of its
+    months has; unchanged when it is empty."""
+    top = wh.store.parts("dwh_fact_sales").latest
     if top is not None:
         wh.write(run, "high_water_mark",
                  write_mark(wh.table("high_water_mark"), "sales", top, run.batch_ts))
     wh.keep(run, "high_water_mark")
 
 
+def run_until_committed(spark: SparkSession, root: str, make_run, attempts: int = 5) -> Warehouse:
+    """Run ``make_run(number)`` on the warehouse under ``root``.
+
+    When another process commits the same number first, the warehouse is read
+    again and the run repeated on top of what the other one left.
+    """
+    for attempt in range(attempts):
+        wh = open_warehouse(spark, root)
+        try:
+            return run_pipeline(wh, make_run(next_run_number(wh)))
+        except Conflict:
+            if attempt + 1 == attempts:
+                raise
+    raise ValueError("attempts must be positive")
+
+
 def _parallel(wh: Warehouse, steps: list[tuple[str, object]]) -> None:
     """Run independent steps as concurrent Spark jobs (they read and write
     different tables); the first failure is raised after all finished."""

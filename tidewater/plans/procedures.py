@@ -66,7 +66,7 @@ def refresh_customer_metrics(wh: Warehouse, calculated_at: str,
             last = max(wh.runs)
             wh.runs[last]["versions"][table] = version = wh.store.versions[table]
             wh.store.commit(last, {table: version}, {table: rows}, {}, wh.runs[last]["marks"],
-                            calculated_at)
+                            calculated_at, name=f"run-{last:08d}-{table}-{version:04d}")
         return out, rows, table
     return _run(wh, "sp_refresh_customer_metrics", None, body)
 

@@ -273,6 +273,33 @@ def q_rejected_documents(spark, sf_dir):
     return rejected.select("doc_id", "failed_rules")
 
 
+#: What the loads below ask of a sale beyond the default rules.
+MOST_SOLD, FIRST_DAY = 45, "1993-01-01 00:00:00"
+
+
+def _guarded(spark, sf_dir):
+    """The run-1 sales loaded into a mirror under stricter rules."""
+    from tidewater.plans.pipeline import Run, extract_one, new_warehouse, prepare_marks
+    wh = new_warehouse(spark)
+    rules = {**Q.load_rules("sales"), "qty_at_most": F.col("qty") <= MOST_SOLD,
+             "not_before_first_day": F.col("transaction_date") >= ntz(FIRST_DAY)}
+    run = Run(1, C.RUN1_DAY, C.RUN1_TS, {"sales": A.source_sales(spark, sf_dir, 1)}, rules={"sales": rules})
+    prepare_marks(wh, run)
+    extract_one(wh, run, "sales")
+    return wh
+
+
+def q_load_rejected(spark, sf_dir):
+    """Rows that a load kept out of the mirror, with the rules they break."""
+    return _guarded(spark, sf_dir).table("rejected_sales").select(
+        "id", "customer_id", "product_id", "qty", "transaction_date", "failed_rules", "run")
+
+
+def q_load_accepted(spark, sf_dir):
+    """The mirror of the same load, without them."""
+    return _guarded(spark, sf_dir).table("mrr_fact_sales").drop("loaded_at")
+
+
 LOGGED = ["mrr_to_stg_customers", "mrr_to_stg_products", "mrr_to_stg_sales",
           "stg_to_dwh_customers", "stg_to_dwh_date_dimension", "stg_to_dwh_products",
           "stg_to_dwh_sales"]
@@ -436,6 +463,8 @@ def registry() -> dict[str, Query]:
         "orphans": q_orphans,
         "broken_rules": q_broken_rules,
         "rejected_documents": q_rejected_documents,
+        "load_rejected": q_load_rejected,
+        "load_accepted": q_load_accepted,
         "etl_run_log": q_etl_run_log,
         "customer_metrics_table": q_customer_metrics_table,
         "group_performance_json": q_group_performance_json,

@@ -7,14 +7,19 @@ checkpoint records which files were consumed, so it replaces the
 high-water mark: a file that lands late is still picked up, which the
 strict ``> mark`` filter would miss.  ``trigger(availableNow=True)`` makes
 each run a bounded, restartable job.  Each applied batch commits the mirror's
-new version together with the batch id to a manifest beside the table; a new
-process restores both, and a batch that Spark replays because the process died
-between the commit and the stream's checkpoint is skipped.
+new version together with the stream's id and the batch id to a manifest beside
+the table; a new process restores them, and a batch that Spark replays because
+the process died between the commit and the stream's checkpoint is skipped.  A
+new checkpoint folder is a new stream: its batch ids start again at 0, and its
+batches are applied (the upsert makes files that were read before harmless).
+Of two streams that write one table at once the second to commit fails and
+resumes from the state of the first.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -47,7 +52,11 @@ class StreamingMirror:
         self.manifest = f"manifest-stream-{table}"
         committed = store.load_manifest(self.manifest)
         store.restore(committed)
-        self.applied = max((e["run"] for e in committed), default=-1)
+        #: stream id -> last batch applied
+        self.applied: dict[str, int] = {}
+        for e in committed:
+            stream = json.loads(e["marks"])["stream"]
+            self.applied[stream] = max(e["run"], self.applied.get(stream, -1))
 
     def _empty(self) -> DataFrame:
         fields = {f.name: f.dataType.simpleString()
@@ -55,8 +64,13 @@ class StreamingMirror:
         ddl = ", ".join(f"{c} {fields[c]}" for c in self.cols)
         return self.spark.createDataFrame([], ddl + ", batch_id bigint")
 
+    def stream_id(self) -> str:
+        """The id that Spark gave the stream of this checkpoint folder."""
+        return json.loads(self.spark.read.text(f"{self.checkpoint}/metadata").first()[0])["id"]
+
     def _apply(self, batch: DataFrame, epoch_id: int) -> None:
-        if epoch_id <= self.applied:  # replayed after a failure
+        stream = self.stream_id()
+        if epoch_id <= self.applied.get(stream, -1):  # replayed after a failure
             return
         latest = latest_per_key(batch.select(*self.cols), self.keys, self.order_cols)
         latest = latest.withColumn("batch_id", F.lit(epoch_id).cast("long"))
@@ -70,9 +84,11 @@ class StreamingMirror:
         target = self.store.read_or(self.table, self._empty())
         self.store.write(self.table, upsert(target, latest, self.keys,
                                             broadcast_batch=rows <= max_broadcast_rows(latest)))
-        self.store.commit(epoch_id, {self.table: self.store.versions[self.table]}, {}, {}, {},
-                          dt.datetime.now().isoformat(sep=" "), manifest=self.manifest)
-        self.applied = epoch_id
+        version = self.store.versions[self.table]
+        self.store.commit(epoch_id, {self.table: version}, {}, {}, {"stream": stream},
+                          dt.datetime.now().isoformat(sep=" "), manifest=self.manifest,
+                          name=f"version-{version:08d}")
+        self.applied[stream] = epoch_id
         self.batches.append(epoch_id)
 
     def run_available(self) -> None:
