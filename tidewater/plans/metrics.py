@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewater import config as C
 from tidewater.functions import month_start, round_half_away_ratio, round_half_up_ratio
-from tidewater.operators.joins import as_of_join, broadcast_if_small
+from tidewater.operators.joins import as_of_join, broadcast_if_small, max_broadcast_rows
 
 
 def _optional_range(df: DataFrame, col: str, start: dt.date | None,
@@ -41,15 +41,22 @@ def sales_report(fact: DataFrame, customers: DataFrame, products: DataFrame,
                  rows_c: int | None = None, rows_p: int | None = None) -> DataFrame:
     """Monthly sales by customer name, country and product group (both ends
     of the period included), current dimension versions only."""
-    f = fact.filter(F.col("transaction_date").between(F.lit(start), F.lit(end)))
+    f = fact.filter(F.col("transaction_date").between(F.lit(start), F.lit(end))).select(
+        "customer_key", "product_key", month_start(F.col("transaction_date")).alias("sales_month"),
+        F.col("quantity").alias("_q"), F.lit(1).alias("_n"))
+    limit = max_broadcast_rows(fact)
+    if not all(n is not None and n <= limit for n in (rows_c, rows_p)):
+        # a dimension may be shuffled: reduce the fact first, so that the join
+        # moves one row per customer, product and month instead of raw sales
+        f = f.groupBy("customer_key", "product_key", "sales_month").agg(
+            F.sum("_q").alias("_q"), F.sum("_n").alias("_n"))
     j = (f.join(current(customers, "customer_key", "customer_name", "country", known_rows=rows_c),
                 "customer_key")
          .join(current(products, "product_key", "product_group", known_rows=rows_p),
                "product_key"))
-    g = j.groupBy("customer_name", "country", "product_group",
-                  month_start(F.col("transaction_date")).alias("sales_month")).agg(
-        F.sum("quantity").alias("total_quantity"),
-        F.count(F.lit(1)).alias("transaction_count"),
+    g = j.groupBy("customer_name", "country", "product_group", "sales_month").agg(
+        F.sum("_q").alias("total_quantity"),
+        F.sum("_n").cast("long").alias("transaction_count"),
         F.countDistinct("product_key").alias("unique_products"))
     return (g.withColumn("avg_quantity_per_transaction",
                          round_half_up_ratio(F.col("total_quantity"), F.col("transaction_count")))
@@ -216,6 +223,21 @@ def monthly_group_sales(fact: DataFrame, products: DataFrame,
             .agg(F.sum("_q").alias("total_quantity")))
 
 
+def product_months(fact: DataFrame) -> DataFrame:
+    """Sums per product version and day's month: the rollup that runs keep."""
+    return fact.groupBy("month_key", "product_key").agg(
+        F.sum("quantity").alias("total_quantity"), F.count(F.lit(1)).alias("transaction_count"))
+
+
+def monthly_group_sales_of(rollup: DataFrame, products: DataFrame, rows_p: int | None = None) -> DataFrame:
+    """:func:`monthly_group_sales` from the stored rollup."""
+    dim = broadcast_if_small(products.select("product_key", "product_group"), rows_p)
+    return (rollup.join(dim, "product_key")
+            .groupBy(F.expr("cast(month_key div 100 as int)").alias("year"),
+                     F.expr("cast(month_key % 100 as int)").alias("month"), "product_group")
+            .agg(F.sum("total_quantity").alias("total_quantity")))
+
+
 def top_groups(sales: DataFrame, products: DataFrame, n: int = C.TOP_GROUPS) -> DataFrame:
     """Source-side top groups by number of sales (seed summary)."""
     per = sales.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"),
@@ -256,15 +278,17 @@ def point_in_time_sales(fact: DataFrame, customers: DataFrame,
                         rows_c: int | None = None) -> DataFrame:
     """Sales by the customer's country *on the sale date* (the version valid
     then), by year: the corrected form of the current-version metrics."""
-    ids = customers.select("customer_key", "customer_id")
-    f = fact.join(broadcast_if_small(ids, rows_c), "customer_key").select(
-        "customer_id", "transaction_date", "quantity")
-    versions = customers.select("customer_id", "country", "valid_from", "valid_to")
-    j = as_of_join(f, versions, "customer_id", "transaction_date", versions_rows=rows_c)
+    # one row per customer version and day before any join; the versions valid
+    # for a customer are looked up by the key that the facts already carry
+    per = fact.groupBy("customer_key", "transaction_date").agg(
+        F.sum("quantity").alias("_q"), F.count(F.lit(1)).alias("_n"))
+    ids = broadcast_if_small(customers.select("customer_key", "customer_id"), rows_c)
+    versions = customers.select("customer_id", "country", "valid_from", "valid_to").join(ids, "customer_id")
+    j = as_of_join(per, versions.drop("customer_id"), "customer_key", "transaction_date", versions_rows=rows_c)
     return j.groupBy(F.col("v.country").alias("country_at_sale"),
                      F.year(F.col("f.transaction_date")).alias("sales_year")).agg(
-        F.sum(F.col("f.quantity")).alias("total_quantity"),
-        F.count(F.lit(1)).alias("transaction_count"))
+        F.sum(F.col("f._q")).alias("total_quantity"),
+        F.sum(F.col("f._n")).alias("transaction_count"))
 
 
 def weekend_quantity(fact: DataFrame, calendar: DataFrame,

@@ -512,6 +512,40 @@ UNION ALL SELECT 'customer', 'balance_positive', count(*), count(*) FILTER (c_ac
        OR c_acctbal <= 0) FROM customer
 UNION ALL SELECT 'sales', 'parent_name_not_null', count(*), count(*) FILTER (c.name IS NULL)
        FROM src_s2 s LEFT JOIN src_c1 c ON s.customer_id = c.id)"""
+    q["monthly_group_sales_table"] = q["monthly_group_sales"]
+    # every key that a dimension ever had, and one that nobody has
+    ids_c = "(SELECT DISTINCT customer_id FROM dim_c2 UNION ALL SELECT -1) k"
+    ids_p = "(SELECT DISTINCT product_id FROM dim_p2 UNION ALL SELECT -1) k"
+    of_c = f"""LEFT JOIN {_cur_c()} c ON c.customer_id = k.customer_id
+LEFT JOIN fact2 f ON f.customer_key = c.customer_key"""
+    q["sql_avg_quantity"] = f"""
+SELECT k.customer_id, COALESCE({rnd('sum(f.quantity)', 'count(f.quantity)')}, 0.0) AS avg_quantity
+FROM {ids_c} {of_c} AND f.transaction_date BETWEEN {rs} AND {re_} GROUP BY k.customer_id"""
+    q["sql_velocity"] = f"""
+SELECT k.product_id, COALESCE({rnd('sum(f.quantity)', str(C.VELOCITY_DAYS))}, 0.0) AS velocity
+FROM {ids_p} LEFT JOIN {_cur_p()} p ON p.product_id = k.product_id
+LEFT JOIN fact2 f ON f.product_key = p.product_key AND f.transaction_date >= {since} GROUP BY k.product_id"""
+    q["sql_lifetime_value"] = f"""
+SELECT k.customer_id, CAST(COALESCE(sum(f.quantity), 0) AS BIGINT) AS lifetime_quantity
+FROM {ids_c} {of_c} GROUP BY k.customer_id"""
+    q["sql_recency"] = f"""
+SELECT k.customer_id, CAST({_d(C.AS_OF_DAY)} - max(f.transaction_date) AS INTEGER) AS days
+FROM {ids_c} {of_c} GROUP BY k.customer_id"""
+    q["sql_growth"] = f"""
+WITH monthly AS (SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS m, sum(quantity) AS q
+                 FROM fact2 GROUP BY 1),
+asked AS (SELECT DISTINCT year, month FROM cal2 UNION ALL SELECT 1950, 1),
+j AS (SELECT a.year, a.month, CAST(COALESCE(c.q, 0) AS BIGINT) AS cur, CAST(COALESCE(p.q, 0) AS BIGINT) AS prev
+      FROM asked a LEFT JOIN monthly c ON c.m = make_date(a.year, a.month, 1)
+      LEFT JOIN monthly p ON CAST(p.m + INTERVAL 1 MONTH AS DATE) = make_date(a.year, a.month, 1))
+SELECT year, month, {rnd_signed('cur - prev', 'prev', 2, 100)} AS growth_pct FROM j"""
+    q["sql_top_customers"] = f"""
+SELECT c.customer_id, c.customer_name, c.country, CAST(sum(f.quantity) AS BIGINT) AS total_quantity,
+       CAST(count(*) AS BIGINT) AS total_transactions,
+       {rnd('sum(f.quantity)', 'count(f.quantity)')} AS avg_quantity_per_transaction
+FROM {_cur_c()} c JOIN fact2 f ON c.customer_key = f.customer_key
+WHERE f.transaction_date BETWEEN {rs} AND {re_} GROUP BY c.customer_id, c.customer_name, c.country
+ORDER BY total_quantity DESC, customer_id ASC LIMIT {C.TOP_N}"""
     from tidewater.plans.queries import FIRST_DAY, MOST_SOLD
     kept = f"qty <= {MOST_SOLD} AND transaction_date >= {_ts(FIRST_DAY)}"
     q["load_rejected"] = f"""

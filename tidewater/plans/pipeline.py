@@ -29,6 +29,7 @@ from tidewater.operators.quality import apply_rules, load_rules, tagged
 from tidewater.operators.runlog import RunLog
 from tidewater.operators.scd2 import empty_dimension, scd2_merge
 from tidewater.operators.upsert import latest_per_key, new_rows, upsert
+from tidewater.plans.metrics import product_months
 from tidewater.session import shared_root
 from tidewater.sources.commits import Conflict
 from tidewater.sources.store import LayerStore
@@ -472,6 +473,27 @@ def load_facts(wh: Warehouse, run: Run) -> int:
     return wh.rows.get("stg_fact_sales") or 0  # processed: every staged sale, skipped ones included
 
 
+ROLLUP = "dwh_monthly_sales"
+
+
+def refresh_rollup(wh: Warehouse, run: Run) -> None:
+    """Sum again the months whose fact files changed since they were summed;
+    all other months of the stored rollup keep theirs."""
+    source = {m: p.folder for m, p in wh.store.parts("dwh_fact_sales").parts.items()}
+    mine = wh.store.parts(ROLLUP).parts if wh.store.has(ROLLUP) else {}
+    touched = {m for m in source.keys() | mine.keys() if m not in mine or mine[m].made_from != source.get(m)}
+    rows = product_months(wh.store.read("dwh_fact_sales", only=touched, raw=True))
+    wh.write_months(run, ROLLUP, rows.select("product_key", "total_quantity", "transaction_count", MONTH_KEY),
+                    touched, "product_key", ["product_key"], made_from=source)
+
+
+def load_sales(wh: Warehouse, run: Run) -> int:
+    """The facts, then the rollup over them."""
+    n = load_facts(wh, run)
+    refresh_rollup(wh, run)
+    return n
+
+
 FACT_COLS = [f.split(" ")[0] for f in FACT_SCHEMA.split(", ")]
 
 
@@ -567,7 +589,7 @@ def run_pipeline(wh: Warehouse, run: Run) -> Warehouse:
     _parallel(wh, [("stg_to_dwh_date_dimension", lambda: load_calendar(wh, run))]
               + [(f"stg_to_dwh_{k}", lambda k=k: load_dimension(wh, run, k))
                  for k in ("customers", "products")])
-    _logged(wh, "stg_to_dwh_sales", lambda: load_facts(wh, run))
+    _logged(wh, "stg_to_dwh_sales", lambda: load_sales(wh, run))
     _logged(wh, "update_high_water_mark", lambda: (advance_sales_mark(wh, run), 1)[1])
     # the run log as a warehouse table: one row per step of every run so far,
     # failed ones and procedures included

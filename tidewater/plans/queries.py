@@ -26,6 +26,7 @@ from tidewater.plans import monitoring as L
 from tidewater.plans.pipeline import SALES_ORDER, open_warehouse
 from tidewater.plans.procedures import refresh_customer_metrics
 from tidewater.plans.scenario import warehouse
+from tidewater.plans.sql_functions import register_functions
 from tidewater.sources import adapter as A
 from tidewater.sources.tables import read_table
 
@@ -300,6 +301,44 @@ def q_load_accepted(spark, sf_dir):
     return _guarded(spark, sf_dir).table("mrr_fact_sales").drop("loaded_at")
 
 
+def q_monthly_group_sales_table(spark, sf_dir):
+    """Monthly group sales from the rollup that both runs kept, read from a
+    reopened warehouse."""
+    wh = open_warehouse(spark, _wh(spark, sf_dir).store.root)
+    return M.monthly_group_sales_of(wh.store.read("dwh_monthly_sales"), wh.table("dwh_dim_products"),
+                                    wh.rows.get("dwh_dim_products"))
+
+
+def _sql(text: str):
+    """A query through the SQL functions; ``AS_OF``, ``START`` and ``END`` stand
+    for the fixed dates."""
+    def q(spark, sf_dir):
+        register_functions(_wh(spark, sf_dir))
+        day = {"AS_OF": C.AS_OF_DAY, "START": C.REPORT_START, "END": C.REPORT_END}
+        out = text
+        for name, value in day.items():
+            out = out.replace(name, f"DATE'{value}'")
+        return spark.sql(out)
+    return q
+
+
+#: Every key of a dimension, and one that nobody has.
+ALL_CUSTOMERS = "(SELECT DISTINCT customer_id FROM dwh_dim_customers UNION ALL SELECT -1)"
+ALL_PRODUCTS = "(SELECT DISTINCT product_id FROM dwh_dim_products UNION ALL SELECT -1)"
+SQL_QUERIES = {
+    "sql_avg_quantity": f"SELECT customer_id, fn_avg_quantity_per_customer(customer_id, START, END) AS avg_quantity "
+                        f"FROM {ALL_CUSTOMERS}",
+    "sql_velocity": f"SELECT product_id, fn_product_sales_velocity(product_id, {C.VELOCITY_DAYS}, AS_OF) AS velocity "
+                    f"FROM {ALL_PRODUCTS}",
+    "sql_lifetime_value": f"SELECT customer_id, fn_customer_lifetime_value(customer_id) AS lifetime_quantity "
+                          f"FROM {ALL_CUSTOMERS}",
+    "sql_recency": f"SELECT customer_id, fn_customer_recency(customer_id, AS_OF) AS days FROM {ALL_CUSTOMERS}",
+    "sql_growth": "SELECT y AS year, m AS month, fn_month_over_month_growth(y, m) AS growth_pct FROM "
+                  "(SELECT DISTINCT year AS y, month AS m FROM dwh_dim_date UNION ALL SELECT 1950, 1)",
+    "sql_top_customers": f"SELECT * FROM fn_top_customers({C.TOP_N}, START, END)",
+}
+
+
 LOGGED = ["mrr_to_stg_customers", "mrr_to_stg_products", "mrr_to_stg_sales",
           "stg_to_dwh_customers", "stg_to_dwh_date_dimension", "stg_to_dwh_products",
           "stg_to_dwh_sales"]
@@ -463,6 +502,8 @@ def registry() -> dict[str, Query]:
         "orphans": q_orphans,
         "broken_rules": q_broken_rules,
         "rejected_documents": q_rejected_documents,
+        **{name: _sql(text) for name, text in SQL_QUERIES.items()},
+        "monthly_group_sales_table": q_monthly_group_sales_table,
         "load_rejected": q_load_rejected,
         "load_accepted": q_load_accepted,
         "etl_run_log": q_etl_run_log,
