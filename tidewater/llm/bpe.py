@@ -21,7 +21,7 @@ which no arc leads on is never tried twice, and the time is linear.  Decoding em
 the arcs, joined as the tokenizer does.
 
 Text work runs in ``mapInArrow`` tasks, one batch of documents at a time; no
-shuffle, so no key can be hot.  Words seen before are remembered per worker, at
+shuffle, so no key can be hot.  Words seen before are remembered per task, at
 most ``REMEMBERED`` of them, which bounds memory and changes no result.
 
 Defined cases: null or empty text has no tokens and an empty decoded text;
@@ -44,7 +44,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidewater.llm.common import ship
+from tidewater.llm.common import ship, trimmed
 
 REMEMBERED = 120_000
 NEVER = 1 << 30
@@ -199,6 +199,12 @@ class Automaton:
             at = m.end()
         return b"".join(out + self._plain(text[at:]))
 
+    def forget(self) -> None:
+        """Drop the remembered words and arcs; the tables stay."""
+        self.seen.clear()
+        self.seen_words.clear()
+        self.arcs.clear()
+
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the decoded text."""
         return b" ".join(map(self.labels.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
@@ -243,6 +249,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(out[c], types[COLUMNS[c]]) for c in keep]],
                 names=[id_col, *keep])
+        a.forget()
 
-    return rows.mapInArrow(run, ", ".join(
+    return rows.mapInArrow(trimmed(run), ", ".join(
         [f"`{id_col}` {kind}", *[f"{c} {COLUMNS[c]}" for c in keep]]))

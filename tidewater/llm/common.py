@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,24 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def trimmed(run):
+    """A task function that hands its memory back to the system when it ends.
+
+    Spark reuses Python workers, and what a task freed stays with its process:
+    without this, idle workers of earlier stages add to an executor's memory.
+    """
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+    return task
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """The given table, only the named columns."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, ship
+from tidewater.llm.common import mix, ship, trimmed
 from tidewater.llm.minhash import word_hashes
 
 WINDOW, BLOCK_BYTES = 13, 8 << 20
@@ -177,4 +177,4 @@ def _scan_block(rows: DataFrame, index) -> DataFrame:
                     columns[c] = pa.array(old, many)
             yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(trimmed(run), rows.schema)

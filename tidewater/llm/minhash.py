@@ -56,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import LOWER_BYTES, mix, pinned, ship, shuffle_partitions
+from tidewater.llm.common import LOWER_BYTES, mix, pinned, ship, shuffle_partitions, trimmed
 from tidewater.operators.joins import broadcast_if_small
 
 CHUNKS, WIDTH, BITS = 10, 6, 16
@@ -300,7 +300,8 @@ def sets_of(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     ids = pinned(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     # up to the limit of a broadcast the texts stay where they are
-    return texts.join(broadcast_if_small(ids), "id", "left_semi").mapInArrow(run, "id long, set array<long>")
+    return texts.join(broadcast_if_small(ids), "id", "left_semi").mapInArrow(
+        trimmed(run), "id long, set array<long>")
 
 
 def links_of(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -485,7 +486,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     signed = pinned(rows.mapInArrow(
-        _signatures(words), "doc_id long, n_shingles long, k1 long, k2 long, keys binary, "
+        trimmed(_signatures(words)), "doc_id long, n_shingles long, k1 long, k2 long, keys binary, "
                             "s1 long, s2 long, s3 long, s4 long"))
     full = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     which = ["k1", "k2", "n_shingles"]

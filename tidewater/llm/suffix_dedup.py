@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, pinned, ship, shuffle_partitions
+from tidewater.llm.common import mix, pinned, ship, shuffle_partitions, trimmed
 
 SPAN, GRAM = 50, 12
 #: A window has this many bytes before its anchor, or after it.
@@ -526,7 +526,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def sorted_by(df: DataFrame, stages) -> DataFrame:
         local, reduce = stages
-        return (df.mapInArrow(local, SHAPE).repartition(sorts, "bucket").mapInArrow(reduce, SHAPE)
+        return (df.mapInArrow(trimmed(local), SHAPE).repartition(sorts, "bucket")
+                .mapInArrow(trimmed(reduce), SHAPE)
                 .select("kind", "doc_id", "th", "payload"))
 
     one = pinned(sorted_by(long_enough.select("text", "doc_id", th), _round_one(buckets)))
@@ -570,7 +571,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     types = dict(docs.dtypes)
     shape = ", ".join(["doc_id long", *[f"`{c}` {types[c]}" for c in carry], "n_bytes long", "kept binary",
                        "starts array<long>", "ends array<long>"])
-    out = joined.mapInArrow(cut, shape)
+    out = joined.mapInArrow(trimmed(cut), shape)
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 

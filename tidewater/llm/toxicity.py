@@ -41,7 +41,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ship
+from tidewater.llm.common import ship, trimmed
 from tidewater.llm.minhash import SEEDS, FACTORS, minima, shingles
 
 FIT_ROWS, FIT_CHARS = 2500, 20_000
@@ -331,7 +331,7 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
              pa.array(starts, many), pa.array(stops, many)],
             names=[*rest.schema.names, "score", "predicted", "starts", "ends"])
 
-    return rows.mapInArrow(run, f"{shape}, score double, predicted int, "
+    return rows.mapInArrow(trimmed(run), f"{shape}, score double, predicted int, "
                                 "starts array<long>, ends array<long>")
 
 
