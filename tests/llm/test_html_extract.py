@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import time
+
 from tests.llm.helpers import with_clashes
 from tidewater.llm.html_extract import blocks_of, extract
 
@@ -35,7 +38,8 @@ def test_repeats_on_a_host_go_and_unique_runs_stay(spark):
     rows = [(k, f"http://h.org/{k}", f"<body>{MENU}<div>unique text number {k} of its own page here</div>") for k in range(6)]
     rows += [(10, "http://other.org/", f"<body>{MENU}"), (11, None, None), (12, "x", ""), (13, "http://h.org/0", rows[0][2])]
     pages = with_clashes(spark.createDataFrame(rows, PAGE).repartition(3), "host", "keys", "page", "text")
-    want = {**{k: f"unique text number {k} of its own page here" for k in range(1, 6)}, 0: "", 13: "",
+    want = {**{k: f"unique text number {k} of its own page here" for k in range(6)},
+            13: "unique text number 0 of its own page here",
             10: "home news sport weather travel food culture opinion jobs", 11: "", 12: ""}
     got = extract(pages).collect()
     assert {r["page_id"]: r["text"] for r in got} == want
@@ -44,6 +48,71 @@ def test_repeats_on_a_host_go_and_unique_runs_stay(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, joined))
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    text = "one story without an article around it that two pages of this host tell alike"
+    rows = [(k, "http://h.org/", f"<div>{text}</div>") for k in range(2)]
+    rows += [(10 + k, "http://i.org/", f"<body>{MENU}<div>{text}</div><div>{MENU}</div>") for k in range(2)]
+    rows += [(20 + k, "http://i.org/", f"<body>{MENU}<div>page {k} says this and no other page does so</div>") for k in range(4)]
+    for limit in (1_000_000, 0):
+        got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, PAGE), limit).collect()}
+        assert got[0] == got[1] == text
+        assert got[10] == got[11] and text in got[10]
+
+
+def runs_brute(rows):
+    """Tokens of each page that lie in 12 or more tokens which another page of its host has."""
+    streams = {}
+    for k, url, page in rows:
+        out = ["|"]
+        for _, t in blocks_of(page):
+            out += [*t.lower().split(), "|"]
+        streams[k] = (url.split("/")[2], out)
+    seen: dict = {}
+    for k, (host, w) in streams.items():
+        for a in range(len(w) - 11):
+            seen.setdefault((host, *w[a:a + 12]), set()).add(k)
+    out = {}
+    for k, (host, w) in streams.items():
+        covered = {c for a in range(len(w) - 11) if len(seen[(host, *w[a:a + 12])]) > 1 for c in range(a, a + 12)}
+        out[k] = sum(w[c] != "|" for c in covered)
+    return out
+
+
+def test_repeated_runs_match_brute_force(spark):
+    rng = random.Random(6)
+    shared = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(5, 60))] for _ in range(12)] + [["a"] * 30]
+    rows = []
+    for k in range(60):
+        parts = [rng.choice(shared) if rng.random() < 0.5 else [f"u{rng.randrange(9999)}" for _ in range(rng.randrange(1, 30))]
+                 for _ in range(rng.randrange(1, 6))]
+        cut = [p[rng.randrange(len(p)):] if rng.random() < 0.3 else p for p in parts]
+        rows.append((k, f"http://h{k % 3 % 2}.org/{k}", "".join(f"<p>{' '.join(p)}</p>" for p in cut)))
+    want = runs_brute(rows)
+    for limit in (1_000_000, 0):
+        got = extract(spark.createDataFrame(rows, PAGE).repartition(4), limit).collect()
+        assert {r["page_id"]: r["n_repeated"] for r in got} == want
+    assert sum(v > 0 for v in want.values()) > 20
+
+
+def test_long_and_deep_pages_take_linear_time():
+    start = time.process_time()
+    assert blocks_of("<div>" * 100_000 + "x" + "</div>" * 100_000) == [("open", "x")]
+    text = "many words and a few more of them " * 150_000  # 5 MB
+    assert main_of(f"<article><p class=lead>{text}</p>{'<p>short' * 50_000}</article>").startswith(text.strip())
+    assert time.process_time() - start < 10
+
+
+def test_names_of_paragraphs_items_and_spans():
+    for part in ("<p class='advert'>no</p>", "<p class='newsletter'>no", "<ul class='share-buttons'><li>no</ul>",
+                 "<div class='related-links'>no</div>", "<ol class='commentlist'><li>no</ol>", "<p class='advert-text'>no</p>",
+                 "<ul><li class=ad>no<li class=promo>no</ul>", "<h3 class='related'>no</h3>"):
+        assert main_of(f"<article><p>story</p>{part}<p>end</article>") == "story\nend", part
+    assert main_of("<article><p>one <span class='ad'>no <span>no</span> no</span>two<p>three</article>") == "one two\nthree"
+    assert main_of("<article><p>one <span class='ad'>no<p>two</article>") == "one\ntwo"
+    assert main_of("<article><ul><li class='ad'><p>no</p>no<li>yes</ul><p class='lead'>end</article>") == "yes\nend"
+    assert main_of("<article><div class='ad-free'>story</div><p class='long-form-text'>end</article>") == "story\nend"
+
+
 def test_repeated_articles_stay(spark):
     page = f"<body>{MENU}<article><p>the same story told on two pages of one host, word for word</p></article>"
     rows = [(1, "http://h.org/1", page), (2, "http://h.org/2", page), (2, "http://h.org/2", page)]
