@@ -45,6 +45,21 @@ def test_a_hot_vector_keeps_its_smallest_ids(spark):
     assert got(search(spark.createDataFrame(rows, VECS).repartition(4), F.col("vec_id") % 50 == 0)) == want
 
 
+def test_vectors_of_each_length_are_searched(spark, monkeypatch):
+    monkeypatch.setattr(ann, "GROUP", 2)  # several groups a list
+    rng = np.random.default_rng(9)
+    rows = [(k, rng.normal(size=(8, 8, 2, 3)[k % 4]).astype("float32").tolist()) for k in range(400)]
+    rows += [(450, [1.0] * 9), (500, rows[0][1] + [1.0]), (501, [2.0] * 9)]
+    by_length: dict = {}
+    for r in rows:
+        by_length.setdefault(len(r[1]), []).append(r)
+    want = {q: x for part in by_length.values() for q, x in brute(part).items()}
+    assert len(want[450]) == 2 and {len(dict(rows)[q]) for q in want} == {8, 2, 9}
+    have = got(search(spark.createDataFrame(rows, VECS), F.col("vec_id") % 50 == 0))
+    assert {q: len(x) for q, x in have.items()} == {q: len(x) for q, x in want.items()}
+    assert recall(want, have) >= 0.95
+
+
 def test_fewer_candidates_and_empty_tables(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], VECS)
     assert got(search(df, F.col("vec_id") % 50 == 0)) == {0: [1]}

@@ -14,18 +14,20 @@
 4. A vector goes to its nearest list and, near a boundary, to up to
    ``COPIES - 1`` others within ``BOUNDARY`` times that distance, unless an
    already chosen centroid is closer to the new one than the vector is.
-5. A query takes the lists within ``PRUNE`` times its nearest centroid's
+5. Vectors of each length are indexed and searched on their own (one index per
+   length that occurs).  A query takes the lists within ``PRUNE`` times its nearest centroid's
    distance, at least ``LEAST`` and at most ``PROBES``, and further ones only
    until their rows are sure to hold ``keep`` candidates besides itself.  Lists
-   are cut into blocks of about ``BLOCK`` vectors, and queries into groups, so
-   no task gets a whole hot list.
+   are cut into blocks of about ``BLOCK`` vectors, and the queries that read a
+   list into groups of about ``GROUP``, so no task gets a whole hot list; a block
+   is copied once per group of its own list's queries.
 6. Each (block, query group) task scores its pairs in double precision and
    keeps the best per query; the few best per task meet in one aggregate.
 
 Every vector is indexed.  Scores are exact; only which candidates are seen is
 approximate.  Defined cases: ties go to the smaller id, fewer candidates give
-shorter answers, vectors of another length than the most common one take no
-part, rows repeated with one id count once, a query without a valid vector has
+shorter answers, only vectors of the query's length are its candidates, rows
+repeated with one id count once, a query without a valid vector has
 no rows, and an empty table gives none.
 """
 
@@ -173,13 +175,20 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id",
     every row that ``is_query`` selects."""
     spark = rows.sparkSession
     ship(spark)
-    empty = "query_id long, rank int, vec_id long, score double"
     kept = pinned(classes(rows, id_col, vec_col, keep))
-    dims = kept.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if dims is None:
-        return spark.createDataFrame([], empty)
-    kept = kept.filter(F.size("vec") == dims["d"])
-    n = dims["count"]
+    asked = vectors(rows.filter(is_query), id_col, vec_col)
+    # one row per length
+    sizes = kept.groupBy(F.size("vec").alias("d")).count().orderBy("d").collect()
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for r in sizes:
+        of_length = F.size("vec") == r["d"]
+        out = out.unionByName(_search(kept.filter(of_length), r["count"], asked.filter(of_length), keep))
+    return out
+
+
+def _search(kept: DataFrame, n: int, asked: DataFrame, keep: int) -> DataFrame:
+    """The answers to ``asked`` among the ``n`` classes, all of one length."""
+    spark = kept.sparkSession
     lists = int(min(MAX_LISTS, round(n ** 0.5)))
     sample = kept.orderBy(F.xxhash64(F.element_at("ids", 1)), F.element_at("ids", 1)).limit(SAMPLE)
     index = spark.sparkContext.broadcast(fit(_unit(sample.select("vec").toPandas()["vec"]), lists))
@@ -203,22 +212,20 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id",
     held = np.zeros(lists, dtype=np.int64)  # ids of each list; an id is in at most COPIES
     for r in sizes.select("list", "rows").collect():
         held[r["list"]] = r["rows"]
-    sizes = F.broadcast(sizes.select("list", "blocks"))
-    blocks = postings.join(sizes, "list").select(
-        "list", F.pmod(F.xxhash64("ids"), "blocks").cast("int").alias("block"), "vec", "ids")
 
     # the classes of the queries: one search serves all queries of a class
-    asked = vectors(rows.filter(is_query), id_col, vec_col).filter(F.size("vec") == dims["d"])
     distinct = pinned(asked.groupBy("vec").agg(F.min("id").alias("q")))
-    groups = max(1, -(-distinct.count() // GROUP))
-    wanted = (distinct.mapInPandas(probe, "vec array<double>, q long, list array<int>")
-              .withColumn("list", F.explode("list")).join(sizes, "list")
+    probes = pinned(distinct.mapInPandas(probe, "vec array<double>, q long, list array<int>")
+                    .withColumn("list", F.explode("list")))
+    # a list's blocks go to the groups of the queries that read it, and to no others
+    readers = probes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).cast("int").alias("groups"))
+    sizes = F.broadcast(sizes.select("list", "blocks").join(readers, "list"))
+    wanted = (probes.join(sizes, "list")
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("group", F.pmod(F.xxhash64("q"), F.lit(groups)).cast("int")))
-    if groups > 1:
-        blocks = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    else:
-        blocks = blocks.withColumn("group", F.lit(0))
+              .withColumn("group", F.pmod(F.xxhash64("q"), "groups").cast("int")))
+    blocks = postings.join(sizes, "list").select(
+        "list", F.pmod(F.xxhash64("ids"), "blocks").cast("int").alias("block"), "vec", "ids",
+        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"))
 
     def score(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out = []
