@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 from tests.llm.helpers import decontam_brute, documents, with_clashes, words
 from tidewater.llm import decontam
@@ -45,6 +46,31 @@ def test_any_two_substitutions_in_a_window_are_found(spark):
     assert not scan(documents(spark, three), spark.createDataFrame([(1, " ".join(item))], ITEM)).first()["contaminated"]
 
 
+def test_short_items(spark):
+    items = [(1, "the"), (2, "of the"), (3, "a b c"), (4, "one two three four five"), (5, "k l m n o p q r s t u v")]
+    docs = [(1, "the of the " * 3), (2, "a b c"), (3, "a x c"), (4, "one two x four five"), (5, "x two y four five"),
+            (6, "k x m n o y q r s t u v"), (7, "k x m n o y q z s t u v"), (8, "one two three four x")]
+    got = {r["doc_id"]: r["item_ids"] for r in scan(documents(spark, docs), spark.createDataFrame(items, ITEM)).collect()}
+    assert got == {1: [], 2: [3], 3: [], 4: [4], 5: [], 6: [5], 7: [], 8: [4]}
+
+
+def test_common_words_of_short_items_make_no_hits():
+    index = decontam.Index.build([1, 2, 3], [b"the", b"the of", b"the cat of"])
+    assert not list(index.hits(decontam.words_of(b"the of " * 50_000)))
+
+
+def test_repeated_items_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 200)
+    item = " ".join(words(20, 1))
+    bench = spark.createDataFrame([(7, item)] * 300, ITEM)
+    assert len(decontam.blocks_of(bench, "item_id", "text")) == 1
+    text = " ".join(words(1000, 2)) + " "
+    rows = [(1, text * 700 + item), (2, text * 100)]  # 5 MB
+    start = time.time()
+    got = {r["doc_id"]: r["item_ids"] for r in scan(documents(spark, rows), bench).collect()}
+    assert got == {1: [7], 2: []} and time.time() - start < 30
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 200)
     items = [(k, " ".join(words(20, k))) for k in range(12)]

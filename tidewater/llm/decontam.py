@@ -1,27 +1,32 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A document is contaminated by a benchmark item if ``WINDOW`` aligned words of
-the two (all words of a shorter item) differ in at most a fifth of the places.
+the two (all words of a shorter item, which has ``LEAST`` words or more) differ in
+at most a fifth of the places.
 
 1. Seeds are fixed masks over a window: the places whose number modulo 4 is
    one of two residues; the six masks ignore the other places.  Two
    substitutions leave two of the four residues untouched, so one mask always
-   hits.
+   hits.  Items of five to nine words may differ in one place: two masks, the even
+   and the odd places, suffice for them.  Shorter ones must be equal: one mask has
+   all places.  So each mask of each width selects two places or more.
 2. The masked hashes of all windows of the test items and of the documents are
    joined: an index of the test hashes goes to the tasks, which look up every
    window of whole texts.
 3. Around each hit the words are compared along the hit's diagonal, and every
    window within the allowed substitutions counts.  Only verified windows are
-   reported, so hash collisions cannot contaminate.
+   reported, so windows whose masked hashes collide cannot contaminate; words
+   are compared by their 64-bit hashes.
 
-The test index is bounded: items are dealt into blocks of about
+The test index is bounded: distinct items are dealt into blocks of about
 ``BLOCK_BYTES`` of text, whose sizes are counted first, and the documents are
 scanned once per block.  Documents are not shuffled for the scan, so a hot
 source or a passage in a third of all documents makes no task larger.
 
 Words are runs of ASCII letters and digits, A-Z lower-cased, and of other
-non-ASCII characters.  Defined cases: null and empty texts, and items without
-words, contaminate nothing and are never contaminated; rows that repeat a
+non-ASCII characters.  Defined cases: null and empty texts, and items of
+fewer than ``LEAST`` words (such words are in clean texts too), contaminate nothing
+and are never contaminated; rows that repeat a
 ``doc_id`` keep their rows; an empty benchmark leaves every document clean; an
 empty table gives no rows.  Columns other than the ids and texts are ignored.
 """
@@ -38,8 +43,9 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import mix, ship, trimmed
 from tidewater.llm.minhash import word_hashes
 
-WINDOW, BLOCK_BYTES = 13, 8 << 20
-RESIDUES = [(a, b) for a in range(4) for b in range(a + 1, 4)]
+WINDOW, LEAST, BLOCK_BYTES = 13, 3, 8 << 20
+#: Substitutions -> the residues modulo 4 that each mask selects.
+MASKS = {0: [(0, 1, 2, 3)], 1: [(0, 2), (1, 3)], 2: [(a, b) for a in range(4) for b in range(a + 1, 4)]}
 U = np.uint64
 SPACES = np.ones(256, dtype=bool)
 SPACES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -64,7 +70,7 @@ def seeds(words: np.ndarray, width: int) -> list[np.ndarray]:
         for k in range(residue, width, 4):
             h += words[k:k + max(n, 0)] * FACTORS[k]
         part.append(h)
-    return [mix(part[a] * U(3) + part[b] + U(8 * a + b)) for a, b in RESIDUES]
+    return [mix(sum((part[r] for r in mask), U(k))) for k, mask in enumerate(MASKS[allowed(width)])]
 
 
 @dataclass
@@ -80,11 +86,11 @@ class Index:
         words = [words_of(t) for t in texts]
         by_width: dict[int, list[int]] = {}
         for k, w in enumerate(words):
-            if len(w):
+            if len(w) >= LEAST:
                 by_width.setdefault(min(WINDOW, len(w)), []).append(k)
         tables = {}
         for width, items in by_width.items():
-            masks: list[list] = [[] for _ in RESIDUES]
+            masks: list[list] = [[] for _ in MASKS[allowed(width)]]
             for k in items:
                 for m, h in enumerate(seeds(words[k], width)):
                     masks[m].append((h, np.full(len(h), k), np.arange(len(h))))
@@ -133,7 +139,7 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFram
     """The benchmark in blocks of about ``BLOCK_BYTES`` of text."""
     items = benchmark.select(F.col(id_col).cast("long").alias("id"),
                              F.col(text_col).cast("binary").alias("text")).filter(
-        F.col("text").isNotNull() & F.col("id").isNotNull())
+        F.col("text").isNotNull() & F.col("id").isNotNull()).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES)
     return [items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) for k in range(n)]
