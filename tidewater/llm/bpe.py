@@ -37,7 +37,6 @@ import json
 import sys
 import unicodedata
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -199,22 +198,11 @@ class Automaton:
             at = m.end()
         return b"".join(out + self._plain(text[at:]))
 
-    def forget(self) -> None:
-        """Drop the remembered words and arcs; the tables stay."""
-        self.seen.clear()
-        self.seen_words.clear()
-        self.arcs.clear()
-
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the decoded text."""
         return b" ".join(map(self.labels.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def automaton(path: str) -> Automaton:
-    return Automaton(path)
-
-
 COLUMNS = {"n_tokens": "long", "ids": "binary", "decoded": "binary",
            "ids_sha256": "string", "decoded_sha256": "string"}
 
@@ -231,7 +219,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     kind = dict(rows.dtypes)[id_col]
 
     def run(batches):
-        a = automaton(path)
+        a = Automaton(path)  # ends with the task: workers outlive it
         for batch in batches:
             out: dict[str, list] = {c: [] for c in keep}
             for text in batch.column(1):
@@ -249,7 +237,6 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(out[c], types[COLUMNS[c]]) for c in keep]],
                 names=[id_col, *keep])
-        a.forget()
 
     return rows.mapInArrow(trimmed(run), ", ".join(
         [f"`{id_col}` {kind}", *[f"{c} {COLUMNS[c]}" for c in keep]]))

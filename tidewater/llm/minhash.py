@@ -271,9 +271,9 @@ def _star_merge(batches):
 def star_pairs(classes: DataFrame, parts: int) -> DataFrame:
     """(a, b, near): classes that share a key with the key's smallest one, or
     with the smallest of their task; whether their sketches are close."""
-    passed = classes.select("id", "keys", *SKETCH).mapInArrow(_star_local, STARS)
+    passed = classes.select("id", "keys", *SKETCH).mapInArrow(trimmed(_star_local), STARS)
     return (passed.repartition(parts, "key").sortWithinPartitions("key", "id")
-            .mapInArrow(_star_merge, PAIRS).groupBy("a", "b").agg(F.max("near").alias("near")))
+            .mapInArrow(trimmed(_star_merge), PAIRS).groupBy("a", "b").agg(F.max("near").alias("near")))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -444,8 +444,8 @@ def front_rows(diffs: DataFrame, percent: int) -> DataFrame:
     shared = rows.groupBy("hub", "shingle").agg(F.count("*").alias("n")).filter("n > 1")
     sets = (rows.join(shared, ["hub", "shingle"]).groupBy("id", "hub", "of_hub", "size", "diff")
             .agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).getField("shingle").alias("ranked")))
-    return sets.mapInArrow(_offered(percent), "hub long, shingle long, own long, partner long, id long, "
-                                              "size long, diff long, place long")
+    return sets.mapInArrow(trimmed(_offered(percent)), "hub long, shingle long, own long, partner long, "
+                                                       "id long, size long, diff long, place long")
 
 
 def rest_pairs(rows: DataFrame, comps: DataFrame, percent: int, texts: DataFrame, words: int) -> DataFrame:

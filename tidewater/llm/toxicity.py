@@ -289,9 +289,9 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
         for batch in batches:
             size = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist()
             lo, held = 0, 0
-            for k, n in enumerate(size):  # a few MB of text at a time
+            for k, n in enumerate(size):  # about a MB of text at a time
                 held += n
-                if held > 4 << 20 or k == len(size) - 1:
+                if held > 1 << 20 or k == len(size) - 1:
                     part = batch.slice(lo, k + 1 - lo)
                     yield one(part.select(names), [t or "" for t in part.column("text").to_pylist()], seen)
                     lo, held = k + 1, 0
