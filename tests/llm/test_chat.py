@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
+
+import pytest
 
 from tests.llm.helpers import with_clashes
 from tidewater.llm.chat import digests, format_turns, parse, parse_turn, render_turn, unescape
@@ -27,6 +30,17 @@ def test_plain_texts_are_not_escaped():
     assert parse_turn(render_turn("user", EXTRA_TEXT)[0])[1] == EXTRA_TEXT
 
 
+@pytest.mark.parametrize("part", ["plain text ", "\\", "# <", "a ### </turn> b\n"])
+def test_memory_of_long_texts_is_a_few_times_their_size(part):
+    text = part * (2_000_000 // len(part))
+    tracemalloc.start()
+    shown = render_turn("user", text)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert parse_turn(shown) == ("user", text, len(shown))
+    assert peak < 120 << 20
+
+
 def expect(turns):
     loss = "".join(t for r, t in turns if r == "assistant")
     return (len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(),

@@ -42,9 +42,11 @@ END = " </turn>\n"
 #: The role whose text carries the loss.
 LEARNED = "assistant"
 
+#: Every repetition is possessive, so the parser keeps no mark per character;
+#: the body runs up to the first control string, its last space included.
 TURN = re.compile(
-    r"### (?P<role>[A-Z][a-z]+|=(?:\\[\\#<:n]|[^\\#<:\n])*): "
-    r"(?P<body>(?:\\[\\#<:n]|(?!###|</turn>)[^\\]|\\(?![\\#<:n]))*) </turn>\n")
+    r"### (?P<role>[A-Z][a-z]+|=(?:[^\\#<:\n]++|\\[\\#<:n])*+): "
+    r"(?P<body>(?:[^\\#<]++|\\[\\#<:n]|\\|#(?!##)|<(?!/turn>))*+)</turn>\n")
 ESCAPED = re.compile(r"\\([\\#<:n])")
 
 
@@ -69,10 +71,10 @@ def shown_role(role: str) -> str:
 def parse_turn(s: str, at: int = 0) -> tuple[str, str, int] | None:
     """(role, text, end) of the turn that starts at ``at``; None if there is none."""
     m = TURN.match(s, at)
-    if m is None or (m["role"][0] != "=" and m["role"] not in FROM_SHOWN):
+    if m is None or m["body"][-1:] != " " or (m["role"][0] != "=" and m["role"] not in FROM_SHOWN):
         return None
     role = unescape(m["role"][1:]) if m["role"][0] == "=" else FROM_SHOWN[m["role"]]
-    return role, unescape(m["body"]), m.end()
+    return role, unescape(m["body"][:-1]), m.end()
 
 
 def parse(s: str) -> list[tuple[str, str]]:
