@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import day_of_week0, ntz, strip_all, upper_strip
@@ -30,12 +32,18 @@ def clean_products(mrr: DataFrame, batch_ts: str) -> DataFrame:
                             batch_ts)
 
 
-def stage_sales(mrr: DataFrame, batch_ts: str) -> DataFrame:
-    """stg_fact_sales rows: renamed columns and date parts (DOW 0 = Sunday)."""
+def date_parts(t: Column) -> list[Column]:
+    """The parts that staging derives from a sale's time (DOW 0 = Sunday)."""
+    return [F.year(t).alias("transaction_year"), F.month(t).alias("transaction_month"),
+            F.dayofmonth(t).alias("transaction_day"), F.quarter(t).alias("transaction_quarter"),
+            day_of_week0(t).alias("day_of_week")]
+
+
+def stage_sales(mrr: DataFrame, batch_ts: str, keep: Sequence[str] = ()) -> DataFrame:
+    """stg_fact_sales rows: renamed columns and date parts; ``keep`` names
+    columns that pass unchanged."""
     t = F.col("transaction_date")
     return mrr.select(
         F.col("id").alias("sale_id"), "customer_id", "product_id",
         F.col("qty").alias("quantity"), t.alias("transaction_date"),
-        F.year(t).alias("transaction_year"), F.month(t).alias("transaction_month"),
-        F.dayofmonth(t).alias("transaction_day"), F.quarter(t).alias("transaction_quarter"),
-        day_of_week0(t).alias("day_of_week"), ntz(batch_ts).alias("loaded_at"))
+        *date_parts(t), ntz(batch_ts).alias("loaded_at"), *keep)

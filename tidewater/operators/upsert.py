@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,7 +30,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str] | None = None,
            order_cols: Sequence[str] | None = None,
-           broadcast_batch: bool = False) -> DataFrame:
+           broadcast_batch: bool = False, matched: DataFrame | None = None,
+           cluster: Sequence[str] = ()) -> DataFrame:
     """Merge ``batch`` into ``target`` on ``keys``.
 
     ``update_cols=None`` replaces whole rows; otherwise only those columns
@@ -38,7 +39,11 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     Unmatched batch rows are inserted.  ``order_cols`` first reduces the batch
     to its latest row per key.  ``broadcast_batch`` (only when the caller
     has bounded the batch size) broadcasts the batch keys, so a large target
-    is scanned and filtered without being shuffled.
+    is scanned and filtered without being shuffled.  ``matched`` gives the keys
+    of the target rows that the batch replaces, where the caller has looked
+    them up.  ``cluster`` (whole rows only) names columns, alike in a matched
+    key and its target row, by which the result is to lie together: one shuffle
+    by them does for the merge and for that layout.
     """
     keys = list(keys)
     if order_cols:
@@ -46,7 +51,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     cols = target.columns
     batch = batch.select(*cols)
     if update_cols is None:
-        batch_keys = batch.select(*keys)
+        batch_keys = batch.select(*keys) if matched is None else matched
+        if cluster:
+            return merge_clustered(target, batch, batch_keys, keys, cluster, {}, drop=True).select(*cols)
+        batch_keys = batch_keys.select(*keys)
         if broadcast_batch:
             batch_keys = F.broadcast(batch_keys)
         return target.join(batch_keys, keys, "left_anti").unionByName(batch)
@@ -65,6 +73,32 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     return j.select(*out)
 
 
+def merge_clustered(target: DataFrame, fresh: DataFrame | None, changes: DataFrame, keys: Sequence[str],
+                    cluster: Sequence[str], update: dict[str, str], drop: bool = False) -> DataFrame:
+    """``target`` with ``changes`` applied, and the ``fresh`` rows, in one shuffle.
+
+    A change names a target row by ``keys`` and ``cluster``: the row goes
+    (``drop``) or its columns take the change's (``update``: column -> column of
+    the change).  All rows are moved by ``cluster`` once and stay there; keys
+    are matched inside, so a null key matches nothing.
+    """
+    kind, cols = F.col("_kind"), target.columns
+    rows = target.withColumn("_kind", F.lit(0))
+    if fresh is not None:
+        rows = rows.unionByName(fresh.select(*cols).withColumn("_kind", F.lit(1)))
+    named = list(dict.fromkeys([*cluster, *keys]))
+    changes = changes.dropna(subset=list(keys)).select(
+        *named, *[F.col(c).alias(f"_new_{i}") for i, c in enumerate(update.values())], F.lit(2).alias("_kind"))
+    w = Window.partitionBy(*named)
+    rows = rows.unionByName(changes, allowMissingColumns=True).repartition(*cluster)
+    rows = rows.withColumns({"_hit": F.max(kind).over(w) == 2,
+                             **{f"_set_{i}": F.max(f"_new_{i}").over(w) for i in range(len(update))}})
+    hit = (kind == 0) & F.col("_hit")
+    rows = rows.filter((kind < 2) & ~hit if drop else kind < 2)
+    values = {c: F.when(hit, F.col(f"_set_{i}")).otherwise(F.col(c)) for i, c in enumerate(update)}
+    return rows.select(*[values[c].alias(c) if c in values else F.col(c) for c in cols])
+
+
 def update_matched(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                    update_cols: Sequence[str]) -> DataFrame:
     """Only the ``DO UPDATE`` half: matched target rows take ``update_cols``."""

@@ -13,6 +13,7 @@ and the point-in-time join still join fact rows.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -223,9 +224,11 @@ def monthly_group_sales(fact: DataFrame, products: DataFrame,
             .agg(F.sum("_q").alias("total_quantity")))
 
 
-def product_months(fact: DataFrame) -> DataFrame:
-    """Sums per product version and day's month: the rollup that runs keep."""
-    return fact.groupBy("month_key", "product_key").agg(
+def product_months(fact: DataFrame, cluster: Sequence[str] = ()) -> DataFrame:
+    """Sums per product version and day's month: the rollup that runs keep.
+    ``cluster`` names columns, functions of the product, by which (and the
+    month) the rows lie together already."""
+    return fact.groupBy("month_key", *cluster, "product_key").agg(
         F.sum("quantity").alias("total_quantity"), F.count(F.lit(1)).alias("transaction_count"))
 
 

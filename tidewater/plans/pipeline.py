@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from tidewater import config as C
 from tidewater.functions import date_key, ntz
 from tidewater.operators.calendar import CALENDAR_COLS, calendar, run_window
-from tidewater.operators.cleaning import clean_customers, clean_products, stage_sales
+from tidewater.operators.cleaning import clean_customers, clean_products, date_parts, stage_sales
 from tidewater.operators.joins import broadcast_if_small, max_broadcast_rows
-from tidewater.operators.keys import assign_keys, next_key
+from tidewater.operators.keys import ROWS_PER_PARTITION, assign_keys, next_key
 from tidewater.operators.marks import extract_delta, initial_marks, read_marks, write_mark
 from tidewater.operators.quality import apply_rules, load_rules, tagged
 from tidewater.operators.runlog import RunLog
 from tidewater.operators.scd2 import empty_dimension, scd2_merge
-from tidewater.operators.upsert import latest_per_key, new_rows, upsert
+from tidewater.operators.upsert import latest_per_key, merge_clustered, new_rows, upsert
 from tidewater.plans.metrics import product_months
 from tidewater.session import shared_root
 from tidewater.sources.commits import Conflict
@@ -134,9 +134,10 @@ class Warehouse:
         return df.drop(MONTH_KEY)
 
     def write_months(self, run: Run, name: str, df: DataFrame, touched: set, key: str,
-                     sort: list[str], **more) -> None:
+                     sort: list[str], clustered: bool = False, finish=None, **more) -> None:
         """Write the touched months of a table in month folders."""
-        parts = self.store.write_parts(name, month_layout(df, sort), MONTH_KEY, touched, key, **more)
+        rows = month_layout(df, sort, clustered, finish)
+        parts = self.store.write_parts(name, rows, MONTH_KEY, touched, key, **more)
         self.rows[name] = parts.rows
         self.runs.setdefault(run.number, {"versions": {}, "marks": {}})
         self.runs[run.number]["versions"][name] = self.store.versions[name]
@@ -304,27 +305,55 @@ def merge_months(wh: Warehouse, run: Run, name: str, batch: DataFrame, low: int,
 
     Touched are the batch's months and those in which its ids were stored
     before: a sale that moved leaves one month and enters another.  Only the id
-    column of months whose id range meets the batch is searched for them.
+    column of months whose id range meets the batch is searched for them.  The
+    stored rows found there are pinned (id and month); up to the broadcast limit
+    they filter the stored months in place, beyond it one shuffle by month does
+    for the merge and for the layout.
     """
     batch = with_month(batch)
-    touched = months_of(batch)
-    target = None
-    if wh.store.has(name):
-        ids = batch.select("id")
-        held = wh.store.read(name, only=wh.store.parts(name).holding(low, high)).select("id", MONTH_KEY)
-        touched |= months_of(held.join(F.broadcast(ids) if small else ids, "id", "left_semi"))
-        target = wh.store.read(name, only=touched)
-    merged = batch if target is None else upsert(target, batch, ["id"], broadcast_batch=small)
-    wh.write_months(run, name, merged, touched, "id", ["transaction_date", "id"])
+    rows = month_rows(batch)
+    touched = set(rows)
+    if not wh.store.has(name):
+        wh.write_months(run, name, batch, touched, "id", ["transaction_date", "id"])
+        return
+    ids, stored = batch.select("id"), wh.store.parts(name)
+    held = wh.store.read(name, only=stored.holding(low, high)).select("id", MONTH_KEY)
+    matched = held.join(F.broadcast(ids) if small else ids, "id", "left_semi").checkpoint(eager=True)
+    found = month_rows(matched)
+    touched |= set(found)
+    target = wh.store.read(name, only=touched)
+    clustered = sum(found.values()) > max_broadcast_rows(batch)
+    if clustered:
+        salts = month_salts(stored, rows)
+        merged = upsert(salted(target, "id", salts), salted(batch, "id", salts), ["id"],
+                        matched=salted(matched, "id", salts), cluster=[MONTH_KEY, SALT]).drop(SALT)
+    else:
+        merged = upsert(target, batch, ["id"], broadcast_batch=True, matched=matched)
+    wh.write_months(run, name, merged, touched, "id", ["transaction_date", "id"], clustered=clustered)
 
 
 def with_month(df: DataFrame, at: str = "transaction_date") -> DataFrame:
     return df.withColumn(MONTH_KEY, (F.year(at) * 100 + F.month(at)).cast("int"))
 
 
-def months_of(df: DataFrame) -> set:
-    """The months of a frame's rows; the calendar bounds how many there are."""
-    return {r[MONTH_KEY] for r in df.select(MONTH_KEY).distinct().collect()}
+def month_rows(df: DataFrame) -> dict:
+    """Rows by month; the calendar bounds how many months there are."""
+    return {r[MONTH_KEY]: r["n"] for r in df.groupBy(MONTH_KEY).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+SALT = "_salt"
+
+
+def month_salts(stored, rows: dict) -> int:
+    """Into how many pieces a month is cut, so that none of the largest month's
+    exceeds ``ROWS_PER_PARTITION`` by much."""
+    most = max((n + (stored.parts[m].rows if m in stored.parts else 0)
+                for m, n in {**dict.fromkeys(stored.parts, 0), **rows}.items()), default=0)
+    return max(1, -(-most // ROWS_PER_PARTITION))
+
+
+def salted(df: DataFrame, key: str, salts: int) -> DataFrame:
+    return df.withColumn(SALT, F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
 
 
 STAGE_DIMS = {
@@ -350,7 +379,8 @@ def stage_sales_table(wh: Warehouse, run: Run) -> int:
 
     Every run stages the whole mirror, so all rows carry this run's
     ``loaded_at``: it is kept once for the version, and months whose mirror is
-    unchanged keep their files.
+    unchanged keep their files.  The mirror's files hold one month each, so no
+    row has to move: a task stages the files that it reads.
     """
     name = "stg_fact_sales"
     mirror = wh.store.parts("mrr_fact_sales") if wh.store.has("mrr_fact_sales") else None
@@ -358,14 +388,33 @@ def stage_sales_table(wh: Warehouse, run: Run) -> int:
     mine = wh.store.parts(name).parts if wh.store.has(name) else {}
     touched = {m for m in source.keys() | mine.keys()
                if m not in mine or mine[m].made_from != source.get(m)}
-    rows = (wh.store.read("mrr_fact_sales", only=touched) if mirror
-            else with_month(wh.empty(MRR_SCHEMAS["mrr_fact_sales"])))
-    staged = stage_sales(rows, run.batch_ts).withColumn("loaded_at", F.lit(None).cast("timestamp_ntz"))
-    wh.write_months(run, name, with_month(staged), touched, "sale_id", ["transaction_date", "sale_id"],
+    rows = read_months(wh, "mrr_fact_sales", touched) if mirror else with_month(wh.empty(MRR_SCHEMAS["mrr_fact_sales"]))
+    wh.write_months(run, name, rows.drop("loaded_at"), touched, "sale_id", ["transaction_date", "id"], clustered=True,
+                    finish=lambda df: stage_sales(df, run.batch_ts, keep=[MONTH_KEY]).withColumn(
+                        "loaded_at", F.lit(None).cast("timestamp_ntz")),
                     made_from=source, constants={"loaded_at": run.batch_ts})
     return wh.rows.get("mrr_fact_sales", 0)
 
 
+def read_months(wh: Warehouse, name: str, only: set) -> DataFrame:
+    """Stored months, read in groups: Spark divides what one read covers among
+    the cores, so the rows of a task stay near ``ROWS_PER_PARTITION`` however
+    large the table is."""
+    parts = wh.store.parts(name).parts
+    most = ROWS_PER_PARTITION * wh.spark.sparkContext.defaultParallelism
+    groups, size = [set()], 0
+    for m in sorted(only & parts.keys(), key=lambda m: (m is not None, m)):
+        if groups[-1] and size + parts[m].rows > most:
+            groups.append(set())
+            size = 0
+        groups[-1].add(m)
+        size += parts[m].rows
+    out = wh.store.read(name, only=groups[0])
+    for g in groups[1:]:
+        out = out.unionByName(wh.store.read(name, only=g))
+    return out
+
+
 # --------------------------------------------------------------------------- warehouse
 def load_calendar(wh: Warehouse, run: Run, start: dt.date | None = None,
                   end: dt.date | None = None) -> int:
@@ -415,7 +464,8 @@ def load_facts(wh: Warehouse, run: Run) -> int:
     only in ``loaded_at``, kept once for the version.  A known sale that now
     lacks its customer or product keeps the ``loaded_at`` it had, in its row.
     One job joins the sales with the current keys and the stored facts and pins
-    the result; months without a change keep their files.
+    the result; months without a change keep their files.  What derives from a
+    sale's time is left out of every shuffle and made again where rows are written.
     """
     name = "dwh_fact_sales"
     staged = wh.store.parts("stg_fact_sales")
@@ -424,7 +474,7 @@ def load_facts(wh: Warehouse, run: Run) -> int:
     seen = stored.state["staged"] if stored else {}
     anew = {m for m, p in staged.parts.items() if seen.get(str(m)) != p.folder}
     gone = {m for m in seen if m not in source}
-    sales = wh.store.read("stg_fact_sales", only=anew).drop("loaded_at")
+    sales = wh.store.read("stg_fact_sales", only=anew).select(*SALE_COLS)
     if wh.store.has(SKIPPED):
         again = wh.table(SKIPPED)
         if anew or gone:
@@ -435,45 +485,55 @@ def load_facts(wh: Warehouse, run: Run) -> int:
 
     pinned, counts = looked_up(wh, sales, stored)
     skipped = pinned.filter("NOT found")
-    wh.write(run, SKIPPED, skipped.select(*sales.columns))
-    null_ts = F.lit(None).cast("timestamp_ntz")
-    fresh = (pinned.filter("found AND NOT known").select(
-        F.col("sale_id").alias("original_sale_id"), "customer_key", "product_key",
-        date_key(F.col("transaction_date")).alias("date_key"), "quantity",
-        F.to_date("transaction_date").alias("day"), F.col("transaction_date").alias("transaction_timestamp"),
-        null_ts.alias("loaded_at"), MONTH_KEY).withColumnRenamed("day", "transaction_date"))
-    touched = months_of(fresh) if counts["fresh"] else set()
+    wh.write(run, SKIPPED, with_month(skipped.select(*SALE_COLS, *date_parts(F.col("transaction_date")))))
+    fresh = pinned.filter("found AND NOT known").select(
+        F.col("sale_id").alias("original_sale_id"), "customer_key", "product_key", "quantity",
+        F.col("transaction_date").alias("transaction_timestamp"))
+    rows = month_rows(with_month(fresh, "transaction_timestamp")) if counts["fresh"] else {}
+    touched = set(rows)
     start = wh.next_key(name, "sale_key")
     merged = None
     if counts["fresh"] or stored is None:
         merged = assign_keys(fresh, "sale_key", ["original_sale_id"], start=start,
                              rows_bound=counts["fresh"], pin_input=False)
+        merged = with_month(merged.withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")),
+                            "transaction_timestamp").select(*MOVED_COLS)
     if counts["changed"]:
         change = pinned.filter("changed").select(
             F.col("sale_id").alias("original_sale_id"), F.lit(True).alias("hit"),
             F.when(F.col("found"), F.col("quantity")).otherwise(F.col("old_quantity")).alias("new_quantity"),
             F.when(~F.col("found"), F.lit(stored.constants["loaded_at"]).cast("timestamp_ntz")).alias("new_at"),
             F.col("fact_month").alias(MONTH_KEY))
-        touched |= months_of(change)
+        touched |= set(month_rows(change))
+    clustered = False
     if stored is not None and touched:
-        kept = wh.store.read(name, only=touched, raw=True)
-        if counts["changed"]:
-            change = change.drop(MONTH_KEY)
-            kept = (kept.join(broadcast_if_small(change, counts["changed"]), "original_sale_id", "left")
-                    .withColumn("quantity", F.when(F.col("hit"), F.col("new_quantity")).otherwise(F.col("quantity")))
-                    .withColumn("loaded_at", F.when(F.col("hit"), F.col("new_at")).otherwise(F.col("loaded_at"))))
-        kept = kept.select(*FACT_COLS, MONTH_KEY)
-        merged = kept if merged is None else kept.unionByName(merged.select(kept.columns))
+        kept = wh.store.read(name, only=touched, raw=True).select(*MOVED_COLS)
+        clustered = counts["changed"] > max_broadcast_rows(kept)
+        if clustered:  # one shuffle by month does for the update and for the layout
+            salts = month_salts(stored, rows)
+            parts = [salted(df, "original_sale_id", salts) if df is not None else None for df in (kept, merged, change)]
+            merged = merge_clustered(*parts, ["original_sale_id"], [MONTH_KEY, SALT],
+                                     {"quantity": "new_quantity", "loaded_at": "new_at"}).drop(SALT)
+        else:
+            if counts["changed"]:
+                change = F.broadcast(change.drop(MONTH_KEY))
+                kept = (kept.join(change, "original_sale_id", "left")
+                        .withColumn("quantity", F.when(F.col("hit"), F.col("new_quantity")).otherwise(F.col("quantity")))
+                        .withColumn("loaded_at", F.when(F.col("hit"), F.col("new_at")).otherwise(F.col("loaded_at"))))
+            kept = kept.select(*MOVED_COLS)
+            merged = kept if merged is None else kept.unionByName(merged)
     if merged is None:  # nothing changed but the time of loading
-        merged = with_month(wh.empty(FACT_SCHEMA))
-    wh.write_months(run, name, merged.select(*FACT_COLS, MONTH_KEY), touched, "original_sale_id",
-                    ["transaction_date", "original_sale_id"], latest="transaction_timestamp",
+        merged = with_month(wh.empty(FACT_SCHEMA)).select(*MOVED_COLS)
+    wh.write_months(run, name, merged, touched, "original_sale_id", ["transaction_timestamp", "original_sale_id"],
+                    clustered=clustered, finish=with_days, latest="transaction_timestamp",
                     constants={"loaded_at": run.batch_ts}, state={"staged": source})
     wh.max_keys[name] = start + counts["fresh"]
     return wh.rows.get("stg_fact_sales") or 0  # processed: every staged sale, skipped ones included
 
 
 ROLLUP = "dwh_monthly_sales"
+#: Sales per product and month up to which they are moved as they are.
+FEW_SALES = 4
 
 
 def refresh_rollup(wh: Warehouse, run: Run) -> None:
@@ -482,9 +542,17 @@ def refresh_rollup(wh: Warehouse, run: Run) -> None:
     source = {m: p.folder for m, p in wh.store.parts("dwh_fact_sales").parts.items()}
     mine = wh.store.parts(ROLLUP).parts if wh.store.has(ROLLUP) else {}
     touched = {m for m in source.keys() | mine.keys() if m not in mine or mine[m].made_from != source.get(m)}
-    rows = product_months(wh.store.read("dwh_fact_sales", only=touched, raw=True))
+    facts = wh.store.read("dwh_fact_sales", only=touched, raw=True).select(MONTH_KEY, "product_key", "quantity")
+    # few sales per product and month: summing them before a shuffle saves little,
+    # so they are moved by month at once; else the sums are moved, twice
+    stored = wh.store.parts("dwh_fact_sales")
+    sales = sum(p.rows for m, p in stored.parts.items() if m in touched)
+    clustered = sales < FEW_SALES * len(touched) * wh.rows.get("dwh_dim_products", 0)
+    if clustered:
+        facts = salted(facts, "product_key", month_salts(stored, {})).repartition(MONTH_KEY, SALT)
+    rows = product_months(facts, [SALT] if clustered else [])
     wh.write_months(run, ROLLUP, rows.select("product_key", "total_quantity", "transaction_count", MONTH_KEY),
-                    touched, "product_key", ["product_key"], made_from=source)
+                    touched, "product_key", ["product_key"], clustered=clustered, made_from=source)
 
 
 def load_sales(wh: Warehouse, run: Run) -> int:
@@ -495,6 +563,14 @@ def load_sales(wh: Warehouse, run: Run) -> int:
 
 
 FACT_COLS = [f.split(" ")[0] for f in FACT_SCHEMA.split(", ")]
+#: What facts are moved with; ``with_days`` gives the other columns back.
+MOVED_COLS = [c for c in FACT_COLS if c not in ("date_key", "transaction_date")] + [MONTH_KEY]
+SALE_COLS = ["sale_id", "customer_id", "product_id", "quantity", "transaction_date"]
+
+
+def with_days(facts: DataFrame) -> DataFrame:
+    at = F.col("transaction_timestamp")
+    return facts.withColumns({"date_key": date_key(at), "transaction_date": F.to_date(at)}).select(*FACT_COLS, MONTH_KEY)
 
 
 def looked_up(wh: Warehouse, sales: DataFrame, stored) -> tuple[DataFrame, dict]:
@@ -502,7 +578,9 @@ def looked_up(wh: Warehouse, sales: DataFrame, stored) -> tuple[DataFrame, dict]
     fact has of them (``known``, ``changed``), pinned and counted in one job."""
     keyed = (sales.join(current_keys(wh, "customers"), "customer_id", "left")
              .join(current_keys(wh, "products"), "product_id", "left")
-             .withColumn("found", F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()))
+             .withColumn("found", F.col("customer_key").isNotNull() & F.col("product_key").isNotNull())
+             # only a skipped sale is asked for these again
+             .withColumns({c: F.when(~F.col("found"), F.col(c)) for c in ("customer_id", "product_id")}))
     if stored is None:
         keyed = keyed.withColumns({"known": F.lit(False), "changed": F.lit(False)})
     else:
@@ -514,23 +592,27 @@ def looked_up(wh: Warehouse, sales: DataFrame, stored) -> tuple[DataFrame, dict]
         keyed = keyed.join(facts, "sale_id", "left").withColumn("known", known).withColumn(
             "changed", known & F.when(F.col("found"), F.col("old_at").isNotNull()
                                       | (~F.col("quantity").eqNullSafe(F.col("old_quantity"))))
-            .otherwise(F.col("old_at").isNull()))
+            .otherwise(F.col("old_at").isNull())).drop("held", "old_at")
     obs = Observation(f"lookup_{uuid.uuid4().hex[:8]}")
     pinned = keyed.observe(obs, F.sum((F.col("found") & ~F.col("known")).cast("long")).alias("fresh"),
                            F.sum(F.col("changed").cast("long")).alias("changed")).checkpoint(eager=True)
     return pinned, {k: int(v or 0) for k, v in obs.get.items()}
 
 
-def month_layout(df: DataFrame, sort: list[str]) -> DataFrame:
+def month_layout(df: DataFrame, sort: list[str], clustered: bool = False, finish=None) -> DataFrame:
     """Shape a table for month folders.
 
     ``rebalance`` on the month lets AQE size the write partitions from the
     measured shuffle (advisory partition size) and split a hot month into
     several tasks, without the sampling pass a range repartition costs; rows
     are sorted inside each task so Parquet row groups carry tight statistics
-    for row-group skipping.
+    for row-group skipping.  Rows that lie together by month already
+    (``clustered``) are sorted where they are; ``finish`` adds columns after that.
     """
-    return df.hint("rebalance", MONTH_KEY).sortWithinPartitions(MONTH_KEY, *sort)
+    if not clustered:
+        df = df.hint("rebalance", MONTH_KEY)
+    df = df.sortWithinPartitions(MONTH_KEY, *sort)
+    return finish(df) if finish else df
 
 
 def fact_layout(fact: DataFrame) -> DataFrame:

@@ -44,6 +44,7 @@ MANIFEST_SCHEMA = ("run int, table_name string, version int, path string, rows l
 PART_SCHEMA = ("part int, folder string, rows long, min_key long, max_key long, latest string, "
                "made_from string, schema string, constants string, state string")
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # the folder name of a null
+CODEC = "zstd"  # of the files, whatever the session's default
 
 
 @dataclass
@@ -103,7 +104,7 @@ class LayerStore:
         """Write ``df`` as the next version of ``name``; return the new table."""
         version = self.versions.get(name, 0) + 1
         path = f"{self.root}/{name}/v{version:04d}-{self.token}"
-        writer = df.write.mode("errorifexists")
+        writer = df.write.mode("errorifexists").option("compression", CODEC)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
@@ -170,7 +171,7 @@ class LayerStore:
                     dict(constants or {}), dict(state or {}))
         if touched:
             path = f"{self.root}/{name}/v={tag}"
-            df.write.mode("errorifexists").partitionBy(column).parquet(path)
+            df.write.mode("errorifexists").option("compression", CODEC).partitionBy(column).parquet(path)
             # two columns of the rows just written; one row per part comes back
             written = self.spark.read.schema(StructType.fromJson(new.schema.jsonValue()).add(column, IntegerType()))
             for r in (written.parquet(path).groupBy(column).agg(
