@@ -53,7 +53,12 @@ def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence[str], start: i
     if pin_input:
         df = df.checkpoint(eager=True)
     ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    pinned = ordered.checkpoint(eager=True)
+    return number_rows(ordered.checkpoint(eager=True), key_col, start)
+
+
+def number_rows(pinned: DataFrame, key_col: str, start: int = 0) -> DataFrame:
+    """Add ``key_col`` = start + row number to rows that lie in order already,
+    within their partitions and from one to the next, and are pinned so."""
     tagged = (pinned.withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -62,4 +67,4 @@ def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence[str], start: i
     within = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     keyed = tagged.join(F.broadcast(offsets), "_pid").withColumn(
         key_col, (F.lit(start) + F.col("_off") + within + 1).cast("long"))
-    return keyed.select(key_col, *df.columns)
+    return keyed.select(key_col, *pinned.columns)

@@ -15,7 +15,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater import config as C
@@ -23,7 +23,7 @@ from tidewater.functions import date_key, ntz
 from tidewater.operators.calendar import CALENDAR_COLS, calendar, run_window
 from tidewater.operators.cleaning import clean_customers, clean_products, date_parts, stage_sales
 from tidewater.operators.joins import broadcast_if_small, max_broadcast_rows
-from tidewater.operators.keys import ROWS_PER_PARTITION, assign_keys, next_key
+from tidewater.operators.keys import ROWS_PER_PARTITION, assign_keys, next_key, number_rows, partitions_for
 from tidewater.operators.marks import extract_delta, initial_marks, read_marks, write_mark
 from tidewater.operators.quality import apply_rules, load_rules, tagged
 from tidewater.operators.runlog import RunLog
@@ -63,6 +63,9 @@ CALENDAR_SCHEMA = ("date_key int, date date, year int, quarter int, month int, "
 # months it touches, and date ranges prune folders.
 MONTH_KEY = "month_key"
 PARTITION_COLS = {t: [MONTH_KEY] for t in ("mrr_fact_sales", "stg_fact_sales", "dwh_fact_sales")}
+# When a staged sale last entered the mirror: kept in the files of staging only.
+MIRRORED = "mirrored_at"
+HIDDEN_COLS = {**PARTITION_COLS, "stg_fact_sales": [MONTH_KEY, MIRRORED]}
 # Staged sales whose customer or product was unknown when last looked up.
 SKIPPED = "stg_skipped_sales"
 
@@ -118,7 +121,7 @@ class Warehouse:
         return self._frames[key]
 
     def table(self, name: str, run: int | None = None) -> DataFrame:
-        return self._read(name, run).drop(*PARTITION_COLS.get(name, []))
+        return self._read(name, run).drop(*HIDDEN_COLS.get(name, []))
 
     def facts_between(self, start: dt.date | None, end: dt.date | None,
                       run: int | None = None) -> DataFrame:
@@ -133,10 +136,11 @@ class Warehouse:
                            & (F.col("transaction_date") <= F.lit(end)))
         return df.drop(MONTH_KEY)
 
-    def write_months(self, run: Run, name: str, df: DataFrame, touched: set, key: str,
-                     sort: list[str], clustered: bool = False, finish=None, **more) -> None:
+    def write_months(self, run: Run, name: str, df: DataFrame | None, touched: set, key: str,
+                     sort: list[str], clustered: bool = False, finish=None, placed: DataFrame | None = None,
+                     **more) -> None:
         """Write the touched months of a table in month folders."""
-        rows = month_layout(df, sort, clustered, finish)
+        rows = month_layout(df, sort, clustered, finish, placed)
         parts = self.store.write_parts(name, rows, MONTH_KEY, touched, key, **more)
         self.rows[name] = parts.rows
         self.runs.setdefault(run.number, {"versions": {}, "marks": {}})
@@ -308,13 +312,17 @@ def merge_months(wh: Warehouse, run: Run, name: str, batch: DataFrame, low: int,
     column of months whose id range meets the batch is searched for them.  The
     stored rows found there are pinned (id and month); up to the broadcast limit
     they filter the stored months in place, beyond it one shuffle by month does
-    for the merge and for the layout.
+    for the merge and for the layout.  The rows of a large batch are written where
+    they are (:func:`tasks_in_place`).
     """
     batch = with_month(batch)
     rows = month_rows(batch)
     touched = set(rows)
+    tasks = tasks_in_place(wh.spark, rows)
+    more = {"sort": ["transaction_date", "id"], "state": {"batches": batches(wh, name, run)}}
     if not wh.store.has(name):
-        wh.write_months(run, name, batch, touched, "id", ["transaction_date", "id"])
+        moved, placed = (None, batch.coalesce(tasks)) if tasks else (batch, None)
+        wh.write_months(run, name, moved, touched, "id", placed=placed, **more)
         return
     ids, stored = batch.select("id"), wh.store.parts(name)
     held = wh.store.read(name, only=stored.holding(low, high)).select("id", MONTH_KEY)
@@ -323,13 +331,26 @@ def merge_months(wh: Warehouse, run: Run, name: str, batch: DataFrame, low: int,
     touched |= set(found)
     target = wh.store.read(name, only=touched)
     clustered = sum(found.values()) > max_broadcast_rows(batch)
+    moved, placed = (batch.limit(0), batch.coalesce(tasks)) if tasks else (batch, None)
     if clustered:
         salts = month_salts(stored, rows)
-        merged = upsert(salted(target, "id", salts), salted(batch, "id", salts), ["id"],
+        merged = upsert(salted(target, "id", salts), salted(moved, "id", salts), ["id"],
                         matched=salted(matched, "id", salts), cluster=[MONTH_KEY, SALT]).drop(SALT)
     else:
-        merged = upsert(target, batch, ["id"], broadcast_batch=True, matched=matched)
-    wh.write_months(run, name, merged, touched, "id", ["transaction_date", "id"], clustered=clustered)
+        merged = upsert(target, moved, ["id"], broadcast_batch=True, matched=matched)
+    wh.write_months(run, name, merged, touched, "id", clustered=clustered, placed=placed, **more)
+
+
+def batches(wh: Warehouse, mirror: str, run: Run) -> dict | None:
+    """The batches in the mirror, this one included, that the facts may not have
+    seen: a name of its own for each, and its time.  None if a mirror of before
+    has not kept them."""
+    stored = wh.store.parts(mirror).state.get("batches") if wh.store.has(mirror) else {}
+    if stored is None:
+        return None
+    facts = wh.store.parts("dwh_fact_sales").state if wh.store.has("dwh_fact_sales") else {}
+    seen = facts.get("batches") or []
+    return {**{b: at for b, at in stored.items() if b not in seen}, uuid.uuid4().hex[:12]: run.batch_ts}
 
 
 def with_month(df: DataFrame, at: str = "transaction_date") -> DataFrame:
@@ -341,6 +362,19 @@ def month_rows(df: DataFrame) -> dict:
     return {r[MONTH_KEY]: r["n"] for r in df.groupBy(MONTH_KEY).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+#: Rows that a task writes to each month on average, before new rows are written
+#: by the tasks that have them instead of being moved to their month first.
+FILE_ROWS = 10_000
+
+
+def tasks_in_place(spark: SparkSession, rows: dict) -> int:
+    """Into how many tasks new rows (a count by month) go that are written where
+    they are; 0 if their files would be small, so that they are better moved."""
+    n, months = sum(rows.values()), max(1, len(rows))
+    tasks = max(partitions_for(spark, n), min(spark.sparkContext.defaultParallelism, n // (2 * FILE_ROWS * months)))
+    return tasks if n >= tasks * months * FILE_ROWS else 0
+
+
 SALT = "_salt"
 
 
@@ -380,7 +414,8 @@ def stage_sales_table(wh: Warehouse, run: Run) -> int:
     Every run stages the whole mirror, so all rows carry this run's
     ``loaded_at``: it is kept once for the version, and months whose mirror is
     unchanged keep their files.  The mirror's files hold one month each, so no
-    row has to move: a task stages the files that it reads.
+    row has to move: a task stages the files that it reads.  The mirror's own
+    ``loaded_at`` is kept beside a sale, for the facts to find what is new.
     """
     name = "stg_fact_sales"
     mirror = wh.store.parts("mrr_fact_sales") if wh.store.has("mrr_fact_sales") else None
@@ -389,10 +424,11 @@ def stage_sales_table(wh: Warehouse, run: Run) -> int:
     touched = {m for m in source.keys() | mine.keys()
                if m not in mine or mine[m].made_from != source.get(m)}
     rows = read_months(wh, "mrr_fact_sales", touched) if mirror else with_month(wh.empty(MRR_SCHEMAS["mrr_fact_sales"]))
-    wh.write_months(run, name, rows.drop("loaded_at"), touched, "sale_id", ["transaction_date", "id"], clustered=True,
-                    finish=lambda df: stage_sales(df, run.batch_ts, keep=[MONTH_KEY]).withColumn(
+    wh.write_months(run, name, rows.withColumnRenamed("loaded_at", MIRRORED), touched, "sale_id", ["transaction_date", "id"], clustered=True,
+                    finish=lambda df: stage_sales(df, run.batch_ts, keep=[MIRRORED, MONTH_KEY]).withColumn(
                         "loaded_at", F.lit(None).cast("timestamp_ntz")),
-                    made_from=source, constants={"loaded_at": run.batch_ts})
+                    made_from=source, constants={"loaded_at": run.batch_ts},
+                    state={"batches": mirror.state.get("batches") if mirror else {}})
     return wh.rows.get("mrr_fact_sales", 0)
 
 
@@ -459,12 +495,14 @@ def load_facts(wh: Warehouse, run: Run) -> int:
     """Upsert facts on original_sale_id: a known sale changes only quantity and
     loaded_at (keys and dates stay as first loaded); new sales get keys.
 
-    Looked up are the sales of months that were staged anew, and those that
-    were skipped before; every other sale has its fact already, which changes
+    Looked up are the sales that came to the mirror since the last load, and those
+    that were skipped before; every other sale has its fact already (a current
+    customer or product stays one), which changes
     only in ``loaded_at``, kept once for the version.  A known sale that now
     lacks its customer or product keeps the ``loaded_at`` it had, in its row.
-    One job joins the sales with the current keys and the stored facts and pins
-    the result; months without a change keep their files.  What derives from a
+    The sales are joined with the current keys, then moved once by their id, which
+    finds the stored facts and numbers new ones; months without a change keep their
+    files.  What derives from a
     sale's time is left out of every shuffle and made again where rows are written.
     """
     name = "dwh_fact_sales"
@@ -474,14 +512,22 @@ def load_facts(wh: Warehouse, run: Run) -> int:
     seen = stored.state["staged"] if stored else {}
     anew = {m for m, p in staged.parts.items() if seen.get(str(m)) != p.folder}
     gone = {m for m in seen if m not in source}
-    sales = wh.store.read("stg_fact_sales", only=anew).select(*SALE_COLS)
+    sales = wh.store.read("stg_fact_sales", only=anew)
+    came, had = staged.state.get("batches"), stored.state.get("batches") if stored else None
+    if came is not None and had is not None:
+        new = [F.lit(at).cast("timestamp_ntz") for b, at in came.items() if b not in had]
+        at = F.col(MIRRORED)
+        sales = sales.filter(at.isNull() | (at.isin(*new) if new else F.lit(False)) | F.col("sale_id").isNull())
+    sales = sales.select(*SALE_COLS)
     if wh.store.has(SKIPPED):
         again = wh.table(SKIPPED)
-        if anew or gone:
+        if anew or gone:  # a sale without an id is known by its month alone
             old = [m for m in anew if m is not None]
-            again = again.filter(~F.coalesce(F.col(MONTH_KEY).isin(old), F.lit(None in anew))
+            again = again.filter(F.col("sale_id").isNotNull()
+                                 | ~F.coalesce(F.col(MONTH_KEY).isin(old), F.lit(None in anew))
                                  & ~F.coalesce(F.col(MONTH_KEY).cast("string"), F.lit("None")).isin(list(gone)))
-        sales = sales.unionByName(again.select(sales.columns))
+        sales = sales.withColumn(AGAIN, F.lit(False)).unionByName(
+            again.select(*SALE_COLS, F.lit(True).alias(AGAIN)))
 
     pinned, counts = looked_up(wh, sales, stored)
     skipped = pinned.filter("NOT found")
@@ -492,12 +538,18 @@ def load_facts(wh: Warehouse, run: Run) -> int:
     rows = month_rows(with_month(fresh, "transaction_timestamp")) if counts["fresh"] else {}
     touched = set(rows)
     start = wh.next_key(name, "sale_key")
-    merged = None
+    tasks = tasks_in_place(wh.spark, rows)
+    merged = placed = None
     if counts["fresh"] or stored is None:
-        merged = assign_keys(fresh, "sale_key", ["original_sale_id"], start=start,
-                             rows_bound=counts["fresh"], pin_input=False)
+        if stored is None:
+            merged = assign_keys(fresh, "sale_key", ["original_sale_id"], start=start, num_partitions=tasks or None,
+                                 rows_bound=counts["fresh"], pin_input=False)
+        else:  # in the order of their ids already
+            merged = number_rows(fresh, "sale_key", start)
         merged = with_month(merged.withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")),
                             "transaction_timestamp").select(*MOVED_COLS)
+    if tasks:
+        merged, placed = None, merged.coalesce(tasks)
     if counts["changed"]:
         change = pinned.filter("changed").select(
             F.col("sale_id").alias("original_sale_id"), F.lit(True).alias("hit"),
@@ -522,11 +574,12 @@ def load_facts(wh: Warehouse, run: Run) -> int:
                         .withColumn("loaded_at", F.when(F.col("hit"), F.col("new_at")).otherwise(F.col("loaded_at"))))
             kept = kept.select(*MOVED_COLS)
             merged = kept if merged is None else kept.unionByName(merged)
-    if merged is None:  # nothing changed but the time of loading
+    if merged is None and placed is None:  # nothing changed but the time of loading
         merged = with_month(wh.empty(FACT_SCHEMA)).select(*MOVED_COLS)
     wh.write_months(run, name, merged, touched, "original_sale_id", ["transaction_timestamp", "original_sale_id"],
-                    clustered=clustered, finish=with_days, latest="transaction_timestamp",
-                    constants={"loaded_at": run.batch_ts}, state={"staged": source})
+                    clustered=clustered, finish=with_days, placed=placed, latest="transaction_timestamp",
+                    constants={"loaded_at": run.batch_ts},
+                    state={"staged": source, "batches": None if came is None else list(came)})
     wh.max_keys[name] = start + counts["fresh"]
     return wh.rows.get("stg_fact_sales") or 0  # processed: every staged sale, skipped ones included
 
@@ -566,6 +619,8 @@ FACT_COLS = [f.split(" ")[0] for f in FACT_SCHEMA.split(", ")]
 #: What facts are moved with; ``with_days`` gives the other columns back.
 MOVED_COLS = [c for c in FACT_COLS if c not in ("date_key", "transaction_date")] + [MONTH_KEY]
 SALE_COLS = ["sale_id", "customer_id", "product_id", "quantity", "transaction_date"]
+#: Marks a sale that was skipped before and is looked up again.
+AGAIN = "_again"
 
 
 def with_days(facts: DataFrame) -> DataFrame:
@@ -575,31 +630,56 @@ def with_days(facts: DataFrame) -> DataFrame:
 
 def looked_up(wh: Warehouse, sales: DataFrame, stored) -> tuple[DataFrame, dict]:
     """The sales with their current keys (``found`` if both exist) and what the
-    fact has of them (``known``, ``changed``), pinned and counted in one job."""
+    fact has of them (``known``, ``changed``), pinned, counted, and with stored
+    facts in the order of their ids.  Where a sale is there twice, the row that is
+    not marked as ``AGAIN`` counts."""
     keyed = (sales.join(current_keys(wh, "customers"), "customer_id", "left")
              .join(current_keys(wh, "products"), "product_id", "left")
              .withColumn("found", F.col("customer_key").isNotNull() & F.col("product_key").isNotNull())
              # only a skipped sale is asked for these again
              .withColumns({c: F.when(~F.col("found"), F.col(c)) for c in ("customer_id", "product_id")}))
-    if stored is None:
-        keyed = keyed.withColumns({"known": F.lit(False), "changed": F.lit(False)})
-    else:
-        span = sales.agg(F.min("sale_id"), F.max("sale_id")).first()
-        facts = wh.store.read("dwh_fact_sales", only=stored.holding(*span), raw=True).select(
-            F.col("original_sale_id").alias("sale_id"), F.col("quantity").alias("old_quantity"),
-            F.col("loaded_at").alias("old_at"), F.col(MONTH_KEY).alias("fact_month"), F.lit(True).alias("held"))
-        known = F.coalesce("held", F.lit(False))
-        keyed = keyed.join(facts, "sale_id", "left").withColumn("known", known).withColumn(
-            "changed", known & F.when(F.col("found"), F.col("old_at").isNotNull()
-                                      | (~F.col("quantity").eqNullSafe(F.col("old_quantity"))))
-            .otherwise(F.col("old_at").isNull())).drop("held", "old_at")
     obs = Observation(f"lookup_{uuid.uuid4().hex[:8]}")
-    pinned = keyed.observe(obs, F.sum((F.col("found") & ~F.col("known")).cast("long")).alias("fresh"),
-                           F.sum(F.col("changed").cast("long")).alias("changed")).checkpoint(eager=True)
+    is_fresh = F.sum((F.col("found") & ~F.col("known")).cast("long")).alias("fresh")
+    if stored is None:
+        keyed = keyed.withColumns({"known": F.lit(False), "changed": F.lit(False)}).drop(AGAIN)
+        pinned = keyed.observe(obs, is_fresh).checkpoint(eager=True)
+        return pinned, {"fresh": int(obs.get["fresh"] or 0), "changed": 0}
+    span = Observation(f"keyed_{uuid.uuid4().hex[:8]}")
+    keyed = keyed.observe(span, F.count(F.lit(1)).alias("n"), F.min("sale_id").alias("low"),
+                          F.max("sale_id").alias("high")).checkpoint(eager=True)
+    n, low, high = (span.get[k] for k in ("n", "low", "high"))
+    if AGAIN not in keyed.columns:
+        keyed = keyed.withColumn(AGAIN, F.lit(False))
+    months = stored.holding(low, high)
+    facts = wh.store.read("dwh_fact_sales", only=months, raw=True).select(
+        F.col("original_sale_id").alias("sale_id"), F.col("quantity").alias("old_quantity"),
+        F.col("loaded_at").alias("old_at"), F.col(MONTH_KEY).alias("fact_month"))
+    if n <= max_broadcast_rows(keyed):
+        facts = facts.join(F.broadcast(keyed.select("sale_id")), "sale_id", "left_semi")
+    # one shuffle by ranges of the id: a fact meets its sale, and new sales get
+    # into the order in which they are numbered
+    size = n + sum(stored.parts[m].rows for m in months)
+    same = Window.partitionBy("sale_id")
+    has_id = F.col("sale_id").isNotNull()
+    rows = keyed.withColumn("_sale", F.lit(True)).unionByName(
+        facts.withColumn("_sale", F.lit(False)), allowMissingColumns=True)
+    rows = rows.repartitionByRange(partitions_for(wh.spark, size), "sale_id").withColumns({
+        "_known": has_id & F.max(~F.col("_sale")).over(same),
+        "_anew": has_id & F.coalesce(F.max(F.col("_sale") & ~F.col(AGAIN)).over(same), F.lit(False)),
+        **{f"_{c}": F.when(has_id, F.max(c).over(same)) for c in ("old_quantity", "old_at", "fact_month")}})
+    rows = rows.filter(F.col("_sale") & ~(F.col(AGAIN) & F.col("_anew"))).select(
+        *SALE_COLS, "customer_key", "product_key", "found", F.col("_known").alias("known"),
+        F.col("_old_quantity").alias("old_quantity"), F.col("_old_at").alias("old_at"),
+        F.col("_fact_month").alias("fact_month"))
+    rows = rows.withColumn("changed", F.col("known") & F.when(
+        F.col("found"), F.col("old_at").isNotNull() | (~F.col("quantity").eqNullSafe(F.col("old_quantity"))))
+        .otherwise(F.col("old_at").isNull())).drop("old_at")
+    pinned = rows.observe(obs, is_fresh, F.sum(F.col("changed").cast("long")).alias("changed")).checkpoint(eager=True)
     return pinned, {k: int(v or 0) for k, v in obs.get.items()}
 
 
-def month_layout(df: DataFrame, sort: list[str], clustered: bool = False, finish=None) -> DataFrame:
+def month_layout(df: DataFrame | None, sort: list[str], clustered: bool = False, finish=None,
+                 placed: DataFrame | None = None) -> DataFrame:
     """Shape a table for month folders.
 
     ``rebalance`` on the month lets AQE size the write partitions from the
@@ -607,10 +687,14 @@ def month_layout(df: DataFrame, sort: list[str], clustered: bool = False, finish
     several tasks, without the sampling pass a range repartition costs; rows
     are sorted inside each task so Parquet row groups carry tight statistics
     for row-group skipping.  Rows that lie together by month already
-    (``clustered``) are sorted where they are; ``finish`` adds columns after that.
+    (``clustered``) are sorted where they are, as are those of ``placed``, rows in
+    few enough tasks that each may write to every month; ``finish`` adds columns
+    after that.
     """
-    if not clustered:
+    if df is not None and not clustered:
         df = df.hint("rebalance", MONTH_KEY)
+    if placed is not None:
+        df = placed if df is None else df.unionByName(placed)
     df = df.sortWithinPartitions(MONTH_KEY, *sort)
     return finish(df) if finish else df
 
