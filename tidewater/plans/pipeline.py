@@ -488,7 +488,10 @@ def current_keys(wh: Warehouse, kind: str) -> DataFrame:
     dim, nk, key = (("dwh_dim_customers", "customer_id", "customer_key") if kind == "customers"
                     else ("dwh_dim_products", "product_id", "product_key"))
     cur = wh.table(dim).filter(F.col("is_current")).select(nk, key)
-    return broadcast_if_small(cur, known_rows=wh.rows.get(dim))
+    rows = wh.rows.get(dim)
+    if rows is not None and rows > max_broadcast_rows(cur):
+        rows = None  # of a long history fewer may be current: counted
+    return broadcast_if_small(cur, known_rows=rows)
 
 
 def load_facts(wh: Warehouse, run: Run) -> int:
