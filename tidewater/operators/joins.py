@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, star join, as-of join, skip report."""
+"""Join helpers: size-checked broadcast or none, star join, as-of join, skip report."""
 
 from __future__ import annotations
 
@@ -17,18 +17,29 @@ def max_broadcast_rows(df: DataFrame) -> int:
         return DEFAULT_MAX_BROADCAST_ROWS
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that no bound is known for, or one above the limit.
+
+    Without a hint Spark broadcasts what it takes for small by the size of the
+    files, compressed and cut to the columns read, wherever the session leaves
+    ``spark.sql.autoBroadcastJoinThreshold`` on: millions of rows may be collected
+    on the driver.  A sort-merge join moves both sides instead.
+    """
+    return df.hint("merge")
+
+
 def broadcast_if_small(df: DataFrame, known_rows: int | None = None,
                        max_rows: int | None = None) -> DataFrame:
     """Hint a broadcast only behind a proven size bound.
 
     ``known_rows`` is an upper bound the caller already has (for instance the
     row count recorded when the table was written); otherwise the rows are
-    counted.  Above the limit the frame is returned unchanged and the planner
-    uses a shuffle join (AQE may still convert it, and splits skewed keys).
+    counted.  Above the limit the join is a shuffle join, whatever the session
+    broadcasts by estimates (AQE splits skewed keys).
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
     rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= limit else df
+    return F.broadcast(df) if rows <= limit else shuffled(df)
 
 
 def as_of_join(facts: DataFrame, versions: DataFrame, key: str, at: str,

@@ -50,7 +50,7 @@ def read_marks(marks: DataFrame) -> dict[str, str]:
 def write_mark(marks: DataFrame, table: str, value, batch_ts: str) -> DataFrame:
     """Update the row of ``table``, inserting it when absent."""
     spark = marks.sparkSession
-    return upsert(marks, mark_rows(spark, [(table, _fmt(value), batch_ts)]), ["table_name"])
+    return upsert(marks, mark_rows(spark, [(table, _fmt(value), batch_ts)]), ["table_name"], broadcast_batch=True)
 
 
 def batch_max(df: DataFrame, column: str):

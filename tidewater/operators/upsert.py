@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import shuffled
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     keys, order_cols = list(keys), list(order_cols)
@@ -55,8 +57,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
         if cluster:
             return merge_clustered(target, batch, batch_keys, keys, cluster, {}, drop=True).select(*cols)
         batch_keys = batch_keys.select(*keys)
-        if broadcast_batch:
-            batch_keys = F.broadcast(batch_keys)
+        batch_keys = F.broadcast(batch_keys) if broadcast_batch else shuffled(batch_keys)
         return target.join(batch_keys, keys, "left_anti").unionByName(batch)
     update = set(update_cols)
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
@@ -112,7 +113,7 @@ def update_matched(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key is not in the target (the insert half)."""
-    return batch.join(target.select(*keys), list(keys), "left_anti")
+    return batch.join(shuffled(target.select(*keys)), list(keys), "left_anti")
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

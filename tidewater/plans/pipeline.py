@@ -22,7 +22,7 @@ from tidewater import config as C
 from tidewater.functions import date_key, ntz
 from tidewater.operators.calendar import CALENDAR_COLS, calendar, run_window
 from tidewater.operators.cleaning import clean_customers, clean_products, date_parts, stage_sales
-from tidewater.operators.joins import broadcast_if_small, max_broadcast_rows
+from tidewater.operators.joins import broadcast_if_small, max_broadcast_rows, shuffled
 from tidewater.operators.keys import ROWS_PER_PARTITION, assign_keys, next_key, number_rows, partitions_for
 from tidewater.operators.marks import extract_delta, initial_marks, read_marks, write_mark
 from tidewater.operators.quality import apply_rules, load_rules, tagged
@@ -326,7 +326,7 @@ def merge_months(wh: Warehouse, run: Run, name: str, batch: DataFrame, low: int,
         return
     ids, stored = batch.select("id"), wh.store.parts(name)
     held = wh.store.read(name, only=stored.holding(low, high)).select("id", MONTH_KEY)
-    matched = held.join(F.broadcast(ids) if small else ids, "id", "left_semi").checkpoint(eager=True)
+    matched = held.join(F.broadcast(ids) if small else shuffled(ids), "id", "left_semi").checkpoint(eager=True)
     found = month_rows(matched)
     touched |= set(found)
     target = wh.store.read(name, only=touched)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater import config as C
 from tidewater.functions import micros_between, ntz
-from tidewater.operators.joins import broadcast_if_small
+from tidewater.operators.joins import broadcast_if_small, shuffled
 from tidewater.sources.tables import read_table
 
 
@@ -39,7 +39,7 @@ def source_customers(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
     created = F.coalesce(F.col("first_order"), ntz(C.DEFAULT_CREATED))
     return (cust.withColumn("nk", nation_key.cast("int"))
             .join(broadcast_if_small(nation), F.col("nk") == F.col("n_nationkey"), "left")
-            .join(first_order, F.col("c_custkey") == F.col("o_custkey"), "left")
+            .join(shuffled(first_order), F.col("c_custkey") == F.col("o_custkey"), "left")
             .select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
                     F.col("n_name").alias("country"), created.alias("created_at"),
                     created.alias("updated_at")))
@@ -78,7 +78,7 @@ def source_sales(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
     if run == 1:
         orders = orders.filter(F.col("o_orderdate") < ntz(C.RUN1_CUT))
         line = line.filter(F.col("l_shipdate") < ntz(C.RUN1_CUT))
-    return (line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return (line.join(shuffled(orders), F.col("l_orderkey") == F.col("o_orderkey"))
             .select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
                     F.col("o_custkey").alias("customer_id"),
                     F.col("l_partkey").alias("product_id"),
