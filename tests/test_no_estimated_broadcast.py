@@ -8,6 +8,7 @@ from tests.test_pipeline import PROD, sales
 from tidewater.operators.joins import broadcast_if_small
 from tidewater.operators.upsert import insert_if_absent, new_rows, upsert
 from tidewater.plans.pipeline import Run, current_keys, new_warehouse, run_pipeline
+from tidewater.plans.sql_functions import register_functions
 from tidewater.sources.adapter import source_customers, source_sales
 from tidewater.sources.store import LayerStore
 
@@ -79,3 +80,9 @@ def test_a_run_broadcasts_nothing_beyond_the_limit(by_size, monkeypatch):
         assert "BroadcastExchange" not in plans[t], t
     keyed = w.table("stg_fact_sales").join(current_keys(w, "customers"), "customer_id", "left")
     assert "BroadcastExchange" not in planned(keyed)
+    register_functions(w)
+    keys = "(SELECT DISTINCT customer_id AS k FROM dwh_dim_customers UNION ALL SELECT -1)"
+    got = by_size.sql(f"SELECT k, fn_avg_quantity_per_customer(k, DATE'2024-01-01', DATE'2024-12-31') AS q FROM {keys}")
+    # facts and stored customers meet by a shuffle, whatever becomes of the list that they give
+    assert "BroadcastHashJoin [customer_key" not in planned(got) and "SortMergeJoin [customer_key" in planned(got)
+    assert {r.k: r.q for r in got.collect()} == {**dict.fromkeys(range(-1, 30), 0.0), 1: 4.5}
